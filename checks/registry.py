@@ -1,5 +1,5 @@
 """All checks: query name to (Spark query, oracle SQL or None)."""
 
-from checks import tables
+from checks import tables, texts
 
-CHECKS = {**tables.CHECKS}
+CHECKS = {**tables.CHECKS, **texts.CHECKS}

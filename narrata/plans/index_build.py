@@ -57,16 +57,12 @@ def preprocess(
         built.paths.update(write_both(filtered, folder, "filtered", csv=save_csv, parquet=True))
         filtered = spark.read.parquet(built.paths["parquet"])
     funnel = clean.filter_funnel(df, params.products, params.product_col, params.text_col)
-    stages = funnel.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(1).alias("step"), F.lit("loaded").alias("stage"),
-                         F.col("initial_count").alias("rows")),
-                F.struct(F.lit(2), F.lit("product_filter"), F.col("after_product_filter")),
-                F.struct(F.lit(3), F.lit("narrative_filter"), F.col("after_narrative_filter")),
-            )
-        )
-    )
+    names = ["loaded", "product_filter", "narrative_filter"]
+    steps = [
+        F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(column).alias("rows"))
+        for i, (name, column) in enumerate(zip(names, funnel.columns), 1)
+    ]
+    stages = funnel.select(F.inline(F.array(*steps)))
     if with_profile:
         built.profile = profile(filtered, params.product_col, params.text_col)
     built.final = filtered
@@ -112,7 +108,8 @@ def build_index(
             built.paths["embeddings"] = write_embeddings(vectors, f"{folder}/embeddings.parquet")
             vectors = spark.read.parquet(built.paths["embeddings"])
         if with_store:
-            names = {k: v for k, v in (metadata_names or METADATA_NAMES).items() if k in metadata}
+            stored_names = METADATA_NAMES if metadata_names is None else metadata_names
+            names = {k: v for k, v in stored_names.items() if k in metadata}
             table = table or VectorTable(spark, f"{folder}/vectors.parquet")
             table.add(records(project_metadata(vectors, names)))
             built.paths["vectors"] = table.path

@@ -36,7 +36,7 @@ def project_metadata(
 
     Absent columns become ``null_text`` too. All other columns stay as they are.
     """
-    names = names or METADATA_NAMES
+    names = METADATA_NAMES if names is None else names
     others = [_q(c) for c in df.columns if c not in names]
     renamed = [
         F.coalesce(_q(old).cast("string") if old in df.columns else F.lit(None).cast("string"),

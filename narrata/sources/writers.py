@@ -15,7 +15,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
+    """Quotes are doubled and blanks at the ends of a value are kept."""
+    options = {"header": True, "quote": '"', "escape": '"'}
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**options, **blanks).csv(path)
     return path
 
 
