@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from narrata.functions import text as tx
 from narrata.functions.dates import parse_date
 from narrata.params import require_columns
+from narrata.session import local_table
 from narrata.sources.readers import keep_columns
 
 
@@ -149,8 +150,10 @@ def filter_by_products(
 
 def absent_values(df: DataFrame, values: list[str], column: str) -> DataFrame:
     """Listed values that the column never holds, with their place in the list."""
-    listed = df.sparkSession.createDataFrame(
-        list(enumerate(values, 1)), "position int, value string"
+    listed = local_table(
+        df.sparkSession,
+        {"position": range(1, len(values) + 1), "value": values},
+        "position int, value string",
     )
     found = df.filter(_q(column).isin(values)).select(_q(column).alias("value")).distinct()
     return listed.join(found, "value", "left_anti").select("position", "value")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrata.params import require_columns
+from narrata.session import local_table
 
 MAX_SENT_QUESTIONS = 4096
 MAX_SENT_BYTES = 64 * 1024 * 1024
@@ -266,6 +267,8 @@ def nearest_to_vector(
 
 
 def _one_question(spark: SparkSession, vector: list[float]) -> DataFrame:
-    return spark.createDataFrame(
-        [(1, [float(v) for v in vector])], "question_id int, question_embedding array<double>"
+    return local_table(
+        spark,
+        {"question_id": [1], "question_embedding": [[float(v) for v in vector]]},
+        "question_id int, question_embedding array<double>",
     )

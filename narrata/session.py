@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,7 +48,12 @@ def pinned_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     result are broadcast because Catalyst sees its size, and the aggregation behind it is not
     run again. Beyond the bound the frame is returned as it was and joins stay distributed.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else local_table(df.sparkSession, rows, df.schema)
+
+
+def local_table(spark: SparkSession, rows: pa.Table | dict, schema) -> DataFrame:
+    """A small table made on the driver, as a local relation. The Arrow way keeps its size known."""
+    if isinstance(rows, dict):
+        rows = pa.table(rows)
+    return spark.createDataFrame(rows, schema)

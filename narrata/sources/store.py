@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrata.params import require_columns
+from narrata.session import local_table
+
+MAX_PUSHED_IDS = 1000
 
 # --- fixed values: stored names of the metadata columns ---
 METADATA_NAMES = {
@@ -149,6 +152,8 @@ class VectorTable:
 
 
 def get_by_ids(stored: DataFrame, ids: list[str], id_col: str = "chunk_id") -> DataFrame:
-    """Rows with the given ids."""
-    wanted = stored.sparkSession.createDataFrame([(i,) for i in ids], f"{id_col} string")
+    """Rows with the given ids. A short list becomes a filter that reaches the scan."""
+    if len(ids) <= MAX_PUSHED_IDS:
+        return stored.filter(_q(id_col).isin(ids))
+    wanted = local_table(stored.sparkSession, {id_col: ids}, f"`{id_col}` string")
     return stored.join(wanted, id_col, "left_semi").select(*map(_q, stored.columns))
