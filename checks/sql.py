@@ -1,6 +1,15 @@
 """Pieces of DuckDB SQL that several oracles share."""
 
-from narrata.functions.text import BOILERPLATE, EMAIL, PHONE, SPECIAL, SPECIAL_KEEP_PUNCTUATION, URL, WS
+from narrata.functions.text import BOILERPLATE, EMAIL, URL
+
+# The whitespace set written as ranges, which both regular expression engines read alike.
+WS = (
+    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+PHONE = rf"(\+?\d{{1,3}}[-.{WS}]?)?\(?\d{{3}}\)?[-.{WS}]?\d{{3}}[-.{WS}]?\d{{4}}"
+SPECIAL = rf"[^a-z0-9{WS}]"
+SPECIAL_KEEP_PUNCTUATION = rf"""[^a-z0-9{WS}.,!?;:'"-]"""
 
 
 def quoted(text: str) -> str:

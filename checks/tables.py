@@ -20,8 +20,8 @@ EXPECTED = ["complaint_id", "product", "sub_product", "narrative", "date_receive
 KEY = "md5(concat('42-', CAST(doc_id AS VARCHAR)))"
 
 
-def complaints(spark, sf_dir):
-    return view(spark, sf_dir, "complaints")
+def complaints(spark, sf_dir, heavy=False):
+    return view(spark, sf_dir, "complaints", heavy)
 
 
 def over(sql: str) -> str:
@@ -36,7 +36,7 @@ def text_query(expression, column: str = "narrative"):
     """Apply a text expression to the complaints and return hash and length."""
 
     def run(spark, sf_dir):
-        t = complaints(spark, sf_dir).select("doc_id", expression(F.col(column)).alias("t"))
+        t = complaints(spark, sf_dir, heavy=True).select("doc_id", expression(F.col(column)).alias("t"))
         return t.select("doc_id", F.md5("t").alias("text_md5"), F.length("t").alias("text_length"))
 
     return run
@@ -127,7 +127,7 @@ def dedup_sql(condition: str, order: str = "") -> str:
 
 def cleaning_effect(spark, sf_dir):
     text = F.col("narrative")
-    return clean.cleaning_effect(complaints(spark, sf_dir), text, tx.clean_text(text))
+    return clean.cleaning_effect(complaints(spark, sf_dir, heavy=True), text, tx.clean_text(text))
 
 
 def drop_all_null(spark, sf_dir):
@@ -152,7 +152,7 @@ def valid_dates(spark, sf_dir):
 
 
 def derived_features(spark, sf_dir):
-    return clean.add_derived_features(complaints(spark, sf_dir), "narrative").select(
+    return clean.add_derived_features(complaints(spark, sf_dir, heavy=True), "narrative").select(
         "doc_id", "narrative_word_count", "narrative_char_count", "has_narrative"
     )
 
@@ -305,22 +305,22 @@ FILTERS = {
 # --- profile ------------------------------------------------------------------------------------
 def length_stats(spark, sf_dir):
     names = ["mean", "median", "std", "q25", "q75", "q90", "q95", "q99"]
-    return rounded_columns(profile.length_stats(complaints(spark, sf_dir), "narrative"), 4, *names)
+    return rounded_columns(profile.length_stats(complaints(spark, sf_dir, heavy=True), "narrative"), 4, *names)
 
 
 def short_long(spark, sf_dir):
     return rounded_columns(
-        profile.short_long_counts(complaints(spark, sf_dir), "narrative"), 4, "very_long_threshold"
+        profile.short_long_counts(complaints(spark, sf_dir, heavy=True), "narrative"), 4, "very_long_threshold"
     )
 
 
 def length_histogram(spark, sf_dir):
-    table = profile.length_histogram(complaints(spark, sf_dir), "narrative")
+    table = profile.length_histogram(complaints(spark, sf_dir, heavy=True), "narrative")
     return rounded_columns(table, 4, "from_value", "to_value", "mean", "median")
 
 
 def length_boxplot(spark, sf_dir):
-    boxes = profile.length_boxplot(complaints(spark, sf_dir), "narrative", "product")
+    boxes = profile.length_boxplot(complaints(spark, sf_dir, heavy=True), "narrative", "product")
     return rounded_columns(boxes, 4, "q1", "median", "q3")
 
 

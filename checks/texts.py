@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import sql as q
 from checks.tables import complaints, histogram_sql, over, rounded_columns
-from checks.views import view, with_views
+from checks.views import documents, view, with_views
 from narrata.functions import prompts as templates
 from narrata.operators import answer, chunk, embed, evaluate, nearest
 from narrata.plans.answer_batch import answer_batch
@@ -25,10 +25,6 @@ WINDOW = chunk.window_splitter(SIZE, OVERLAP)
 RECURSIVE = chunk.recursive_splitter(SIZE, OVERLAP)
 
 
-def documents(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
-
-
 def chunks(spark, sf_dir):
     return view(spark, sf_dir, "chunks")
 
@@ -77,7 +73,7 @@ def windows(sql: str, source: str = "documents", text: str = "text") -> str:
 
 def chunked(splitter):
     def run(spark, sf_dir):
-        table = chunk.chunk_table(documents(spark, sf_dir), "text", "doc_id", splitter, ["lang", "source"])
+        table = chunk.chunk_table(documents(spark, sf_dir, heavy=True), "text", "doc_id", splitter, ["lang", "source"])
         return table.withColumn("text_md5", F.md5("chunk_text")).drop("chunk_text")
 
     return run
@@ -85,7 +81,7 @@ def chunked(splitter):
 
 def stats_of(splitter):
     def run(spark, sf_dir):
-        stats = chunk.chunk_stats(documents(spark, sf_dir), "text", splitter)
+        stats = chunk.chunk_stats(documents(spark, sf_dir, heavy=True), "text", splitter)
         return rounded_columns(
             stats, 4, "avg_chunks_per_doc", "median_chunks_per_doc", "avg_chunks_per_row", "mean",
             "median", "std", "q25", "q75", "q90", "q95",
@@ -96,18 +92,18 @@ def stats_of(splitter):
 
 def targets_of(splitter):
     def run(spark, sf_dir):
-        table = chunk.chunk_targets(documents(spark, sf_dir), "text", splitter, SIZE)
+        table = chunk.chunk_targets(documents(spark, sf_dir, heavy=True), "text", splitter, SIZE)
         return rounded_columns(table, 4, "percentage_within_10", "percentage_within_20")
 
     return run
 
 
 def count_histogram(spark, sf_dir):
-    return chunk.chunk_count_histogram(documents(spark, sf_dir), "text", WINDOW)
+    return chunk.chunk_count_histogram(documents(spark, sf_dir, heavy=True), "text", WINDOW)
 
 
 def length_histogram(spark, sf_dir):
-    table = chunk.chunk_length_histogram(documents(spark, sf_dir), "text", WINDOW)
+    table = chunk.chunk_length_histogram(documents(spark, sf_dir, heavy=True), "text", WINDOW)
     return rounded_columns(table, 4, "from_value", "to_value", "mean", "median")
 
 
@@ -160,7 +156,7 @@ CHUNKING = {
 
 # --- vectors ------------------------------------------------------------------------------------
 def hash_embed(spark, sf_dir):
-    table = embed.embed_table(documents(spark, sf_dir), "text", embed.hashing_encoder(DIM))
+    table = embed.embed_table(documents(spark, sf_dir, heavy=True), "text", embed.hashing_encoder(DIM))
     cells = table.select("doc_id", F.posexplode("embedding").alias("position", "weight"))
     return cells.filter("weight <> 0").select("doc_id", "position", F.col("weight").cast("double"))
 
@@ -546,7 +542,7 @@ NAMES = {c: c for c in ("product", "issue", "company", "state", "date_received",
 
 def index_build_counts(spark, sf_dir):
     built = build_index(
-        complaints(spark, sf_dir), index_params(), scratch_path(spark, "index"), metadata_names=NAMES
+        complaints(spark, sf_dir, heavy=True), index_params(), scratch_path(spark, "index"), metadata_names=NAMES
     )
     return built.counts
 
@@ -554,7 +550,7 @@ def index_build_counts(spark, sf_dir):
 def index_build_overlap_75(spark, sf_dir):
     """The six-step form: recursive chunks, overlap 75, embeddings kept as a file."""
     built = build_index(
-        complaints(spark, sf_dir), index_params(splitter="recursive", chunk_overlap=75),
+        complaints(spark, sf_dir, heavy=True), index_params(splitter="recursive", chunk_overlap=75),
         scratch_path(spark, "index75"), metadata_names=NAMES, save_embeddings=True, save_csv=False,
     )
     return built.counts
@@ -589,7 +585,7 @@ def answer_batch_job(spark, sf_dir):
     params = index_params(
         key_col="doc_id", text_col="text", metadata=["lang", "source"], embedding_dim=DIM,
     )
-    table = chunk.chunk_table(documents(spark, sf_dir), "text", "doc_id", WINDOW, ["lang", "source"])
+    table = chunk.chunk_table(documents(spark, sf_dir, heavy=True), "text", "doc_id", WINDOW, ["lang", "source"])
     stored = store.VectorTable(spark, f"{folder}/vectors")
     vectors = embed.embed_table(table, "chunk_text", embed.hashing_encoder(DIM))
     named = store.project_metadata(vectors, {"lang": "product", "issue": "issue", "source": "company"}, None)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from narrata.sources.readers import spread
+
 COMPLAINTS = """
 SELECT CAST(d.doc_id AS STRING) AS complaint_id, d.doc_id,
  CASE WHEN d.doc_id % 37 = 0 THEN NULL ELSE d.lang END AS product,
@@ -54,9 +56,17 @@ VIEWS = {"complaints": COMPLAINTS, "chunks": CHUNKS, "questions": QUESTIONS, "an
 TABLES = ["documents", "labels", "embeddings", "benchmark", "conversations"]
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """The documents; ``heavy`` spreads the one small file over the cores for costly text work."""
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(table, "doc_id") if heavy else table
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
     used = [t for t in TABLES if "{" + t + "}" in VIEWS[name]]
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
+    if heavy:
+        frames["documents"] = documents(spark, sf_dir, heavy)
     return spark.sql(VIEWS[name], **frames)
 
 

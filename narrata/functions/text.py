@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values: null tokens, patterns and phrases that decide the results ---
-# Every code point that str.isspace() accepts.
-WS = (
-    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Every character that str.isspace() accepts, and the same set inside a (?U) character class.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+WS = r"\s\x1c-\x1f"
 NULL_TOKENS_NARRATIVE = ["nan", "None", ""]
 NULL_TOKENS_TEXT = ["nan", "None", "NaN"]
 NULL_TOKENS_FILTER = ["nan", "None"]
@@ -36,8 +38,8 @@ BOILERPLATE = [
     "for your information",
     "fyi",
 ]
-SPECIAL = rf"[^a-z0-9{WS}]"
-SPECIAL_KEEP_PUNCTUATION = rf"""[^a-z0-9{WS}.,!?;:'"-]"""
+SPECIAL = rf"[^a-z0-9{WS}]+"
+SPECIAL_KEEP_PUNCTUATION = rf"""[^a-z0-9{WS}.,!?;:'"-]+"""
 # -------------------------------------------------------------------------------
 
 # Each boilerplate phrase holds one of these. None has a letter with an irregular case partner
@@ -45,19 +47,28 @@ SPECIAL_KEEP_PUNCTUATION = rf"""[^a-z0-9{WS}.,!?;:'"-]"""
 _BOILERPLATE_HINTS = ["compla", "note", "be adv", "for your", "fy"]
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it.
+
+    Branches of a ``when`` are outside common subexpression elimination, so a chain of guarded
+    replacements would compute its first step again for every guard.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def tokens_to_null(col: Column, tokens: list[str]) -> Column:
     """Null where the value is one of the given tokens."""
     return F.when(~col.isin(tokens), col)
 
 
 def strip(col: Column) -> Column:
-    """Remove leading and trailing whitespace of every kind (``trim`` removes spaces only)."""
-    return F.regexp_replace(col, rf"^[{WS}]+|(?<![{WS}])[{WS}]+\z", "")
+    """Remove leading and trailing whitespace of every kind (plain ``trim`` removes spaces only)."""
+    return F.trim(col, F.lit(WHITESPACE))
 
 
 def collapse_spaces(col: Column) -> Column:
     """Every run of whitespace becomes one space."""
-    return F.regexp_replace(col, rf"[{WS}]+", " ")
+    return F.regexp_replace(col, f"(?U)[{WS}]+", " ")
 
 
 def normalize_whitespace(col: Column) -> Column:
@@ -67,7 +78,7 @@ def normalize_whitespace(col: Column) -> Column:
 
 def is_blank(col: Column) -> Column:
     """True for text that is empty or whitespace only, null for null."""
-    return ~col.rlike(rf"[^{WS}]")
+    return ~col.rlike(f"(?U)[^{WS}]")
 
 
 def has_text(col: Column) -> Column:
@@ -95,16 +106,23 @@ def clean_narrative(
     elif remove_extra_spaces:
         out = collapse_spaces(out)
     if min_length > 0:
-        out = F.when(F.length(out) >= min_length, out)
+        out = once(out, lambda t: F.when(F.length(t) >= min_length, t))
     return out
 
 
+def _replaced_where(col: Column, hint: str, pattern: str) -> Column:
+    """Drop what the pattern matches; only texts that contain the hint can match and are searched."""
+    return once(
+        col, lambda t: F.when(t.contains(hint), F.regexp_replace(t, pattern, "")).otherwise(t)
+    )
+
+
 def remove_urls(col: Column) -> Column:
-    return F.when(col.contains("http"), F.regexp_replace(col, URL, "")).otherwise(col)
+    return _replaced_where(col, "http", URL)
 
 
 def remove_emails(col: Column) -> Column:
-    return F.when(col.contains("@"), F.regexp_replace(col, f"(?U){EMAIL}", "")).otherwise(col)
+    return _replaced_where(col, "@", f"(?U){EMAIL}")
 
 
 def remove_phones(col: Column) -> Column:
@@ -113,14 +131,21 @@ def remove_phones(col: Column) -> Column:
 
 def remove_boilerplate(col: Column) -> Column:
     """Cut the phrases out in order, in any case, also inside words."""
-    lowered = F.lower(col)
-    hinted = reduce(lambda a, b: a | b, [lowered.contains(h) for h in _BOILERPLATE_HINTS])
-    cut = reduce(lambda c, p: F.regexp_replace(c, f"(?iu){p}", ""), BOILERPLATE, col)
-    return F.when(hinted, cut).otherwise(col)
+
+    def cut(text: Column) -> Column:
+        hinted = once(
+            F.lower(text),
+            lambda low: reduce(lambda a, b: a | b, [low.contains(h) for h in _BOILERPLATE_HINTS]),
+        )
+        shorter = reduce(lambda t, p: F.regexp_replace(t, f"(?iu){p}", ""), BOILERPLATE, text)
+        return F.when(hinted, shorter).otherwise(text)
+
+    return once(col, cut)
 
 
 def remove_special(col: Column, preserve_punctuation: bool = False) -> Column:
-    return F.regexp_replace(col, SPECIAL_KEEP_PUNCTUATION if preserve_punctuation else SPECIAL, "")
+    pattern = SPECIAL_KEEP_PUNCTUATION if preserve_punctuation else SPECIAL
+    return F.regexp_replace(col, f"(?U){pattern}", "")
 
 
 def clean_text(
@@ -150,14 +175,16 @@ def clean_text(
         out = remove_special(out, preserve_punctuation)
     if whitespace:
         return F.nullif(normalize_whitespace(out), F.lit(""))
-    return F.when(~is_blank(out), out)
+    return once(out, lambda t: F.when(~is_blank(t), t))
 
 
 def word_count(col: Column) -> Column:
     """Number of whitespace-separated words, 0 for null and empty text."""
-    parts = F.size(F.split(col, rf"[{WS}]+"))
-    edges = col.rlike(rf"^[{WS}]").cast("int") + col.rlike(rf"[{WS}]\z").cast("int")
-    return F.when(has_text(col), parts - edges).otherwise(F.lit(0))
+    words = once(
+        strip(col),
+        lambda t: F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, f"(?U)[{WS}]+"))),
+    )
+    return F.when(col.isNotNull(), words).otherwise(F.lit(0))
 
 
 def char_count(col: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from narrata.functions import text as tx
 from narrata.functions.dates import parse_date
+from narrata.operators.validate import row_identity
 from narrata.params import require_columns
 from narrata.session import local_table
 from narrata.sources.readers import keep_columns
@@ -25,8 +26,8 @@ def remove_duplicates(
     """Drop repeated rows, judged by all columns or by ``subset``.
 
     ``keep`` is 'first' or 'last' in the order of the unique column ``key``, or False for rows
-    that have no copy. The group-by keeps one number per value and task before the shuffle, and
-    the semi-join is on the unique key, so a value with very many copies stays in no single task.
+    that have no copy. The group-by shuffles one number per distinct value (by its hash) and task,
+    and the semi-join is on the unique key, so a value with very many copies fills no single task.
     """
     if keep not in ("first", "last", False):
         raise ValueError("keep must be 'first', 'last' or False")
@@ -43,7 +44,9 @@ def remove_duplicates(
         raise ValueError("a table has no row order: name a unique column as key")
     require_columns(df, [*subset, key])
     pick = F.max(_q(key)) if keep == "last" else F.min(_q(key))
-    groups = df.groupBy(*map(_q, subset)).agg(pick.alias("_kept"), F.count("*").alias("_copies"))
+    groups = df.groupBy(*row_identity(df, subset)).agg(
+        pick.alias("_kept"), F.count("*").alias("_copies")
+    )
     if keep is False:
         groups = groups.filter("_copies = 1")
     return df.join(groups.select(F.col("_kept").alias(key)), key, "left_semi").select(

@@ -39,7 +39,7 @@ def _q(name: str) -> Column:
 def _matrix(vectors: pa.Array) -> np.ndarray:
     """Rows of a list column without nulls, as doubles."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(vectors), -1)
+    return flat.reshape(len(vectors), len(flat) // max(1, len(vectors)))
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:

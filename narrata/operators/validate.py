@@ -37,23 +37,26 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
-def _row_identity(df: DataFrame) -> list[Column]:
-    """Grouping columns that are equal exactly for equal rows.
+def row_identity(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
+    """Grouping columns that are equal exactly for rows with equal ``columns``. Nulls are equal.
 
-    For atomic columns this is one SHA-256 of all values, each with its length in front, so the
-    shuffle carries 64 characters per row and not the row. Nested columns are grouped as they are.
+    Where text is among them this is one SHA-256 of all values, each with its length in front, so
+    the shuffle carries 64 characters per row and not the texts. Numbers alone, and nested columns,
+    are grouped as they are.
     """
+    columns = columns or df.columns
+    kinds = [df.schema[c].dataType for c in columns]
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    if any(isinstance(f.dataType, nested) for f in df.schema.fields):
-        return [_q(c) for c in df.columns]
-    texts = [_q(c).cast("string") for c in df.columns]
+    if T.StringType() not in kinds or any(isinstance(k, nested) for k in kinds):
+        return [_q(c) for c in columns]
+    texts = [_q(c).cast("string") for c in columns]
     marked = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
     return [F.sha2(F.concat(*marked), 256).alias("row_hash")]
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Number of rows that repeat an earlier row in every column. Nulls are equal."""
-    copies = df.groupBy(*_row_identity(df)).agg(F.count("*").alias("n"))
+    copies = df.groupBy(*row_identity(df)).agg(F.count("*").alias("n"))
     return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 

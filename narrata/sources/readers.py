@@ -19,14 +19,20 @@ def raw_schema(columns: list[str] | None = None) -> T.StructType:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, null_tokens: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    null_tokens: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read CSV with a header, quoted line breaks and doubled quotes.
 
     Without a schema the header names the columns and every column is text. ``null_tokens`` turns
-    the usual written-out nulls into null.
+    the usual written-out nulls into null. A file with line breaks inside quotes cannot be split,
+    so one file is one task: read many files, or convert once with ``parquet_copy``. Files known
+    to have none are read in splits with ``multi_line=False``.
     """
-    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
+    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
     if schema is not None:
         # The header decides which field a column is, so a file may lack or reorder columns.
         present = reader.option("inferSchema", False).csv(path).columns
@@ -74,6 +80,16 @@ def keep_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in wanted if c in df.columns])
 
 
+def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cores when the files give fewer splits than there are cores.
+
+    For work that costs much per row (cleaning, splitting, encoding) on few or unsplittable files.
+    Any larger table already has enough splits and is returned as it is, without a shuffle.
+    """
+    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, F.col(f"`{key}`"))
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a table that several jobs read. It spills to disk; ``release`` gives it back."""
     return df.persist()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrata.params import require_columns
-from narrata.session import local_table
+from narrata.session import local_table, pinned_if_small
 
 MAX_PUSHED_IDS = 1000
 
@@ -87,10 +87,18 @@ def first_per_id(rows: DataFrame, id_col: str = "chunk_id") -> DataFrame:
 
 
 def new_rows(rows: DataFrame, stored: DataFrame, id_col: str = "chunk_id") -> DataFrame:
-    """Rows to append: the first of each id, ids already stored left out."""
-    return first_per_id(rows, id_col).join(stored.select(_q(id_col)), id_col, "left_anti").select(
-        *map(_q, rows.columns)
-    )
+    """Rows to append: the first of each id, ids already stored left out.
+
+    The ids of a small load are sent to the stored table, whose id column is then scanned without a
+    shuffle, and only the ids found again come back. A large load is joined id against id.
+    """
+    seen = stored.select(_q(id_col))
+    arriving = rows.select(_q(id_col)).distinct()
+    pinned = pinned_if_small(arriving)
+    if pinned is not arriving:
+        seen = seen.join(pinned, id_col, "left_semi")
+    fresh = first_per_id(rows, id_col).join(seen, id_col, "left_anti")
+    return fresh.select(*map(_q, rows.columns))
 
 
 class VectorTable:

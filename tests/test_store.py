@@ -154,3 +154,11 @@ def test_sources_and_sinks(spark, rows, tmp_path):
     assert spark.read.parquet(f"{folder}/e.parquet").count() == 3
     with pytest.raises(ValueError):
         writers.write_embeddings(flat, f"{folder}/e2.parquet")
+
+
+def test_large_load_joins_id_against_id(spark, rows, monkeypatch, tmp_path):
+    table = store.VectorTable(spark, str(tmp_path / "v"))
+    table.add(rows)
+    monkeypatch.setattr(store, "pinned_if_small", lambda df: df)
+    more = rows.unionByName(rows.withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))))
+    assert {r.chunk_id for r in store.new_rows(more, table.read()).collect()} == {"a2", "b2"}
