@@ -67,8 +67,54 @@ def window_sql(source: str, text: str = "text", key: str = "doc_id") -> str:
       )} END AS chunk_text FROM (SELECT *, CASE {kinds} ELSE {SIZE} END AS kind FROM cuts))"""
 
 
-def windows(sql: str, source: str = "documents", text: str = "text") -> str:
-    return f"WITH RECURSIVE {window_sql(source, text)} {sql}"
+def recursive_sql(source: str, text: str = "text", key: str = "doc_id", overlap: int = OVERLAP) -> str:
+    """The recursive splitter on offsets. Gives ``pieces(key, chunk_index, chunk_text, num_chunks)``.
+
+    Nodes are texts to cut at one level. Pieces of a node that are too long become nodes; the others
+    form runs, and each run is walked with the first and last piece of a chunk as state.
+    """
+    marks = "[chr(10) || chr(10), chr(10), '. ', '! ', '? ', '; ', ', ', ' ']"
+    cut = f"""
+      SELECT k, off, lvl, t, s, CASE WHEN s = 9 THEN range(0, length(t) + 1) ELSE
+        list_concat([0], list_concat(list_filter(list_transform(range(1, len(parts)),
+          lambda i: CAST(list_sum(list_transform(parts[1:i], lambda p: length(p))) AS BIGINT)
+            + (i - 1) * length(mark)), lambda o: o > 0), [length(t)])) END AS bounds
+      FROM (SELECT *, string_split(t, mark) AS parts FROM (SELECT *, ({marks})[s] AS mark
+        FROM (SELECT *, coalesce(list_min(list_filter(range(lvl, 9),
+          lambda i: contains(t, ({marks})[i]))), 9) AS s FROM {{nodes}})))"""
+    return f"""
+    texts AS (SELECT {key} AS k, {text} AS t FROM {source} WHERE {q.not_blank(text)}),
+    nodes(k, t, off, lvl) AS (
+      SELECT k, t, CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM texts
+      UNION ALL
+      SELECT k, substring(t, bounds[i] + 1, bounds[i + 1] - bounds[i]), off + bounds[i], s + 1
+      FROM (SELECT *, unnest(range(1, len(bounds))) AS i FROM ({cut.format(nodes="nodes")}))
+      WHERE bounds[i + 1] - bounds[i] >= {SIZE}),
+    spans AS (SELECT k, off, lvl, i, off + bounds[i] AS a, off + bounds[i + 1] AS b
+      FROM (SELECT *, unnest(range(1, len(bounds))) AS i FROM ({cut.format(nodes="nodes")}))),
+    parted AS (SELECT *, sum(CASE WHEN b - a >= {SIZE} THEN 1 ELSE 0 END)
+      OVER (PARTITION BY k, off, lvl ORDER BY i) AS g FROM spans),
+    runs AS (SELECT k, list(a ORDER BY i) AS al, list(b ORDER BY i) AS bl FROM parted
+      WHERE b - a < {SIZE} GROUP BY k, off, lvl, g),
+    walk(k, al, bl, lo, hi) AS (
+      SELECT k, al, bl, CAST(1 AS BIGINT), CAST(len(list_filter(bl, lambda b: b - al[1] <= {SIZE})) AS BIGINT) FROM runs
+      UNION ALL
+      SELECT k, al, bl, nlo, CAST(len(list_filter(bl, lambda b: b - al[nlo] <= {SIZE})) AS BIGINT) FROM (
+        SELECT *, CAST(len(list_filter(al,
+          lambda a: a < greatest(bl[hi] - {overlap}, bl[hi + 1] - {SIZE}))) AS BIGINT) + 1 AS nlo
+        FROM walk WHERE hi < len(al))),
+    found AS (SELECT k, al[lo] AS a, {q.stripped("substring(t, al[lo] + 1, bl[hi] - al[lo])")} AS chunk_text
+      FROM walk JOIN texts USING (k)),
+    pieces AS (SELECT k AS key, CAST(row_number() OVER (PARTITION BY k ORDER BY a) - 1 AS INTEGER) AS chunk_index,
+      count(*) OVER (PARTITION BY k) AS num_chunks, chunk_text FROM found WHERE chunk_text <> '')"""
+
+
+def windows(sql: str) -> str:
+    return f"WITH RECURSIVE {window_sql('documents')} {sql}"
+
+
+def recursives(sql: str) -> str:
+    return f"WITH RECURSIVE {recursive_sql('documents')} {sql}"
 
 
 def chunked(splitter):
@@ -109,36 +155,31 @@ def length_histogram(spark, sf_dir):
 
 _length = "CAST(length(chunk_text) AS INTEGER)"
 
+_chunk_rows = f"""SELECT concat(key, '_', chunk_index) AS chunk_id, key AS original_index, chunk_index,
+    {_length} AS chunk_length, CAST(num_chunks AS INTEGER) AS num_chunks, lang, source,
+    md5(chunk_text) AS text_md5 FROM pieces JOIN documents ON doc_id = key"""
+_chunk_stats = f""", l AS (SELECT {_length} AS v FROM pieces),
+    d AS (SELECT key, CAST(count(*) AS INTEGER) AS c FROM pieces GROUP BY key)
+    SELECT (SELECT count(text) FROM documents) AS total_documents,
+    (SELECT count(*) FROM l) AS total_chunks,
+    (SELECT round(avg(c), 4) FROM d) AS avg_chunks_per_doc,
+    (SELECT round(CAST(median(c) AS DOUBLE), 4) FROM d) AS median_chunks_per_doc,
+    (SELECT max(c) FROM d) AS max_chunks_per_doc,
+    (SELECT round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM documents), 4) FROM l) AS avg_chunks_per_row,
+    round(avg(v), 4) AS mean, round(CAST(median(v) AS DOUBLE), 4) AS median,
+    round(stddev_pop(v), 4) AS std, min(v) AS min, max(v) AS max,
+    {", ".join(f"round(CAST(quantile_cont(v, 0.{p}) AS DOUBLE), 4) AS q{p}" for p in (25, 75, 90, 95))}
+    FROM l"""
+_chunk_targets = """SELECT n AS total_chunks, a AS within_10_percent, b AS within_20_percent,
+    round(a / CAST(n AS DOUBLE) * 100, 4) AS percentage_within_10,
+    round(b / CAST(n AS DOUBLE) * 100, 4) AS percentage_within_20 FROM (
+    SELECT count(*) AS n, count(*) FILTER (length(chunk_text) BETWEEN 450 AND 550) AS a,
+    count(*) FILTER (length(chunk_text) BETWEEN 400 AND 600) AS b FROM pieces)"""
+
 CHUNKING = {
-    "chunk_window": (
-        chunked(WINDOW),
-        windows(f"""SELECT concat(key, '_', chunk_index) AS chunk_id, key AS original_index, chunk_index,
-            {_length} AS chunk_length, CAST(num_chunks AS INTEGER) AS num_chunks, lang, source,
-            md5(chunk_text) AS text_md5 FROM pieces JOIN documents ON doc_id = key"""),
-    ),
-    "chunk_window_stats": (
-        stats_of(WINDOW),
-        windows(f""", l AS (SELECT {_length} AS v FROM pieces),
-            d AS (SELECT key, CAST(count(*) AS INTEGER) AS c FROM pieces GROUP BY key)
-            SELECT (SELECT count(text) FROM documents) AS total_documents,
-            (SELECT count(*) FROM l) AS total_chunks,
-            (SELECT round(avg(c), 4) FROM d) AS avg_chunks_per_doc,
-            (SELECT round(CAST(median(c) AS DOUBLE), 4) FROM d) AS median_chunks_per_doc,
-            (SELECT max(c) FROM d) AS max_chunks_per_doc,
-            (SELECT round(count(*) / (SELECT CAST(count(*) AS DOUBLE) FROM documents), 4) FROM l) AS avg_chunks_per_row,
-            round(avg(v), 4) AS mean, round(CAST(median(v) AS DOUBLE), 4) AS median,
-            round(stddev_pop(v), 4) AS std, min(v) AS min, max(v) AS max,
-            {", ".join(f"round(CAST(quantile_cont(v, 0.{p}) AS DOUBLE), 4) AS q{p}" for p in (25, 75, 90, 95))}
-            FROM l"""),
-    ),
-    "chunk_targets": (
-        targets_of(WINDOW),
-        windows(f"""SELECT n AS total_chunks, a AS within_10_percent, b AS within_20_percent,
-            round(a / CAST(n AS DOUBLE) * 100, 4) AS percentage_within_10,
-            round(b / CAST(n AS DOUBLE) * 100, 4) AS percentage_within_20 FROM (
-            SELECT count(*) AS n, count(*) FILTER (length(chunk_text) BETWEEN 450 AND 550) AS a,
-            count(*) FILTER (length(chunk_text) BETWEEN 400 AND 600) AS b FROM pieces)"""),
-    ),
+    "chunk_window": (chunked(WINDOW), windows(_chunk_rows)),
+    "chunk_window_stats": (stats_of(WINDOW), windows(_chunk_stats)),
+    "chunk_targets": (targets_of(WINDOW), windows(_chunk_targets)),
     "chunk_count_histogram": (
         count_histogram,
         windows("""SELECT CAST(bin AS INTEGER) AS bin, count(c) AS n
@@ -148,9 +189,9 @@ CHUNKING = {
     "chunk_histogram": (
         length_histogram, windows(histogram_sql(f"SELECT {_length} AS v FROM pieces", 40)),
     ),
-    "chunk_recursive": (chunked(RECURSIVE), None),
-    "chunk_recursive_stats": (stats_of(RECURSIVE), None),
-    "chunk_recursive_targets": (targets_of(RECURSIVE), None),
+    "chunk_recursive": (chunked(RECURSIVE), recursives(_chunk_rows)),
+    "chunk_recursive_stats": (stats_of(RECURSIVE), recursives(_chunk_stats)),
+    "chunk_recursive_targets": (targets_of(RECURSIVE), recursives(_chunk_targets)),
 }
 
 
@@ -234,9 +275,7 @@ def reset_store(spark, sf_dir):
     empty = table.count()
     second = table.add(rows)
     steps = [("loaded", first), ("reset", empty), ("loaded again", second)]
-    return table.read().limit(0).select(
-        F.lit("").alias("step"), F.lit(0).cast("long").alias("document_count")
-    ).unionByName(spark.createDataFrame(steps, "step string, document_count long"))
+    return spark.createDataFrame(steps, "step string, document_count long")
 
 
 L2 = "pow(list_distance(CAST({a} AS DOUBLE[]), CAST({b} AS DOUBLE[])), 2)"
@@ -642,20 +681,24 @@ _index = f""",
     drawn AS (SELECT * FROM (SELECT stage3.*, sampled, (SELECT count(*) FROM stage3) < 333 AS whole,
       row_number() OVER (PARTITION BY product ORDER BY md5(concat('42-', CAST(doc_id AS VARCHAR))), doc_id) AS nth
       FROM stage3 JOIN plan ON product = stratum) WHERE whole OR nth <= sampled),
-    {window_sql("drawn", "narrative")}"""
+    """
+_stage_counts = """
+    SELECT 1 AS step, 'loaded' AS stage, count(*) AS rows FROM complaints
+    UNION ALL SELECT 2, 'product_filter', count(*) FROM stage2
+    UNION ALL SELECT 3, 'narrative_filter', count(*) FROM stage3
+    UNION ALL SELECT 4, 'sample', count(*) FROM drawn
+    UNION ALL SELECT 5, 'chunks', count(*) FROM pieces
+    UNION ALL SELECT 6, 'vectors', count(*) FROM pieces"""
 
 JOBS = {
     "index_build_counts": (
         index_build_counts,
-        over(_index + """
-            SELECT 1 AS step, 'loaded' AS stage, count(*) AS rows FROM complaints
-            UNION ALL SELECT 2, 'product_filter', count(*) FROM stage2
-            UNION ALL SELECT 3, 'narrative_filter', count(*) FROM stage3
-            UNION ALL SELECT 4, 'sample', count(*) FROM drawn
-            UNION ALL SELECT 5, 'chunks', count(*) FROM pieces
-            UNION ALL SELECT 6, 'vectors', count(*) FROM pieces"""),
+        over(_index + window_sql("drawn", "narrative") + _stage_counts),
+    ),
+    "index_build_overlap_75": (
+        index_build_overlap_75,
+        over(_index + recursive_sql("drawn", "narrative", overlap=75) + _stage_counts),
     ),
-    "index_build_overlap_75": (index_build_overlap_75, None),
     "ingest_counts": (
         ingest_counts,
         with_views("""
