@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,6 +48,15 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms > 0, norms, 1.0)
 
 
+def _rows_by_value(column: pa.ChunkedArray) -> dict:
+    """Row numbers per value, nulls left out."""
+    rows: dict = {}
+    for i, value in enumerate(column.to_pylist()):
+        if value is not None:
+            rows.setdefault(value, []).append(i)
+    return rows
+
+
 class _Best:
     """The k nearest chunks per question among the batches seen so far in one task."""
 
@@ -56,7 +66,7 @@ class _Best:
         vectors = _matrix(questions.column(1).combine_chunks())
         self.vectors = _unit(vectors) if metric == "cosine" else vectors
         self.squares = (self.vectors * self.vectors).sum(axis=1)
-        self.wanted = questions.column(2).to_pylist() if questions.num_columns > 2 else None
+        self.wanted = _rows_by_value(questions.column(2)) if questions.num_columns > 2 else None
         self.bound = np.full(len(self.ids), np.inf)
         self.question = np.empty(0, dtype=np.int64)
         self.distance = np.empty(0)
@@ -79,18 +89,17 @@ class _Best:
         # A fast estimate picks candidates; a margin far above its rounding error keeps it safe.
         estimate = self.squares[:, None] + squares[None, :] - 2.0 * (self.vectors @ vectors.T)
         if self.wanted is not None:
-            values = np.array(columns[2].to_pylist(), dtype=object)
-            for value in {w for w in self.wanted if w is not None}:
-                rows = [i for i, w in enumerate(self.wanted) if w == value]
-                estimate[np.ix_(rows, np.flatnonzero(values != value))] = np.inf
+            for value, asking in self.wanted.items():
+                other = pc.fill_null(pc.not_equal(columns[2], value), True)
+                estimate[np.ix_(asking, np.flatnonzero(other.to_numpy(zero_copy_only=False)))] = np.inf
         bound = self.bound
         if estimate.shape[1] > self.k:
             bound = np.minimum(bound, np.partition(estimate, self.k - 1, axis=1)[:, self.k - 1])
         margin = 1e-9 * (1.0 + self.squares + squares.max())
         question, row = np.nonzero((estimate <= (bound + margin)[:, None]) & np.isfinite(estimate))
         if len(question):
-            names = np.array(columns[0].to_pylist(), dtype=object)
-            self._merge(question, self._exact(question, row, vectors), names[row])
+            names = np.array(columns[0].take(pa.array(row)).to_pylist(), dtype=object)
+            self._merge(question, self._exact(question, row, vectors), names)
 
     def _exact(self, question: np.ndarray, row: np.ndarray, vectors: np.ndarray) -> np.ndarray:
         """Distances summed in one fixed order, so that equal vectors have equal distances."""

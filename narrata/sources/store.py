@@ -15,6 +15,7 @@ from narrata.params import require_columns
 from narrata.session import local_table, pinned_if_small
 
 MAX_PUSHED_IDS = 1000
+MAX_SENT_IDS = 50_000
 
 # --- fixed values: stored names of the metadata columns ---
 METADATA_NAMES = {
@@ -86,18 +87,31 @@ def first_per_id(rows: DataFrame, id_col: str = "chunk_id") -> DataFrame:
     return picked.select(*[_q(c) if c == id_col else F.col("row")[c].alias(c) for c in rows.columns])
 
 
-def new_rows(rows: DataFrame, stored: DataFrame, id_col: str = "chunk_id") -> DataFrame:
+def new_rows(rows: DataFrame, stored: DataFrame | None, id_col: str = "chunk_id") -> DataFrame:
     """Rows to append: the first of each id, ids already stored left out.
 
-    The ids of a small load are sent to the stored table, whose id column is then scanned without a
-    shuffle, and only the ids found again come back. A large load is joined id against id.
+    Ids alone are shuffled to find the special ones, which repeat in the load or are stored. They
+    are few as a rule, and then the wide rows are filtered by broadcast and never shuffled. With
+    many special ids the load is aggregated and joined by id as a whole.
     """
-    seen = stored.select(_q(id_col))
-    arriving = rows.select(_q(id_col)).distinct()
-    pinned = pinned_if_small(arriving)
-    if pinned is not arriving:
-        seen = seen.join(pinned, id_col, "left_semi")
-    fresh = first_per_id(rows, id_col).join(seen, id_col, "left_anti")
+    ids = rows.groupBy(_q(id_col)).agg(F.count("*").alias("_copies"))
+    if rows.count() <= MAX_SENT_IDS:
+        ids = pinned_if_small(ids, MAX_SENT_IDS)
+    if stored is None:
+        known = ids.withColumn("_stored", F.lit(False))
+    else:
+        # A small load is sent to the stored ids, so the scan of the whole table shuffles nothing.
+        found = stored.select(_q(id_col)).join(ids, id_col, "left_semi")
+        known = ids.join(found.withColumn("_stored", F.lit(True)), id_col, "left").na.fill(False)
+    special = known.filter("_copies > 1 OR _stored").select(_q(id_col), "_stored")
+    few = pinned_if_small(special, MAX_SENT_IDS)
+    if few is not special:
+        plain = rows.join(few, id_col, "left_anti")
+        repeated = rows.join(few.filter("NOT _stored"), id_col, "left_semi")
+        return plain.unionByName(first_per_id(repeated, id_col))
+    fresh = first_per_id(rows, id_col)
+    if stored is not None:
+        fresh = fresh.join(stored.select(_q(id_col)), id_col, "left_anti")
     return fresh.select(*map(_q, rows.columns))
 
 
@@ -126,7 +140,7 @@ class VectorTable:
     def add(self, rows: DataFrame, partition_by: list[str] | None = None) -> int:
         """Append records whose id is not stored yet and return how many were added."""
         require_columns(rows, ["chunk_id", "chunk_text", "embedding"])
-        fresh = new_rows(rows, self.read()) if self.exists() else first_per_id(rows)
+        fresh = new_rows(rows, self.read() if self.exists() else None)
         before = self.count()
         writer = fresh.write.mode("append")
         if partition_by:

@@ -3,6 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import physical_plan
 from narrata.operators import embed
 from narrata.sources import readers, store, writers
 from narrata.streaming.incremental import append_new_files
@@ -156,9 +157,21 @@ def test_sources_and_sinks(spark, rows, tmp_path):
         writers.write_embeddings(flat, f"{folder}/e2.parquet")
 
 
-def test_large_load_joins_id_against_id(spark, rows, monkeypatch, tmp_path):
+@pytest.mark.parametrize("limit", [0, 1, 3, 100])
+def test_small_and_large_loads_agree(spark, rows, monkeypatch, tmp_path, limit):
     table = store.VectorTable(spark, str(tmp_path / "v"))
     table.add(rows)
-    monkeypatch.setattr(store, "pinned_if_small", lambda df: df)
+    monkeypatch.setattr(store, "MAX_SENT_IDS", limit)
     more = rows.unionByName(rows.withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))))
-    assert {r.chunk_id for r in store.new_rows(more, table.read()).collect()} == {"a2", "b2"}
+    expected = [("a2", "other a"), ("b2", "text b")]
+    assert sorted(tuple(r)[:2] for r in store.new_rows(more, table.read()).collect()) == expected
+    empty = sorted(tuple(r)[:2] for r in store.new_rows(more, None).collect())
+    assert empty == sorted([*expected, ("a", "other a"), ("b", "text b")])
+
+
+def test_load_without_repeated_ids_is_not_shuffled(spark, rows, tmp_path):
+    table = store.VectorTable(spark, str(tmp_path / "v"))
+    table.add(rows)
+    table.read().withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))).write.parquet(str(tmp_path / "in"))
+    plan = physical_plan(store.new_rows(spark.read.parquet(str(tmp_path / "in")), table.read()))
+    assert "Exchange hashpartitioning" not in plan and "Aggregate" not in plan
