@@ -198,7 +198,7 @@ CHUNKING = {
 # --- vectors ------------------------------------------------------------------------------------
 def hash_embed(spark, sf_dir):
     table = embed.embed_table(documents(spark, sf_dir, heavy=True), "text", embed.hashing_encoder(DIM))
-    cells = table.select("doc_id", F.posexplode("embedding").alias("position", "weight"))
+    cells = table.select("doc_id", F.posexplode_outer("embedding").alias("position", "weight"))
     return cells.filter("weight <> 0").select("doc_id", "position", F.col("weight").cast("double"))
 
 
@@ -625,6 +625,7 @@ def answer_batch_job(spark, sf_dir):
         key_col="doc_id", text_col="text", metadata=["lang", "source"], embedding_dim=DIM,
     )
     table = chunk.chunk_table(documents(spark, sf_dir, heavy=True), "text", "doc_id", WINDOW, ["lang", "source"])
+    table = spark.read.parquet(writers.write_parquet(table, f"{folder}/chunks"))
     stored = store.VectorTable(spark, f"{folder}/vectors")
     vectors = embed.embed_table(table, "chunk_text", embed.hashing_encoder(DIM))
     named = store.project_metadata(vectors, {"lang": "product", "issue": "issue", "source": "company"}, None)

@@ -35,44 +35,49 @@ def _given(column: str) -> Column:
     return F.coalesce(F.col(column) != "", F.lit(False))
 
 
-def pack_context(hits: DataFrame, max_length: int = 2000, text_col: str = "chunk_text") -> DataFrame:
-    """One context per question: its hits in order of rank, up to ``max_length`` characters.
-
-    The first hit that does not fit is cut to the room left when that is over 100 characters, and
-    ends the context. The line breaks between hits are not counted.
-    """
+def _with_shown_pieces(hits: DataFrame, max_length: int, text_col: str) -> DataFrame:
+    """The hits with ``_shown``: what a hit adds to the context, null for a hit left out."""
     tag = F.concat(F.lit("[Document "), F.col("rank"), F.lit("]"))
     product = F.when(_given("product"), F.concat(F.lit(" Product: "), "product")).otherwise("")
     issue = F.when(_given("issue"), F.concat(F.lit(", Issue: "), "issue")).otherwise("")
     text = F.coalesce(F.col(text_col), F.lit(""))
     pieces = hits.select(
-        "question_id",
-        "rank",
-        text.alias("text"),
-        F.concat(tag, product).alias("head"),
-        F.concat(tag, product, issue, F.lit("\n"), text, F.lit("\n")).alias("piece"),
-        (F.length(tag) + F.lit(len("...\n"))).alias("cut_cost"),
+        "*",
+        F.concat(tag, product).alias("_head"),
+        F.concat(tag, product, issue, F.lit("\n"), text, F.lit("\n")).alias("_piece"),
+        (F.length(tag) + F.lit(len("...\n"))).alias("_cut_cost"),
     )
     before = Window.partitionBy("question_id").orderBy("rank").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    used, room = F.col("used"), F.col("room")
+    used, room = F.col("_used"), F.col("_room")
     sized = pieces.withColumn(
-        "used", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0))
-    ).withColumn("room", F.lit(max_length) - used - F.col("cut_cost"))
+        "_used", F.coalesce(F.sum(F.length("_piece")).over(before), F.lit(0))
+    ).withColumn("_room", F.lit(max_length) - used - F.col("_cut_cost"))
     # A row after the overflow has used > max_length, so only the first overflow can be cut.
-    fits = used + F.length("piece") <= max_length
-    cut = F.concat("head", F.lit("\n"), F.substring("text", F.lit(1), room.cast("int")), F.lit("...\n"))
-    shown = F.when(fits, F.col("piece")).when(
-        (used <= max_length) & (room > MIN_CUT_LENGTH), cut
+    fits = used + F.length("_piece") <= max_length
+    cut = F.concat(
+        "_head", F.lit("\n"), F.substring(text, F.lit(1), room.cast("int")), F.lit("...\n")
     )
-    packed = sized.groupBy("question_id").agg(
-        F.array_sort(F.collect_list(F.struct("rank", shown.alias("piece")))).alias("parts")
-    )
-    return packed.select(
-        "question_id",
-        F.array_join(F.transform("parts", lambda p: p["piece"]), "\n").alias("context"),
+    shown = F.when(fits, F.col("_piece")).when(
+        (used <= max_length) & (room > MIN_CUT_LENGTH), cut
     )
+    return sized.withColumn("_shown", shown)
+
+
+def _joined_pieces() -> Column:
+    parts = F.array_sort(F.collect_list(F.struct("rank", F.col("_shown").alias("piece"))))
+    return F.array_join(F.transform(parts, lambda p: p["piece"]), "\n")
+
+
+def pack_context(hits: DataFrame, max_length: int = 2000, text_col: str = "chunk_text") -> DataFrame:
+    """One context per question: its hits in order of rank, up to ``max_length`` characters.
+
+    The first hit that does not fit is cut to the room left when that is over 100 characters, and
+    ends the context. The line breaks between hits are not counted.
+    """
+    shown = _with_shown_pieces(hits, max_length, text_col)
+    return shown.groupBy("question_id").agg(_joined_pieces().alias("context"))
 
 
 def prompts(
@@ -90,8 +95,7 @@ def shortened(text: Column, length: int) -> Column:
     return F.when(F.length(text) > length, head).otherwise(text)
 
 
-def sources(hits: DataFrame, limit: int = 3, text_col: str = "chunk_text") -> DataFrame:
-    """Per question the first hits as a sorted array of sources."""
+def _first_sources(limit: int, text_col: str) -> Column:
     named = [F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in ("product", "issue", "company")]
     source = F.struct(
         F.col("rank").cast("int").alias("rank"),
@@ -99,11 +103,12 @@ def sources(hits: DataFrame, limit: int = 3, text_col: str = "chunk_text") -> Da
         *named,
         F.col("distance").cast("double").alias("distance"),
     )
-    return (
-        hits.filter(F.col("rank") <= limit)
-        .groupBy("question_id")
-        .agg(F.array_sort(F.collect_list(source)).alias("sources"))
-    )
+    return F.array_sort(F.collect_list(F.when(F.col("rank") <= limit, source)))
+
+
+def sources(hits: DataFrame, limit: int = 3, text_col: str = "chunk_text") -> DataFrame:
+    """Per question the first hits as a sorted array of sources."""
+    return hits.groupBy("question_id").agg(_first_sources(limit, text_col).alias("sources"))
 
 
 def assemble_answers(
@@ -119,10 +124,11 @@ def assemble_answers(
     ``supplied`` holds (question_id, answer). A question without hits gets the fixed text, one with
     hits but without a supplied answer the error text.
     """
-    contexts = pack_context(hits, max_length, text_col)
-    joined = questions.join(contexts, "question_id", "left").join(
-        sources(hits, text_col=text_col), "question_id", "left"
+    # Context and sources come from one aggregation, so the search behind the hits runs once.
+    packed = _with_shown_pieces(hits, max_length, text_col).groupBy("question_id").agg(
+        _joined_pieces().alias("context"), _first_sources(3, text_col).alias("sources")
     )
+    joined = questions.join(packed, "question_id", "left")
     if supplied is None:
         joined = joined.withColumn("answer", F.lit(None).cast("string"))
     else:

@@ -170,11 +170,13 @@ def chunk_table(
         *([_q(key_col).alias("_key")] if key_col in metadata else []),
         chunks_of(_q(text_col), splitter).alias("_chunks"),
     )
+    # The outer form: for the inner one the optimizer adds a filter on the size of the array below
+    # the projection, and the splitter would run a second time for it.
     rows = chunked.select(
         "*",
         F.size("_chunks").alias("num_chunks"),
-        F.posexplode("_chunks").alias("chunk_index", "chunk_text"),
-    )
+        F.posexplode_outer("_chunks").alias("chunk_index", "chunk_text"),
+    ).filter("chunk_text IS NOT NULL")
     return rows.select(
         F.concat_ws("_", "original_index", "chunk_index").alias("chunk_id"),
         "original_index",
@@ -208,7 +210,7 @@ def _measured(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
         ),
         F.transform("lengths", lambda length: entry("length", length)),
     )
-    return value_counts(base.select(F.inline(entries)), "kind")
+    return value_counts(base.select(F.inline_outer(entries)), "kind")
 
 
 def _per(kind: str, measured: DataFrame) -> DataFrame:

@@ -196,8 +196,11 @@ def sampling_stats(
         F.max(F.abs("difference_pct")).alias("max_difference"),
         F.avg(F.abs("difference_pct")).alias("mean_difference"),
     )
-    rows = original.agg(F.count("*").alias("n")).scalar()
-    drawn = sample.agg(F.count("*").alias("n")).scalar()
+    # The sizes come from the same grouped counts as the report, whose shuffle is then used again.
+    rows, drawn = (
+        strata_counts(df, column).agg(F.coalesce(F.sum("available"), F.lit(0)).alias("n")).scalar()
+        for df in (original, sample)
+    )
     low, high = TARGET_SAMPLE_RANGE
     return report.select(
         rows.alias("original_size"),

@@ -138,15 +138,19 @@ class VectorTable:
         return self.spark.read.parquet(self.path)
 
     def add(self, rows: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Append records whose id is not stored yet and return how many were added."""
+        """Append records whose id is not stored yet and return how many were added.
+
+        The ids are read before the rows are, so costly work belongs into a table written first.
+        """
         require_columns(rows, ["chunk_id", "chunk_text", "embedding"])
-        fresh = new_rows(rows, self.read() if self.exists() else None)
-        before = self.count()
+        stored = self.read() if self.exists() else None
+        fresh = new_rows(rows, stored)
+        before = stored.count() if stored is not None else 0
         writer = fresh.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path)
-        return self.count() - before
+        return self.read().count() - before
 
     def count(self) -> int:
         """Stored rows, from the Parquet footers."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import CHECKS
 from conftest import physical_plan
-from narrata.operators import clean, nearest, profile, sample, validate
+from narrata.operators import chunk, clean, embed, nearest, profile, sample, validate
 from narrata.params import JobParams
 from narrata.session import pinned_if_small, scratch_path
 
@@ -39,6 +39,24 @@ def test_statistics_read_one_column(spark):
     assert "Python" not in plan
 
 
+def test_python_runs_once(spark):
+    splitter = chunk.recursive_splitter()
+    frames = [
+        chunk.chunk_table(documents(spark), "text", "doc_id", splitter, ["lang"]),
+        chunk.chunk_stats(documents(spark), "text", splitter),
+        chunk.chunk_length_histogram(documents(spark), "text", splitter).select("bin", "n"),
+        embed.embed_table(documents(spark), "text").select("doc_id", "embedding"),
+        CHECKS["hash_embed"][0](spark, DATA),
+    ]
+    counts = [physical_plan(f).count("ArrowEvalPython") for f in frames]
+    assert counts[:2] + counts[3:] == [1, 1, 1, 1], counts
+
+
+def test_search_runs_once_per_answer_batch(spark):
+    plan = physical_plan(CHECKS["evaluation_markdown"][0](spark, DATA).filter("part = 2"))
+    assert plan.count("MapInArrow") == 1
+
+
 def test_funnel_reads_two_columns_once(spark):
     plan = physical_plan(clean.filter_funnel(documents(spark), ["en"], "lang", "text"))
     assert plan.count("ReadSchema") == 1 and "struct<text:string,lang:string>" in plan
