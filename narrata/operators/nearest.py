@@ -227,18 +227,14 @@ def _scan_by_blocks(
 ) -> DataFrame:
     question_blocks = max(1, math.ceil(2 * asked.count() / max_sent))
     chunk_blocks = max(1, math.ceil(scanned.count() / chunks_per_block))
-    id_col, question_id = scanned.columns[0], asked.columns[0]
-
-    def spread(df: DataFrame, own: str, own_blocks: int, key: str, other: str, others: int) -> DataFrame:
-        return df.withColumns(
-            {
-                own: F.pmod(F.xxhash64(_q(key)), F.lit(own_blocks)).cast("int"),
-                other: F.explode(F.sequence(F.lit(0), F.lit(others - 1))),
-            }
-        )
-
-    left = spread(scanned, "_cb", chunk_blocks, id_col, "_qb", question_blocks)
-    right = spread(asked, "_qb", question_blocks, question_id, "_cb", chunk_blocks)
+    def dealt(df: DataFrame, own: str, own_blocks: int, other: str, others: int) -> DataFrame:
+        """Each row in one block of its own side and in all blocks of the other side."""
+        block = F.pmod(F.xxhash64(*map(_q, df.columns[:2])), F.lit(own_blocks)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(others - 1)))
+        return df.withColumns({own: block, other: every})
+
+    left = dealt(scanned, "_cb", chunk_blocks, "_qb", question_blocks)
+    right = dealt(asked, "_qb", question_blocks, "_cb", chunk_blocks)
     arrow_schema = _arrow_schema(schema)
 
     def one_block(chunk_part: pa.Table, question_part: pa.Table) -> pa.Table:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrata.functions import text as tx
+from narrata.operators import validate
+from narrata.session import pinned_if_small
 
 
 def _q(name: str) -> Column:
@@ -91,46 +93,56 @@ def _word_lengths(df: DataFrame, text_col: str) -> DataFrame:
 
 def length_counts(df: DataFrame, text_col: str) -> DataFrame:
     """Rows in total, with text and without."""
-    present = tx.has_text(_q(text_col))
-    return df.agg(
-        F.count("*").alias("total_rows"),
-        F.count_if(present).alias("rows_with_narratives"),
-        F.count_if(~present).alias("rows_without_narratives"),
+    return _length_counts(df.select(tx.has_text(_q(text_col)).alias("present"), F.lit(1).alias("n")))
+
+
+def _length_counts(rows: DataFrame) -> DataFrame:
+    """The same from (present, n) rows."""
+    return rows.agg(
+        _total(F.lit(True)).alias("total_rows"),
+        _total(F.col("present")).alias("rows_with_narratives"),
+        _total(~F.col("present")).alias("rows_without_narratives"),
     )
 
 
+def _total(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
+
+
 def length_stats(df: DataFrame, text_col: str) -> DataFrame:
     """Word-count statistics of the texts that are present. All null when there is none."""
+    return _length_stats(_word_lengths(df, text_col))
+
+
+def _length_stats(lengths: DataFrame) -> DataFrame:
     quantiles = {"q25": 0.25, "q75": 0.75, "q90": 0.90, "q95": 0.95, "q99": 0.99}
-    return _word_lengths(df, text_col).agg(*weighted_stats(quantiles))
+    return lengths.agg(*weighted_stats(quantiles))
 
 
 def short_long_counts(df: DataFrame, text_col: str, short: int = 10) -> DataFrame:
     """Texts under ``short`` words, the 95th percentile, and texts above it."""
-    lengths = _word_lengths(df, text_col)
+    return _short_long_counts(_word_lengths(df, text_col), short)
+
+
+def _short_long_counts(lengths: DataFrame, short: int = 10) -> DataFrame:
     q95 = lengths.agg(F.percentile("value", F.lit(0.95), F.col("n")).alias("q95")).scalar()
     marked = lengths.select("value", "n", q95.alias("threshold"))
     return marked.agg(
-        F.coalesce(F.sum(F.when(F.col("value") < short, F.col("n"))), F.lit(0)).alias(
-            "very_short_count"
-        ),
+        _total(F.col("value") < short).alias("very_short_count"),
         F.max("threshold").alias("very_long_threshold"),
-        F.coalesce(F.sum(F.when(F.col("value") > F.col("threshold"), F.col("n"))), F.lit(0)).alias(
-            "very_long_count"
-        ),
+        _total(F.col("value") > F.col("threshold")).alias("very_long_count"),
     )
 
 
 def presence(df: DataFrame, text_col: str) -> DataFrame:
     """Counts and percentages with and without text."""
-    present = tx.has_text(_q(text_col))
-    counts = df.agg(
-        F.count("*").alias("total"),
-        F.count_if(present).alias("with_count"),
-        F.count_if(~present).alias("without_count"),
-    )
+    return _presence(df.select(tx.has_text(_q(text_col)).alias("present"), F.lit(1).alias("n")))
+
+
+def _presence(rows: DataFrame) -> DataFrame:
+    """The same from (present, n) rows."""
     total = F.nullif("total", F.lit(0))
-    return counts.select(
+    return _length_counts(rows).toDF("total", "with_count", "without_count").select(
         "total",
         "with_count",
         tx.round_even(F.col("with_count") / total * 100, 2).alias("with_percent"),
@@ -243,17 +255,26 @@ def share_comparison(original: DataFrame, sample: DataFrame, column: str) -> Dat
 
 
 def profile(df: DataFrame, category_col: str, text_col: str) -> dict[str, DataFrame | None]:
-    """All parts of the profile. A part whose column is absent is None."""
-    from narrata.operators import validate
-
-    has_category, has_text = category_col in df.columns, text_col in df.columns
-    parts: dict[str, DataFrame | None] = {
-        "category_distribution": category_distribution(df, category_col) if has_category else None,
-        "distribution_headline": distribution_headline(df, category_col) if has_category else None,
-        "length_counts": length_counts(df, text_col) if has_text else None,
-        "length_stats": length_stats(df, text_col) if has_text else None,
-        "short_long_counts": short_long_counts(df, text_col) if has_text else None,
-        "presence": presence(df, text_col) if has_text else None,
-    }
+    """All parts of the profile. A part whose column is absent is None.
+
+    The text is read once: its parts come from the counts per (present, words), which are fetched
+    when they are small, as they are but for absurd texts.
+    """
+    parts: dict[str, DataFrame | None] = dict.fromkeys(
+        ["category_distribution", "distribution_headline", "length_counts", "length_stats",
+         "short_long_counts", "presence"]
+    )
+    if category_col in df.columns:
+        parts["category_distribution"] = category_distribution(df, category_col)
+        parts["distribution_headline"] = distribution_headline(df, category_col)
+    if text_col in df.columns:
+        text = _q(text_col)
+        words = df.select(tx.has_text(text).alias("present"), tx.word_count(text).alias("value"))
+        counts = pinned_if_small(value_counts(words, "present"))
+        lengths = counts.filter("present").select("value", "n")
+        parts["length_counts"] = _length_counts(counts)
+        parts["length_stats"] = _length_stats(lengths)
+        parts["short_long_counts"] = _short_long_counts(lengths)
+        parts["presence"] = _presence(counts)
     parts.update(validate.summary(df))
     return parts

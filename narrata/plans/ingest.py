@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from narrata.operators.embed import Encoder, embed
 from narrata.operators.nearest import nearest
 from narrata.params import require_columns
+from narrata.session import local_table
 from narrata.sources.readers import first_readable
 from narrata.sources.store import METADATA_NAMES, VectorTable, project_metadata, records
 
@@ -45,10 +46,12 @@ def ingest_embeddings(
     )
 
 
-def test_question(
+def ask_once(
     table: VectorTable, question: str, factory: Callable[[], Encoder], k: int = 3
 ) -> DataFrame:
     """The k nearest chunks of one question, embedded by the encoder the table was built with."""
-    asked = table.spark.createDataFrame([(1, question)], "question_id int, question string")
+    asked = local_table(
+        table.spark, {"question_id": [1], "question": [question]}, "question_id int, question string"
+    )
     vectors = asked.withColumn("question_embedding", embed(F.col("question"), factory))
     return nearest(table.read(), vectors, k, payload=["chunk_text"])

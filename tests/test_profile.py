@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from conftest import physical_plan
 from narrata.operators import profile
 
 TEXTS = ["one", "one two", "one two three", None, "", " ", "w " * 30, "w " * 30, "w " * 7]
@@ -62,6 +63,10 @@ def test_presence_and_bundle(table):
     assert tuple(profile.missing_blank(table, "text").first()) == (1, 2)
     parts = profile.profile(table, "kind", "nowhere")
     assert parts["length_stats"] is None and parts["category_distribution"].count() == 2
+    whole = profile.profile(table, "kind", "text")
+    for name in ("length_counts", "length_stats", "short_long_counts", "presence"):
+        assert whole[name].collect() == getattr(profile, name)(table, "text").collect()
+        assert "LocalTableScan" in physical_plan(whole[name])
 
 
 def test_share_comparison(table, spark):
