@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 # --- fixed values: column names of the raw table and default job parameters ---
@@ -18,6 +19,15 @@ ESSENTIAL_COLUMNS = [
 CHUNK_METADATA = ["Product", "Issue", "Company", "State", "Date received", "Complaint ID"]
 TARGET_PRODUCTS = ["Credit card", "Personal loan", "Savings account", "Money transfers"]
 TARGET_SAMPLE_RANGE = (10_000, 15_000)
+ENVIRONMENT = {
+    "SAMPLE_SIZE": "sample_size",
+    "STRATIFY_COLUMN": "stratify_col",
+    "RANDOM_STATE": "seed",
+    "MIN_SAMPLES_PER_STRATUM": "min_per_stratum",
+    "CHUNK_SIZE": "chunk_size",
+    "CHUNK_OVERLAP": "chunk_overlap",
+    "NORMALIZE_EMBEDDINGS": "normalize",
+}
 SEPARATORS = ["\n\n", "\n", ". ", "! ", "? ", "; ", ", ", " ", ""]
 # ------------------------------------------------------------------------------
 
@@ -43,6 +53,17 @@ class JobParams:
     top_k: int = 5
     max_context: int = 2000
 
+    @classmethod
+    def from_environment(cls, **changes) -> JobParams:
+        """Parameters from environment variables; ``changes`` win over them."""
+        found = {}
+        for variable, name in ENVIRONMENT.items():
+            text = os.environ.get(variable)
+            if text is not None:
+                kind = type(getattr(cls, name))
+                found[name] = text.lower() == "true" if kind is bool else kind(text)
+        return cls(**{**found, **changes})
+
     def __post_init__(self) -> None:
         if self.sample_size <= 0:
             raise ValueError(f"sample_size must be positive, got {self.sample_size}")

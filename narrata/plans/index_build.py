@@ -24,10 +24,12 @@ from narrata.sources.writers import write_both, write_embeddings, write_parquet
 
 @dataclass
 class IndexBuild:
-    """Paths of the written tables, the stage counts, and the profile parts if asked for."""
+    """Paths of the written tables, stage counts, sampling reports, and the profile if asked for."""
 
     paths: dict[str, str] = field(default_factory=dict)
     counts: DataFrame | None = None
+    sampling_report: DataFrame | None = None
+    sampling_stats: DataFrame | None = None
     profile: dict[str, DataFrame | None] | None = None
     final: DataFrame | None = None
 
@@ -75,6 +77,9 @@ def preprocess(
             built.paths["sample"] = write_parquet(drawn, f"{folder}/stratified_sample.parquet")
             drawn = spark.read.parquet(built.paths["sample"])
         stages = stages.unionByName(_count(drawn, 4, "sample"))
+        strata = params.stratify_col
+        built.sampling_report = sample.sampling_report(filtered, drawn, strata)
+        built.sampling_stats = sample.sampling_stats(filtered, drawn, strata, params.sample_size)
         built.final = drawn
     built.counts = stages
     return built

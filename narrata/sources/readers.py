@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrata.functions.text import NULL_TOKENS_CSV, tokens_to_null
+from narrata.operators.sample import simple_sample
 from narrata.params import ESSENTIAL_COLUMNS, EXPECTED_COLUMNS
 
 
@@ -95,5 +96,32 @@ def reuse(df: DataFrame) -> DataFrame:
     return df.persist()
 
 
+class LoadedTables:
+    """Tables kept between calls by source and sample size, until they are cleared."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._kept: dict[tuple, DataFrame] = {}
+
+    def load(
+        self, paths: list[str], sample: int | None = None, key: str | None = None, seed: int = 42
+    ) -> DataFrame:
+        """The first path that exists, or a sample of it by its unique column ``key``."""
+        if sample is not None and key is None:
+            raise ValueError("a sample needs a unique column as key")
+        name = (*paths, sample, key, seed)
+        if name not in self._kept:
+            table = first_readable(self.spark, paths)
+            if sample is not None:
+                table = simple_sample(table, sample, key, seed)
+            self._kept[name] = reuse(table)
+        return self._kept[name]
+
+    def clear(self) -> None:
+        for table in self._kept.values():
+            release(table)
+        self._kept.clear()
+
+
 def release(df: DataFrame) -> DataFrame:
     return df.unpersist()

@@ -90,29 +90,34 @@ def first_per_id(rows: DataFrame, id_col: str = "chunk_id") -> DataFrame:
 def new_rows(rows: DataFrame, stored: DataFrame | None, id_col: str = "chunk_id") -> DataFrame:
     """Rows to append: the first of each id, ids already stored left out.
 
-    Ids alone are shuffled to find the special ones, which repeat in the load or are stored. They
-    are few as a rule, and then the wide rows are filtered by broadcast and never shuffled. With
-    many special ids the load is aggregated and joined by id as a whole.
+    The ids of a small load are sent to the stored table, so the scan of all stored ids shuffles
+    nothing. Of a large load the ids alone are shuffled to find the special ones, which repeat in
+    the load or are stored. They are few as a rule, and then the wide rows are filtered by
+    broadcast and never shuffled. With many special ids the load is aggregated and joined by id.
     """
-    ids = rows.groupBy(_q(id_col)).agg(F.count("*").alias("_copies"))
+    fresh = first_per_id(rows, id_col)
     if rows.count() <= MAX_SENT_IDS:
-        ids = pinned_if_small(ids, MAX_SENT_IDS)
+        if stored is not None:
+            arriving = pinned_if_small(rows.select(_q(id_col)).distinct(), MAX_SENT_IDS)
+            fresh = _without(fresh, stored.join(arriving, id_col, "left_semi"), id_col)
+        return fresh
+    known = rows.groupBy(_q(id_col)).agg(F.count("*").alias("_copies"))
     if stored is None:
-        known = ids.withColumn("_stored", F.lit(False))
+        known = known.withColumn("_stored", F.lit(False))
     else:
-        # A small load is sent to the stored ids, so the scan of the whole table shuffles nothing.
-        found = stored.select(_q(id_col)).join(ids, id_col, "left_semi")
-        known = ids.join(found.withColumn("_stored", F.lit(True)), id_col, "left").na.fill(False)
+        marked = stored.select(_q(id_col), F.lit(True).alias("_stored"))
+        known = known.join(marked, id_col, "left").na.fill(False, ["_stored"])
     special = known.filter("_copies > 1 OR _stored").select(_q(id_col), "_stored")
     few = pinned_if_small(special, MAX_SENT_IDS)
     if few is not special:
-        plain = rows.join(few, id_col, "left_anti")
         repeated = rows.join(few.filter("NOT _stored"), id_col, "left_semi")
-        return plain.unionByName(first_per_id(repeated, id_col))
-    fresh = first_per_id(rows, id_col)
-    if stored is not None:
-        fresh = fresh.join(stored.select(_q(id_col)), id_col, "left_anti")
-    return fresh.select(*map(_q, rows.columns))
+        return _without(rows, few, id_col).unionByName(first_per_id(repeated, id_col))
+    return fresh if stored is None else _without(fresh, stored, id_col)
+
+
+def _without(rows: DataFrame, others: DataFrame, id_col: str) -> DataFrame:
+    kept = rows.join(others.select(_q(id_col)), id_col, "left_anti")
+    return kept.select(*map(_q, rows.columns))
 
 
 class VectorTable:
@@ -126,39 +131,44 @@ class VectorTable:
             self.delete()
 
     def exists(self) -> bool:
+        return self._found() is not None
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def _found(self) -> DataFrame | None:
         try:
-            self.spark.read.parquet(self.path)
-            return True
+            return self.read()
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-                return False
+                return None
             raise
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
-
     def add(self, rows: DataFrame, partition_by: list[str] | None = None) -> int:
         """Append records whose id is not stored yet and return how many were added.
 
         The ids are read before the rows are, so costly work belongs into a table written first.
         """
         require_columns(rows, ["chunk_id", "chunk_text", "embedding"])
-        stored = self.read() if self.exists() else None
+        stored = self._found()
         fresh = new_rows(rows, stored)
         before = stored.count() if stored is not None else 0
         writer = fresh.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path)
-        return self.read().count() - before
+        return self.spark.read.schema(rows.schema).parquet(self.path).count() - before
 
     def count(self) -> int:
         """Stored rows, from the Parquet footers."""
-        return self.read().count() if self.exists() else 0
+        stored = self._found()
+        return 0 if stored is None else stored.count()
 
     def info(self) -> DataFrame:
         """Name, number of documents and place."""
-        stored = self.read() if self.exists() else self.spark.createDataFrame([], "chunk_id string")
+        stored = self._found()
+        if stored is None:
+            stored = self.spark.createDataFrame([], "chunk_id string")
         return stored.agg(F.count("*").alias("document_count")).select(
             F.lit(self.name).alias("collection_name"), "document_count", F.lit(self.path).alias("path")
         )

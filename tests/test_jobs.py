@@ -53,6 +53,8 @@ def test_index_build_and_answers(spark, raw, tmp_path):
     assert got["chunks"] == got["vectors"] > 40
     assert set(built.paths) == {"csv", "parquet", "sample", "chunks", "vectors"}
     assert built.profile["length_counts"].first().total_rows == 64
+    assert built.sampling_report.count() == 4
+    assert (built.sampling_stats.first().original_size, built.sampling_stats.first().sample_size) == (64, 40)
     table = VectorTable(spark, built.paths["vectors"])
     stored = table.read()
     assert {"product", "issue", "company", "state", "date_received", "complaint_id"} <= set(stored.columns)

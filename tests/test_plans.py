@@ -112,6 +112,14 @@ def test_scratch_folder_follows_the_session():
         scratch_path(session(None, "spark://host:7077"), "x")
 
 
+def test_parameters_from_the_environment(monkeypatch):
+    for name, text in {"CHUNK_SIZE": "300", "STRATIFY_COLUMN": "Issue", "NORMALIZE_EMBEDDINGS": "False"}.items():
+        monkeypatch.setenv(name, text)
+    params = JobParams.from_environment(chunk_overlap=0)
+    assert (params.chunk_size, params.chunk_overlap, params.stratify_col) == (300, 0, "Issue")
+    assert params.normalize is False and params.sample_size == 12_500
+
+
 def test_parameters_are_checked():
     for bad in (
         {"sample_size": 0}, {"seed": -1}, {"min_per_stratum": 0}, {"chunk_size": 0},

@@ -151,13 +151,21 @@ def test_sources_and_sinks(spark, rows, tmp_path):
     assert copied.count() == 3
     kept = readers.reuse(copied)
     assert kept.is_cached and not readers.release(kept).is_cached
+    tables = readers.LoadedTables(spark)
+    first = tables.load([paths["parquet"]], sample=2, key="chunk_text")
+    assert tables.load([paths["parquet"]], sample=2, key="chunk_text") is first
+    assert first.count() == 2 and tables.load([paths["parquet"]]).count() == 3
+    tables.clear()
+    assert not first.is_cached
+    with pytest.raises(ValueError):
+        tables.load([paths["parquet"]], sample=2)
     writers.write_embeddings(rows, f"{folder}/e.parquet")
     assert spark.read.parquet(f"{folder}/e.parquet").count() == 3
     with pytest.raises(ValueError):
         writers.write_embeddings(flat, f"{folder}/e2.parquet")
 
 
-@pytest.mark.parametrize("limit", [0, 1, 3, 100])
+@pytest.mark.parametrize("limit", [0, 1, 3, 5, 100])
 def test_small_and_large_loads_agree(spark, rows, monkeypatch, tmp_path, limit):
     table = store.VectorTable(spark, str(tmp_path / "v"))
     table.add(rows)
@@ -169,7 +177,8 @@ def test_small_and_large_loads_agree(spark, rows, monkeypatch, tmp_path, limit):
     assert empty == sorted([*expected, ("a", "other a"), ("b", "text b")])
 
 
-def test_load_without_repeated_ids_is_not_shuffled(spark, rows, tmp_path):
+def test_large_load_without_repeated_ids_is_not_shuffled(spark, rows, monkeypatch, tmp_path):
+    monkeypatch.setattr(store, "MAX_SENT_IDS", 1)
     table = store.VectorTable(spark, str(tmp_path / "v"))
     table.add(rows)
     table.read().withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))).write.parquet(str(tmp_path / "in"))
