@@ -625,7 +625,7 @@ def answer_batch_job(spark, sf_dir):
         key_col="doc_id", text_col="text", metadata=["lang", "source"], embedding_dim=DIM,
     )
     table = chunk.chunk_table(documents(spark, sf_dir, heavy=True), "text", "doc_id", WINDOW, ["lang", "source"])
-    table = spark.read.parquet(writers.write_parquet(table, f"{folder}/chunks"))
+    table = writers.written(table, f"{folder}/chunks")
     stored = store.VectorTable(spark, f"{folder}/vectors")
     vectors = embed.embed_table(table, "chunk_text", embed.hashing_encoder(DIM))
     named = store.project_metadata(vectors, {"lang": "product", "issue": "issue", "source": "company"}, None)

@@ -19,7 +19,7 @@ from narrata.operators.embed import Encoder, embed_table, hashing_encoder
 from narrata.operators.profile import profile
 from narrata.params import JobParams, require_columns
 from narrata.sources.store import METADATA_NAMES, VectorTable, project_metadata, records
-from narrata.sources.writers import write_both, write_embeddings, write_parquet
+from narrata.sources.writers import write_both, write_embeddings, written
 
 
 @dataclass
@@ -52,12 +52,12 @@ def preprocess(
 ) -> IndexBuild:
     """Filter by product and text, save, draw the stratified sample, save."""
     require_columns(df, [params.key_col, params.product_col, params.text_col])
-    spark, built = df.sparkSession, IndexBuild()
+    built = IndexBuild()
     products = clean.filter_by_products(df, params.products, params.product_col)
     filtered = clean.remove_empty_narratives(products, params.text_col)
     if save_filtered:
         built.paths.update(write_both(filtered, folder, "filtered", csv=save_csv, parquet=True))
-        filtered = spark.read.parquet(built.paths["parquet"])
+        filtered = df.sparkSession.read.schema(filtered.schema).parquet(built.paths["parquet"])
     funnel = clean.filter_funnel(df, params.products, params.product_col, params.text_col)
     names = ["loaded", "product_filter", "narrative_filter"]
     steps = [
@@ -74,8 +74,8 @@ def preprocess(
             params.min_per_stratum,
         )
         if save_sample:
-            built.paths["sample"] = write_parquet(drawn, f"{folder}/stratified_sample.parquet")
-            drawn = spark.read.parquet(built.paths["sample"])
+            built.paths["sample"] = f"{folder}/stratified_sample.parquet"
+            drawn = written(drawn, built.paths["sample"])
         stages = stages.unionByName(_count(drawn, 4, "sample"))
         strata = params.stratify_col
         built.sampling_report = sample.sampling_report(filtered, drawn, strata)
@@ -103,15 +103,15 @@ def build_index(
     splitter = make_splitter(params.splitter, params.chunk_size, params.chunk_overlap)
     metadata = [c for c in params.metadata if c in built.final.columns]
     chunks = chunk_table(built.final, params.text_col, params.key_col, splitter, metadata)
-    built.paths["chunks"] = write_parquet(chunks, f"{folder}/chunks.parquet")
-    chunks = spark.read.parquet(built.paths["chunks"])
+    built.paths["chunks"] = f"{folder}/chunks.parquet"
+    chunks = written(chunks, built.paths["chunks"])
     stages = [built.counts, _count(chunks, 5, "chunks")]
     if with_embedding:
         factory = encoder or hashing_encoder(params.embedding_dim)
         vectors = embed_table(chunks, "chunk_text", factory, params.normalize)
         if save_embeddings:
             built.paths["embeddings"] = write_embeddings(vectors, f"{folder}/embeddings.parquet")
-            vectors = spark.read.parquet(built.paths["embeddings"])
+            vectors = spark.read.schema(vectors.schema).parquet(built.paths["embeddings"])
         if with_store:
             stored_names = METADATA_NAMES if metadata_names is None else metadata_names
             names = {k: v for k, v in stored_names.items() if k in metadata}

@@ -14,6 +14,12 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write a stage and go on from the written table. The known schema saves reading it back."""
+    write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Quotes are doubled and blanks at the ends of a value are kept."""
     options = {"header": True, "quote": '"', "escape": '"'}
@@ -30,9 +36,9 @@ def write_both(
         raise ValueError("choose at least one of csv and parquet")
     paths: dict[str, str] = {}
     if parquet:
-        paths["parquet"] = write_parquet(df, f"{folder}/{name}.parquet")
+        paths["parquet"] = f"{folder}/{name}.parquet"
         # The CSV copy reads the Parquet copy back, so the work before it is not done twice.
-        df = df.sparkSession.read.parquet(paths["parquet"])
+        df = written(df, paths["parquet"])
     if csv:
         paths["csv"] = write_csv(df, f"{folder}/{name}.csv")
     return paths
