@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from narrata.llm import chat, fair_mix, host_rules, language, packing
+from narrata.llm import chat, fair_mix, host_rules, language, near_dup, packing
 from narrata.llm.common import read_table
 from narrata.llm.sql import HOST_RULES_SQL, MIX_SQL
 
@@ -36,10 +36,15 @@ def op8_language_id(spark, sf_dir):
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dup(spark, sf_dir):
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
+
+
 CHECKS = {
     "op3_mix": (op3_mix, MIX_SQL),
     "op4_host_rules": (op4_host_rules, HOST_RULES_SQL),
     "op6_best_fit_packing": (op6_best_fit_packing, None),
     "op7_chat_format": (op7_chat_format, None),
     "op8_language_id": (op8_language_id, None),
+    "op10_minhash_near_dup": (op10_minhash_near_dup, None),
 }
