@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from narrata.llm import chat, fair_mix, host_rules, language, near_dup, packing
+from narrata.llm import chat, fair_mix, host_rules, language, line_dedup, near_dup, packing
 from narrata.llm.common import read_table
 from narrata.llm.sql import HOST_RULES_SQL, MIX_SQL
 
@@ -36,6 +36,11 @@ def op8_language_id(spark, sf_dir):
     return language.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark, sf_dir):
+    documents = read_table(spark, sf_dir, "documents")
+    return line_dedup.deduplicated(documents).select("doc_id", "text", "removed_lines", "removed_partners")
+
+
 def op10_minhash_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
 
@@ -46,5 +51,6 @@ CHECKS = {
     "op6_best_fit_packing": (op6_best_fit_packing, None),
     "op7_chat_format": (op7_chat_format, None),
     "op8_language_id": (op8_language_id, None),
+    "op9_line_dedup": (op9_line_dedup, None),
     "op10_minhash_near_dup": (op10_minhash_near_dup, None),
 }
