@@ -18,9 +18,12 @@ read of the input.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +35,26 @@ from narrata.llm.common import staged
 SEQUENCE = 2048
 GROUP = 4096
 ROUNDS = 6
-#: Blank-separated parts of a text whose ids a task remembers at most.
-REMEMBERED = 400_000
-#: Parts longer than this are not remembered.
-LONGEST_REMEMBERED = 64
+#: Parts of texts whose ids a task remembers; beyond that it starts anew.
+REMEMBERED = 600_000
+
+
+#: Letters of blocks without combining marks; lower-casing these is the same before and after composition.
+_beyond_latin = re.compile("[^\x00-\u02ff]")
+_joined_marks = re.compile("[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\\s][.,]")
+
+
+#: Byte-level vocabularies write bytes that are no printable Latin-1 character as U+0100 and up, in order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_SYMBOLS = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x100, 0x200), strict=False))
 
 
 class PartTokenizer:
-    """Ids of whole texts, from the ids of their blank-separated parts.
+    """Ids of whole texts, from the ids of their parts.
 
-    The vocabulary drops white space and never joins over it, so a text's ids are the ids of its
-    parts in a row. Invented or natural, most parts repeat and are looked up. Lookups give numbers
-    into one array of ids, so a text costs one pass over its parts.
+    The vocabulary is lower case, drops white space and never joins over it, nor over the border of a
+    letter or digit and a full stop or comma. So a text's ids are the ids of its parts in a row. Most
+    parts repeat and are looked up; a lookup gives a number into one array of ids.
     """
 
     def __init__(self, path: str):
@@ -54,49 +65,53 @@ class PartTokenizer:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {"": 0}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts, self.used = [0, 0], 0
+        self.ids = np.zeros(0, np.uint32)
+        self.starts = np.zeros(2, np.int64)
+
+    def _ids(self, part: str) -> list[int]:
+        if part.isalpha() and part.islower() and not _beyond_latin.search(part):
+            # One word in its final form: merged directly, by the characters that stand for its bytes.
+            symbols = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+            return [token.id for token in self.tokenizer.model.tokenize(symbols)]
+        return self.tokenizer.encode(part, add_special_tokens=False).ids
 
     def _learn(self, parts: list[str]) -> None:
-        for found in self.tokenizer.encode_batch(parts, add_special_tokens=False):
-            new = found.ids
-            if self.used + len(new) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(new), np.uint32)])
-            self.ids[self.used:self.used + len(new)] = new
-            self.used += len(new)
-            self.starts.append(self.used)
-        for part in parts:
-            self.known[part] = len(self.known)
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
-        for start in range(0, len(texts), 64):
-            split = [(t or "").replace("\n", " ").split(" ") for t in texts[start:start + 64]]
-            if len(self.known) > REMEMBERED:
-                self._forget()
-            new = {p for parts in split for p in parts if p not in self.known}
-            self._learn([p for p in new if len(p) <= LONGEST_REMEMBERED])
-            starts = np.array(self.starts, np.int64)
-            for parts in split:
-                long = [i for i, p in enumerate(parts) if len(p) > LONGEST_REMEMBERED]
-                if not long:
-                    yield self._joined(parts, starts)
-                    continue
-                pieces, last = [], 0
-                for i in long:
-                    pieces.append(self._joined(parts[last:i], starts))
-                    pieces.append(np.array(self.tokenizer.encode(parts[i], add_special_tokens=False).ids, np.uint32))
-                    last = i + 1
-                pieces.append(self._joined(parts[last:], starts))
-                yield np.concatenate(pieces)
-
-    def _joined(self, parts: list[str], starts: np.ndarray) -> np.ndarray:
-        number = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        first, size = starts[number], starts[number + 1] - starts[number]
+        found = list(map(self._ids, parts))
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self.starts = np.append(self.starts, self.starts[-1] + ends)
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1])))
+
+    @staticmethod
+    def _parts(text: str | None) -> list[str]:
+        text = text or ""
+        if not _beyond_latin.search(text) and "<|" not in text:
+            text = text.lower()
+            if not _joined_marks.search(text):
+                text = text.replace(".", " .").replace(",", " ,")
+        return text.replace("\n", " ").split(" ")
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text ends."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        split = [self._parts(text) for text in texts]
+        parts = list(chain.from_iterable(split))
+        numbers = list(map(self.known.get, parts))
+        if None in numbers:
+            self._learn(list({p for p, n in zip(parts, numbers, strict=True) if n is None}))
+            numbers = list(map(self.known.get, parts))
+        number = np.array(numbers, np.int64)
+        first, size = self.starts[number], self.starts[number + 1] - self.starts[number]
         ends = np.cumsum(size)
-        if not len(ends):
-            return np.zeros(0, np.uint32)
-        return self.ids[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
+        return ids, ends[np.cumsum([len(p) for p in split]) - 1]
+
+
+@cache
+def _tokenizer(path: str) -> PartTokenizer:
+    """One for each worker process, so that its tasks share what has been looked up."""
+    return PartTokenizer(path)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id: int = 0) -> DataFrame:
@@ -104,13 +119,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = PartTokenizer(tokenizer_path)
+        tokenizer = _tokenizer(tokenizer_path)
         for batch in batches:
             texts = batch.column("text")
-            for at in range(0, batch.num_rows, 512):
-                rows = texts.slice(at, 512).to_pylist()
+            for at in range(0, batch.num_rows, 256):
+                every, ends = tokenizer.encode(texts.slice(at, 256).to_pylist())
                 taken, out = [], []
-                for row, ids in enumerate(tokenizer.encode(rows)):
+                for row, ids in enumerate(np.split(every, ends[:-1])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for number, start in enumerate(range(0, len(ids), sequence)):
                         part = ids[start:start + sequence]

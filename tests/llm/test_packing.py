@@ -52,7 +52,7 @@ def test_odd_texts(spark):
 def test_exchange_between_groups(spark):
     texts = [(i, "the " * (1 + (i * 37) % 1500)) for i in range(400)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
-    rows = packing.pack(df, tokenizer_path(), group=25).collect()
+    rows = packing.pack(df, tokenizer_path(), group=100).collect()
     sequences = assert_packed(rows, texts)
     assert sequences <= 1.02 * packing.lower_bound(np.array([r.length for r in rows]), 2048) + 1
 
