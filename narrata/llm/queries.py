@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from narrata.llm import chat, fair_mix, host_rules, language, line_dedup, near_dup, packing, simhash
+from narrata.llm import chat, fair_mix, host_rules, language, line_dedup, near_dup, packing, pii, simhash
 from narrata.llm.common import read_table
 from narrata.llm.sql import HOST_RULES_SQL, MIX_SQL
 
@@ -28,6 +28,10 @@ def op4_host_rules(spark, sf_dir):
     return host_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark, sf_dir):
+    return pii.personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -53,6 +57,7 @@ CHECKS = {
     "op2_simhash": (op2_simhash, None),
     "op3_mix": (op3_mix, MIX_SQL),
     "op4_host_rules": (op4_host_rules, HOST_RULES_SQL),
+    "op5_pii": (op5_pii, None),
     "op6_best_fit_packing": (op6_best_fit_packing, None),
     "op7_chat_format": (op7_chat_format, None),
     "op8_language_id": (op8_language_id, None),
