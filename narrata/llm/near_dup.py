@@ -7,11 +7,12 @@
    class under its rarest values (the rest could only repeat an overlap found there).
 3. Short lists are compared directly. In a long list every class is compared with the list's leader,
    the class with the fewest values of its own: in a group of copies that is the one nearest to all.
-4. A pair goes on if its similarity, estimated from the k smallest values of the union of the two
-   sketches, is not far below the threshold; exact Jaccard on the full sets decides. Links make components.
-5. Classes that can have a partner in long lists only and that are not in one component there go through
-   an exact prefix search on their full sets: rarest shingles first, with the bounds on overlap that
-   size and position give. Rows of a list's main component are compared with the others only.
+4. A pair goes on if 128 signed bits of the sets differ in no more than ``MOST_BITS`` and if its similarity,
+   estimated from the k smallest values of the union of the two sketches, is not far below the threshold;
+   exact Jaccard on the full sets decides. Links make components.
+5. Classes that share enough retained values with other components, in long lists only, go through an
+   exact prefix search on their full sets: rarest shingles first, with the bounds on overlap that size
+   and position give. Rows of a list's main component are compared with the others only.
 
 So no list is ever paired off beyond ``SHORT`` rows, and no link is lost in a long one.
 
@@ -43,6 +44,10 @@ OVERLAP = 0.4
 SHORT = 8
 #: How far an estimate may lie below the threshold: five standard deviations.
 SLACK = 5 * (0.8 * 0.2 / SKETCH) ** 0.5
+#: Linked sets differ in more than this many of 128 signed bits but for a chance under 1e-7.
+MOST_BITS = 48
+#: Bits of the filter that picks texts to be read again; its size does not depend on the data.
+FILTER_BITS = 1 << 23
 
 _words = re.compile(WORD).findall
 #: Only A to Z are lower-cased.
@@ -77,44 +82,73 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(mixed.view(np.int64))
 
 
-def set_key(values: np.ndarray) -> bytes:
-    return hashlib.md5(values.tobytes()).digest()
+def set_key(values: np.ndarray) -> int:
+    """A 64-bit digest of a set."""
+    return int.from_bytes(hashlib.md5(values.tobytes()).digest()[:8], "little", signed=True)
+
+
+def signed_bits(values: np.ndarray) -> tuple[int, int]:
+    """128 bits, each the majority of one bit over the set: sets at 0.8 differ in about 20 of them, others in 64."""
+    other = (values.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ (values.view(np.uint64) >> np.uint64(32))
+    both = np.stack([values.view(np.uint64), other], axis=1)
+    ones = np.unpackbits(both.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+    low, high = np.packbits(2 * ones > len(values)).view("<i8").tolist()
+    return low, high
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node (digest of the set; null for an empty one), n and sketch of every document."""
+    """doc_id, node (digest of the set; null for an empty one), n, low and high (signed bits) and sketch."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                nodes, sizes, kept = [], [], []
-                for text in part.column("text"):
-                    values = shingles(text.as_py(), width)
-                    nodes.append(set_key(values) if len(values) else None)
-                    sizes.append(len(values))
-                    kept.append(values[:SKETCH])
-                columns = [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(kept, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "node", "n", "sketch"])
+                sets = [shingles(text.as_py(), width) for text in part.column("text")]
+                bits = [signed_bits(values) for values in sets]
+                columns = [
+                    pa.array([set_key(values) if len(values) else None for values in sets], pa.int64()), pa.array(map(len, sets), pa.int64()),
+                    pa.array([low for low, _ in bits], pa.int64()), pa.array([high for _, high in bits], pa.int64()),
+                    pa.array([values[:SKETCH] for values in sets], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "node", "n", "low", "high", "sketch"])
 
     docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node binary, n long, sketch array<long>")
+    return docs.mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n long, low long, high long, sketch array<long>")
+
+
+def _filter_bits(ids: DataFrame) -> np.ndarray:
+    """One bit for every hash value, set where an id has it: an array of fixed size."""
+    place = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)) + 1
+    rows = ids.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros((FILTER_BITS >> 15, 1 << 12), np.uint8)
+    for r in rows:
+        out[r["part"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and the full set (``items``) of the wanted classes (node, rep), from the text of one document each."""
+    """node and the full set (``items``) of the wanted classes (node, rep), from the text of one document each.
+
+    A filter of fixed size picks the texts in the tasks that read them, so only sets are shuffled.
+    """
+    wanted = wanted.select("node", "rep").filter("rep is not null").distinct()
+    bits = _filter_bits(wanted)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                sets = [shingles(t.as_py(), width) for t in batch.column("text").slice(at, 1024)]
+            place = batch.column("place").to_numpy()
+            batch = batch.filter(pa.array((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1, pa.uint8()).cast(pa.bool_()))
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                sets = [shingles(t.as_py(), width) for t in part.column("text")]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_key(s) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["node", "items"]
+                    [part.column("doc_id"), pa.array(map(set_key, sets), pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["rep", "node", "items"]
                 )
 
-    texts = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = texts.select("text").mapInArrow(read, "node binary, items array<long>")
-    return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.filter("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("place"))
+    sets = texts.mapInArrow(read, f"rep {kind}, node long, items array<long>")
+    return sets.join(wanted.withColumnRenamed("rep", "first"), "node").filter("rep = first").select("node", "items").dropDuplicates(["node"])
 
 
 def _needed(size: Column) -> Column:
@@ -122,11 +156,6 @@ def _needed(size: Column) -> Column:
     return F.ceil(size * OVERLAP)
 
 
-def _alike(threshold: float) -> Column:
-    """Sizes of a pair that can be linked at all."""
-    return F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
-
-
 def _side(df: DataFrame, side: str, *columns: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{side}") for c in columns])
 
@@ -150,32 +179,62 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _listed(classes: DataFrame) -> DataFrame:
-    """Every class with its retained values that occur in other sketches: node, n, size, found (values by rarity)."""
+    """Classes whose retained values occur in other sketches: node, n, low, high, size, found (those values by rarity), many.
+
+    ``many``: enough of the values have long lists for a partner that shares no short list.
+    """
     rows = classes.select("node", F.explode("sketch").alias("value"))
     lists = rows.groupBy("value").agg(F.count("*").alias("rows")).filter("rows > 1")
     found = rows.join(lists, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("rows", "value"))).alias("found"))
-    return classes.select("node", "n", F.size("sketch").alias("size")).join(found, "node")
+    n_long = F.size(F.filter("found", lambda f: f["rows"] > SHORT))
+    return (
+        classes.select("node", "n", "low", "high", F.size("sketch").alias("size")).join(found, "node")
+        .withColumn("many", n_long >= _needed(F.col("size")))
+    )
+
+
+def _alike(threshold: float) -> Column:
+    """Sizes of a pair that can be linked at all."""
+    return F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
 
 
-def _first_pairs(listed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs of short lists and of leaders; and the rows (value, node) of the long lists."""
+def _close() -> Column:
+    bits = F.bit_count(F.col("low_a").bitwiseXOR(F.col("low_b"))) + F.bit_count(F.col("high_a").bitwiseXOR(F.col("high_b")))
+    return bits <= MOST_BITS
+
+
+def _first_pairs(listed: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of the short lists, and of leaders with the others of the long ones."""
     own = F.col("size") - F.size("found")
     room = F.greatest(F.lit(0), F.col("size") - _needed(F.col("size")) + 1 - own).cast("int")
-    n_long = F.size(F.filter("found", lambda f: f["rows"] > SHORT))
-    rows = listed.withColumn("own", own).withColumn("many", n_long >= _needed(F.col("size"))).select(
-        "node", "n", "own", "many", F.explode(F.slice("found", F.lit(1), room)).alias("f")
-    ).select("node", "n", "own", "many", "f.rows", "f.value")
+    about = ["node", "n", "low", "high"]
+    rows = listed.select(*about, own.alias("own"), "many", F.explode(F.slice("found", F.lit(1), room)).alias("f")).select(
+        *about, "own", "many", "f.rows", "f.value"
+    )
     short, long = rows.filter(f"rows <= {SHORT}"), rows.filter(f"rows > {SHORT} and many")
-    near = _side(short, "a", "value", "node", "n").withColumnRenamed("value_a", "value").join(
-        _side(short, "b", "value", "node", "n").withColumnRenamed("value_b", "value"), "value"
-    ).filter((F.col("node_a") < F.col("node_b")) & _alike(threshold))
-    leaders = long.groupBy("value").agg(F.min(F.struct("own", "node", "n")).alias("first"))
-    led = long.join(leaders, "value").select(
-        F.col("first.node").alias("node_a"), F.col("first.n").alias("n_a"), F.col("node").alias("node_b"), F.col("n").alias("n_b")
-    ).filter((F.col("node_a") != F.col("node_b")) & _alike(threshold))
+    near = _side(short, "a", "value", *about).withColumnRenamed("value_a", "value").join(
+        _side(short, "b", "value", *about).withColumnRenamed("value_b", "value"), "value"
+    ).filter((F.col("node_a") < F.col("node_b")) & _alike(threshold) & _close())
+    leaders = long.groupBy("value").agg(F.min(F.struct("own", *about)).alias("first")).select(
+        "value", *[F.col(f"first.{c}").alias(f"{c}_a") for c in about]
+    )
+    led = _side(long, "b", "value", *about).withColumnRenamed("value_b", "value").join(leaders, "value").filter(
+        (F.col("node_a") != F.col("node_b")) & _alike(threshold) & _close()
+    )
     ends = [F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b")]
-    pairs = near.select(*ends).unionByName(led.select(*ends)).distinct()
-    return pairs, long.select("value", "node", "n")
+    return near.select(*ends).unionByName(led.select(*ends)).distinct()
+
+
+def _open_nodes(listed: DataFrame, groups: DataFrame) -> DataFrame:
+    """Classes that share enough values of long lists with other components to have a partner there."""
+    rows = (
+        listed.filter("many").join(groups, "node", "left")
+        .select("node", "size", F.coalesce("component", "node").alias("group"), F.explode("found").alias("f"))
+        .filter(f"f.rows > {SHORT}").select("node", "size", "group", "f.value")
+    )
+    mixed = rows.groupBy("value").agg(F.min("group").alias("one"), F.max("group").alias("other")).filter("one != other")
+    shared = rows.join(mixed.select("value"), "value").groupBy("node", "size").agg(F.count("*").alias("shared"))
+    return shared.filter(F.col("shared") >= _needed(F.col("size"))).select("node")
 
 
 def _apart(rows: DataFrame) -> DataFrame:
@@ -215,29 +274,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     sketched = staged(sketches(docs, width), "near-sketches")
     classes = staged(
         sketched.filter("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "low", "high", "sketch")]
         ),
         "near-classes",
     )
     listed = staged(_listed(classes), "near-listed")
-    first, long = _first_pairs(listed, threshold)
-    first = staged(_estimated(first, classes, threshold), "near-pairs")
-    long = staged(long, "near-long")
-    reps = classes.select("node", "rep").filter("rep is not null")
-    ends = first.select(F.col("node_a").alias("node")).unionByName(first.select(F.col("node_b").alias("node")))
-    wanted = reps.join(ends.unionByName(long.select("node")).distinct(), "node", "left_semi")
-    sets = staged(full_sets(docs, wanted, width), "near-sets")
-    links = staged(_linked(first, sets, threshold), "near-links")
+    pairs = staged(_estimated(_first_pairs(listed, threshold), classes, threshold), "near-pairs")
+    ends = pairs.select(F.explode(F.array("node_a", "node_b")).alias("node")).distinct()
+    links = staged(_linked(pairs, full_sets(docs, _with_rep(ends, classes), width), threshold), "near-links")
     groups = components(links)
-    listed_groups = long.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    open_nodes = _apart(listed_groups).select("node").distinct()
-    more = _exact_pairs(sets.join(open_nodes, "node", "left_semi"), groups, threshold)
-    more = staged(_linked(_estimated(more, classes, threshold), sets, threshold), "near-more")
+    open_nodes = _with_rep(_open_nodes(listed, groups), classes)
+    open_sets = staged(full_sets(docs, open_nodes, width), "near-open")
+    more = staged(_linked(_estimated(_exact_pairs(open_sets, groups, threshold), classes, threshold), open_sets, threshold), "near-more")
     if more.head(1):
         groups = components(links.unionByName(more))
     return _result(sketched, classes, groups)
 
 
+def _with_rep(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    return staged(classes.select("node", "rep").join(nodes, "node", "left_semi"), "near-wanted")
+
+
 def _result(sketched: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Give every document the smallest id of its component."""
     named = classes.select("node", "rep").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from narrata.llm import chat, fair_mix, host_rules, language, line_dedup, near_dup, packing, pii, simhash
+from narrata.llm import chat, fair_mix, host_rules, language, line_dedup, near_dup, packing, pii, simhash, warc
 from narrata.llm.common import read_table
 from narrata.llm.sql import HOST_RULES_SQL, MIX_SQL
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc_derivatives(spark, sf_dir):
+    return warc.page_derivatives(read_table(spark, sf_dir, "pages"))
+
+
 def op2_simhash(spark, sf_dir):
     return simhash.with_near_counts(simhash.edited_fingerprints(read_table(spark, sf_dir, "documents")))
 
@@ -54,6 +58,7 @@ def op10_minhash_near_dup(spark, sf_dir):
 
 
 CHECKS = {
+    "op1_warc_derivatives": (op1_warc_derivatives, None),
     "op2_simhash": (op2_simhash, None),
     "op3_mix": (op3_mix, MIX_SQL),
     "op4_host_rules": (op4_host_rules, HOST_RULES_SQL),
