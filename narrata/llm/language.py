@@ -181,3 +181,11 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None
 def identify(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Return doc_id, held_out, lang_pred, score for every document."""
     return predict(docs, fit(docs, max_rows)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, min_score: float, max_rows: int = MAX_ROWS) -> DataFrame:
+    """The documents, with all their columns, whose language is found with at least ``min_score``."""
+    columns = docs.columns
+    numbered = predict(docs, fit(docs, max_rows), columns).toDF(*[f"c{i}" for i in range(len(columns) + 2)])
+    kept = numbered.filter((F.col(f"c{len(columns)}") != UNKNOWN) & (F.col(f"c{len(columns) + 1}") >= min_score))
+    return kept.select(*[f"c{i}" for i in range(len(columns))]).toDF(*columns)

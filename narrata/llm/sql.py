@@ -34,7 +34,7 @@ WITH sized AS (
  SELECT doc_id, SUM(size) AS taken FROM filled WHERE fits GROUP BY doc_id
 )
 SELECT q.doc_id, q.size, q.source_size, q.target, COALESCE(t.taken, 0)::BIGINT AS taken
-FROM queued q LEFT JOIN taken t ON q.doc_id = t.doc_id
+FROM queued q LEFT JOIN taken t ON q.doc_id IS NOT DISTINCT FROM t.doc_id
 """
 
 HOST_RULES_SQL = r"""
