@@ -107,46 +107,62 @@ def decoded(text: Column) -> Column:
     return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(first, one), "")).otherwise(text)
 
 
+def _spaced(text: Column, odd: str) -> Column:
+    """Runs of blanks to one space; texts without a double space or one of the ``odd`` blanks are not searched."""
+    some = F.instr(text, "  ") > 0
+    for char in odd:
+        some = some | (F.instr(text, char) > 0)
+    return F.when(some, F.regexp_replace(text, rf"[ {odd}]{{2,}}|[{odd}]", " ")).otherwise(text)
+
+
 def visible(html: Column) -> Column:
     """The page without comments and elements that hold no text."""
-    out = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|$)", "")
-    for name in HIDDEN:
-        out = F.regexp_replace(out, rf"(?is)<{name}(?:\s[^>]*)?>.*?(?:</{name}\s*>|\z)", " ")
-    return out
-
-
-def plain_text(html: Column) -> Column:
-    block = "|".join(BLOCK_TAGS.split())
-    text = F.regexp_replace(visible(html), r"[\s]+", " ")
-    text = F.regexp_replace(text, rf"(?i)</?(?:{block})(?:[\s/][^>]*)?>", "\n")
-    text = F.regexp_replace(text, r"</?[A-Za-z!][^>]*>", "")
-    text = F.regexp_replace(decoded(text), r"[ \t\r\f\u000b]+", " ")
-    return F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
-
-
-def _link_target(link: Column, url: Column) -> Column:
-    """A link made absolute: by scheme, by host, by folder; fragments are cut."""
-    link = F.regexp_replace(F.btrim(link), "#.*$", "")
-    scheme = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//", 1)
-    host = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(F.regexp_replace(url, r"[?#].*$", ""), r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(?:/.*)?)/[^/]*$", 1)
+    out = F.when(F.instr(html, "<!--") > 0, F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(html)
+    return F.regexp_replace(out, rf"(?is)<({'|'.join(HIDDEN)})(?:\s[^>]*)?>.*?(?:</\1\s*>|\z)", " ")
+
+
+def plain_text(page: Column) -> list[Column]:
+    """Steps to the text of a page that ``visible`` has cleaned, each a column ``text`` over the one before."""
+    block, text = "|".join(BLOCK_TAGS.split()), F.col("text")
+    return [
+        _spaced(page, "\t\n\v\f\r"),
+        F.regexp_replace(F.regexp_replace(text, rf"(?i)</?(?:{block})(?:[\s/][^>]*)?>", "\n"), r"</?[A-Za-z!][^>]*>", ""),
+        decoded(text),
+        _spaced(text, "\t\v\f\r"),
+        F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n")),
+    ]
+
+
+def url_parts(url: Column) -> list[Column]:
+    """Scheme, host with scheme, folder, and the URL up to its query."""
+    path = F.regexp_replace(url, r"[?#].*$", "")
+    return [
+        F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)//", 1).alias("scheme"),
+        F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1).alias("host"),
+        F.regexp_extract(path, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(?:/.*)?)/[^/]*$", 1).alias("folder"), path.alias("path"),
+    ]
+
+
+def _link_target(link: Column) -> Column:
+    """A link made absolute, by columns of ``url_parts``: by scheme, by host, by folder; fragments are cut."""
+    link, host, folder = F.regexp_replace(F.btrim(link), "#.*$", ""), F.col("host"), F.col("folder")
     return (
         F.when((host == "") | link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-        .when(link == "", F.lit("")).when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(host, link)).when(link.startswith("?"), F.concat(F.regexp_replace(url, r"[?#].*$", ""), link))
+        .when(link == "", F.lit("")).when(link.startswith("//"), F.concat(F.col("scheme"), link))
+        .when(link.startswith("/"), F.concat(host, link)).when(link.startswith("?"), F.concat(F.col("path"), link))
         .when(folder.startswith(host) & (F.length(folder) >= F.length(host)) & (folder != ""), F.concat(folder, F.lit("/"), link))
         .otherwise(F.concat(host, F.lit("/"), link))
     )
 
 
-def page_fields(html: Column, url: Column) -> dict[str, Column]:
-    page = visible(html)
+def page_fields(page: Column) -> dict[str, Column]:
+    """Title, language, character set and links of a page, beside columns of ``url_parts``."""
     title = F.regexp_extract(page, r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>", 1)
-    clean = lambda c: F.btrim(F.regexp_replace(decoded(c), r"[\s]+", " "))
+    clean = lambda c: F.btrim(F.regexp_replace(decoded(c), r"\s+", " "))
     attribute = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     bare = lambda c: F.regexp_replace(c, r"""^["']|["']$""", "")
     links = F.transform(
-        F.regexp_extract_all(page, F.lit(rf"(?i)<a\s(?:[^>]*?\s)?href{attribute}"), F.lit(1)), lambda x: _link_target(decoded(bare(x)), url)
+        F.regexp_extract_all(page, F.lit(rf"(?i)<a\s(?:[^>]*?\s)?href{attribute}"), F.lit(1)), lambda x: _link_target(decoded(bare(x)))
     )
     return {
         "title": clean(title),
@@ -159,15 +175,17 @@ def page_fields(html: Column, url: Column) -> dict[str, Column]:
 def derivatives(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of the response records in ``records``; other records are passed over."""
     header, payload = _payload(F.col("block"))
+    about = ["page_id", "refers_to", "target_uri", "date", "payload_digest"]
     source = records.filter("warc_type = 'response'").select(
         "page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", "payload_digest", header.alias("http"), payload.alias("html")
     )
-    fields = page_fields(F.col("html"), F.col("target_uri"))
-    read = source.select(
-        "page_id", "refers_to", "target_uri", "date", "payload_digest",
-        F.regexp_extract("http", r"(?i)(?:^|\n)content-type:\s*([^\r\n]*)", 1).alias("source_type"),
-        *[c.alias(name) for name, c in fields.items()], plain_text(F.col("html")).alias("text"),
+    cleaned = source.select(*about, "http", *url_parts(F.col("target_uri")), visible(F.col("html")).alias("page"))
+    read = cleaned.select(
+        *about, F.regexp_extract("http", r"(?i)(?:^|\n)content-type:\s*([^\r\n]*)", 1).alias("source_type"),
+        *[c.alias(name) for name, c in page_fields(F.col("page")).items()], "page",
     )
+    for step in plain_text(F.col("page")):
+        read = read.withColumn("text", step)
     lines = [
         F.when(F.col(name) != "", F.concat(F.lit(f"{name}: "), F.col(name), F.lit("\r\n"))).otherwise("") for name in ("title", "language", "charset")
     ]
