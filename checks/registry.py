@@ -1,5 +1,5 @@
 """All checks: query name to (Spark query, oracle SQL or None)."""
 
-from checks import tables, texts
+from checks import more, tables, texts
 
-CHECKS = {**tables.CHECKS, **texts.CHECKS}
+CHECKS = {**tables.CHECKS, **texts.CHECKS, **more.CHECKS}

@@ -145,7 +145,7 @@ def targets_of(splitter):
 
 
 def count_histogram(spark, sf_dir):
-    return chunk.chunk_count_histogram(documents(spark, sf_dir, heavy=True), "text", WINDOW)
+    return chunk.chunk_count_histogram(documents(spark, sf_dir, heavy=True), "text", WINDOW, last=10)
 
 
 def length_histogram(spark, sf_dir):

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from narrata.sources.readers import spread
-
 COMPLAINTS = """
 SELECT CAST(d.doc_id AS STRING) AS complaint_id, d.doc_id,
  CASE WHEN d.doc_id % 37 = 0 THEN NULL ELSE d.lang END AS product,
@@ -57,9 +55,8 @@ TABLES = ["documents", "labels", "embeddings", "benchmark", "conversations"]
 
 
 def documents(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
-    """The documents; ``heavy`` spreads the one small file over the cores for costly text work."""
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return spread(table, "doc_id") if heavy else table
+    """The documents; ``heavy`` marks queries whose text work is costly."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:

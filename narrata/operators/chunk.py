@@ -218,13 +218,7 @@ def _per(kind: str, measured: DataFrame) -> DataFrame:
     return measured.filter(keep & (F.col("value") > 0) if kind != "length" else keep)
 
 
-def chunk_stats(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
-    """Documents, chunks, chunks per document and chunk-length statistics.
-
-    ``total_documents`` counts every text that is not null, also blank ones. The standard
-    deviation is that of the population.
-    """
-    measured = _measured(df, text_col, splitter)
+def _stats(measured: DataFrame) -> list[Column]:
     is_doc = (F.col("kind") == "document") & (F.col("value") > 0)
     is_length = F.col("kind") == "length"
     value, n = F.col("value"), F.col("n")
@@ -239,7 +233,7 @@ def chunk_stats(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
     documents = F.sum(F.when(is_doc, n))
     rows = F.sum(F.when(F.col("kind") == "row", n))
     length_value, doc_value = F.when(is_length, value), F.when(is_doc, value)
-    return measured.agg(
+    return [
         total((F.col("kind") == "text") & (value == 1), n).alias("total_documents"),
         total(is_length, n).alias("total_chunks"),
         (F.sum(F.when(is_doc, value * n)) / documents).alias("avg_chunks_per_doc"),
@@ -252,22 +246,19 @@ def chunk_stats(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
         F.min(length_value).alias("min"),
         F.max(length_value).alias("max"),
         *[F.percentile(length_value, F.lit(p), n).alias(k) for k, p in lengths.items()],
-    )
+    ]
 
 
-def chunk_targets(df: DataFrame, text_col: str, splitter: Splitter, size: int = 500) -> DataFrame:
-    """Chunks whose length is within 10 and 20 percent of the target, count and percent."""
-    lengths = _per("length", _measured(df, text_col, splitter))
+def _within(size: int) -> list[Column]:
+    is_length = F.col("kind") == "length"
+    out = []
+    for percent in (10, 20):
+        inside = is_length & F.col("value").between(F.lit(size * (100 - percent) / 100), F.lit(size * (100 + percent) / 100))
+        out.append(F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias(f"within_{percent}_percent"))
+    return out
 
-    def near(low: float, high: float) -> Column:
-        inside = F.col("value").between(F.lit(size * low), F.lit(size * high))
-        return F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0))
 
-    counts = lengths.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_chunks"),
-        near(0.9, 1.1).alias("within_10_percent"),
-        near(0.8, 1.2).alias("within_20_percent"),
-    )
+def _with_percentages(counts: DataFrame) -> DataFrame:
     total = F.nullif("total_chunks", F.lit(0))
     return counts.select(
         "*",
@@ -276,13 +267,41 @@ def chunk_targets(df: DataFrame, text_col: str, splitter: Splitter, size: int =
     )
 
 
+def chunk_stats(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
+    """Documents, chunks, chunks per document and chunk-length statistics.
+
+    ``total_documents`` counts every text that is not null, also blank ones. The standard
+    deviation is that of the population.
+    """
+    measured = _measured(df, text_col, splitter)
+    return measured.agg(*_stats(measured))
+
+
+def chunk_targets(df: DataFrame, text_col: str, splitter: Splitter, size: int = 500) -> DataFrame:
+    """Chunks whose length is within 10 and 20 percent of the target, count and percent."""
+    lengths = _measured(df, text_col, splitter).filter("kind = 'length'")
+    return _with_percentages(lengths.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_chunks"), *_within(size)))
+
+
+def chunk_report(df: DataFrame, text_col: str, splitter: Splitter, size: int = 500) -> DataFrame:
+    """``chunk_stats`` and ``chunk_targets`` in one row, from one pass of the splitter."""
+    measured = _measured(df, text_col, splitter)
+    return _with_percentages(measured.agg(*_stats(measured), *_within(size)))
+
+
 def chunk_count_histogram(
-    df: DataFrame, text_col: str, splitter: Splitter, last: int = 10
+    df: DataFrame, text_col: str, splitter: Splitter, last: int | None = None
 ) -> DataFrame:
-    """Documents per number of chunks, 1 to ``last``; the last bin takes all larger numbers."""
+    """Documents per number of chunks, from 1 to the largest number found.
+
+    With ``last`` the bins end there, and the last one takes all larger numbers.
+    """
     documents = _per("document", _measured(df, text_col, splitter))
-    filled = documents.groupBy(F.least("value", F.lit(last)).alias("bin")).agg(F.sum("n").alias("n"))
-    bins = df.sparkSession.range(1, last + 1).select(F.col("id").cast("int").alias("bin"))
+    number = F.col("value") if last is None else F.least("value", F.lit(last))
+    filled = documents.groupBy(number.alias("bin")).agg(F.sum("n").alias("n"))
+    end = F.coalesce(F.max("bin"), F.lit(0)) if last is None else F.lit(last)
+    ends = filled.agg(end.cast("int").alias("end")).filter("end > 0")
+    bins = ends.select(F.explode(F.sequence(F.lit(1), F.col("end"))).alias("bin"))
     return bins.join(filled, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 

@@ -28,13 +28,14 @@ def remove_duplicates(
     ``keep`` is 'first' or 'last' in the order of the unique column ``key``, or False for rows
     that have no copy. The group-by shuffles one number per distinct value (by its hash) and task,
     and the semi-join is on the unique key, so a value with very many copies fills no single task.
+    Without ``subset`` all columns but the key are compared. A null key fails the run.
     """
     if keep not in ("first", "last", False):
         raise ValueError("keep must be 'first', 'last' or False")
-    if subset is None and keep is not False:
+    if subset is None and keep is not False and key is None:
         return df.dropDuplicates()
     if subset is None:
-        subset = df.columns
+        subset = [c for c in df.columns if c != key]
     if key is None and keep is False:
         groups = df.groupBy(*map(_q, subset)).agg(F.count("*").alias("_copies"))
         alone = groups.filter("_copies = 1").drop("_copies")
@@ -43,7 +44,8 @@ def remove_duplicates(
     if key is None:
         raise ValueError("a table has no row order: name a unique column as key")
     require_columns(df, [*subset, key])
-    pick = F.max(_q(key)) if keep == "last" else F.min(_q(key))
+    given = F.when(_q(key).isNull(), F.raise_error(F.lit(f"null in the key column {key}"))).otherwise(_q(key))
+    pick = F.max(given) if keep == "last" else F.min(given)
     groups = df.groupBy(*row_identity(df, subset)).agg(
         pick.alias("_kept"), F.count("*").alias("_copies")
     )

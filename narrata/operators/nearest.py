@@ -37,10 +37,15 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
-    """Rows of a list column without nulls, as doubles."""
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(vectors), len(flat) // max(1, len(vectors)))
+def _matrix(vectors: pa.Array, width: int | None = None, ids: pa.Array | None = None) -> np.ndarray:
+    """Rows of a list column without nulls, as doubles; null elements are NaN. All have the same width."""
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    width = width if width is not None else int(lengths[0]) if len(lengths) else 0
+    if (lengths != width).any():
+        wrong = np.flatnonzero(lengths != width)[:5]
+        names = [ids[int(i)].as_py() for i in wrong] if ids is not None else wrong.tolist()
+        raise ValueError(f"vectors of another width than {width}: {names}")
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), width)
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -63,7 +68,10 @@ class _Best:
     def __init__(self, questions: pa.Table, k: int, metric: str):
         self.k, self.metric = k, metric
         self.ids = questions.column(0).combine_chunks()
-        vectors = _matrix(questions.column(1).combine_chunks())
+        vectors = _matrix(questions.column(1).combine_chunks(), ids=self.ids)
+        if not np.isfinite(vectors).all():
+            wrong = np.flatnonzero(~np.isfinite(vectors).all(axis=1))[:5]
+            raise ValueError(f"question vectors with null or infinite elements: {[self.ids[int(i)].as_py() for i in wrong]}")
         self.vectors = _unit(vectors) if metric == "cosine" else vectors
         self.squares = (self.vectors * self.vectors).sum(axis=1)
         self.wanted = _rows_by_value(questions.column(2)) if questions.num_columns > 2 else None
@@ -82,12 +90,19 @@ class _Best:
         if not len(self.ids):
             return
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in part.columns]
-        vectors = _matrix(columns[1])
+        vectors = _matrix(columns[1], self.vectors.shape[1], columns[0])
+        finite = np.isfinite(vectors).all(axis=1)
+        if not finite.all():  # a chunk with a null or infinite element has no distance and is no hit
+            vectors, columns = vectors[finite], [c.filter(pa.array(finite)) for c in columns]
+        if not len(vectors):
+            return
         if self.metric == "cosine":
             vectors = _unit(vectors)
         squares = (vectors * vectors).sum(axis=1)
         # A fast estimate picks candidates; a margin far above its rounding error keeps it safe.
         estimate = self.squares[:, None] + squares[None, :] - 2.0 * (self.vectors @ vectors.T)
+        if self.metric == "cosine":  # nothing is similar to a zero vector
+            estimate[:, squares == 0] = estimate[self.squares == 0, :] = 2.0
         if self.wanted is not None:
             for value, asking in self.wanted.items():
                 other = pc.fill_null(pc.not_equal(columns[2], value), True)
@@ -108,6 +123,8 @@ class _Best:
             pairs = slice(start, start + PAIRS_PER_STEP)
             difference = self.vectors[question[pairs]] - vectors[row[pairs]]
             out[pairs] = (difference * difference).sum(axis=1)
+        if self.metric == "cosine":
+            out[~self.vectors.any(axis=1)[question] | ~vectors.any(axis=1)[row]] = 2.0
         return out
 
     def _merge(self, question: np.ndarray, distance: np.ndarray, chunk: np.ndarray) -> None:
@@ -137,9 +154,8 @@ class _Best:
         )
 
 
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
-    return pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in schema.fields])
+def _arrow_schema(spark: SparkSession, schema: T.StructType) -> pa.Schema:
+    return spark.createDataFrame([], schema).toArrow().schema
 
 
 def nearest(
@@ -205,7 +221,7 @@ def _scan_with_sent_questions(
     scanned: DataFrame, questions: pa.Table, k: int, metric: str, schema: T.StructType
 ) -> DataFrame:
     sent = scanned.sparkSession.sparkContext.broadcast(questions)
-    arrow_schema = _arrow_schema(schema)
+    arrow_schema = _arrow_schema(scanned.sparkSession, schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Best(sent.value, k, metric)
@@ -235,7 +251,7 @@ def _scan_by_blocks(
 
     left = dealt(scanned, "_cb", chunk_blocks, "_qb", question_blocks)
     right = dealt(asked, "_qb", question_blocks, "_cb", chunk_blocks)
-    arrow_schema = _arrow_schema(schema)
+    arrow_schema = _arrow_schema(scanned.sparkSession, schema)
 
     def one_block(chunk_part: pa.Table, question_part: pa.Table) -> pa.Table:
         best = _Best(question_part.drop_columns(["_qb", "_cb"]), k, metric)

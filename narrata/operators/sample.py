@@ -2,9 +2,9 @@
 
 The order of the sample is the MD5 of seed and key: repeatable, independent of partitioning, and
 the same in every engine. The smallest hashes are found without sorting the data. Rows are counted
-per leading digits of the hash, the counts tell in which cell the last wanted row lies, and only
-rows up to that cell are ranked. One stratum may hold any share of the table: its rows are counted
-with map-side partial sums, and about (wanted + rows / cells) of them reach a ranking task.
+per leading digits of the hash, the counts tell in which cell the last wanted row lies, rows of the
+cells before it are kept, and only those of this one cell are ranked. One stratum may hold any share
+of the table: its rows are counted with map-side partial sums, and one in 65,536 reaches a ranking task.
 """
 
 from __future__ import annotations
@@ -36,23 +36,28 @@ def _check_size(n: int) -> None:
         raise ValueError(f"sample size must be positive, got {n}")
 
 
-def _up_to_nth(df: DataFrame, n: int, cell: Column) -> DataFrame:
-    """Rows whose cell is not after the cell that holds the n-th row. A superset of the first n.
+def _first(df: DataFrame, n: int, cell: Column, order: list[Column]) -> DataFrame:
+    """The first n rows by ``order``. Rows of cells before the last one wanted are kept unranked.
 
-    ``cell`` grows with the wanted order and has a bounded number of values, so the running count
-    below is over that many rows at most, whatever the size of the table.
+    ``cell`` grows with the order and has a bounded number of values, so the running count below is
+    over that many rows at most, and one of them comes to the driver; only the rows of one cell are
+    ranked, and no limit is global.
     """
     counts = df.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"))
-    running = counts.select("cell", F.sum("n").over(Window.orderBy("cell")).alias("upto"))
-    last = running.agg(F.min(F.when(F.col("upto") >= n, F.col("cell"))).alias("last")).scalar()
-    return df.filter(last.isNull() | (cell <= last))
+    running = counts.select("cell", F.sum("n").over(Window.orderBy("cell")).alias("upto"), "n")
+    last = running.filter(F.col("upto") >= n).orderBy("cell").select("cell", n - F.col("upto") + F.col("n")).first()
+    if last is None:  # the table has no more than n rows
+        return df
+    marked, kept = df.withColumn("_cell", cell), [_q(c) for c in df.columns]
+    ranked = marked.filter(F.col("_cell") == last[0]).withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy(*order)))
+    return marked.filter(F.col("_cell") < last[0]).select(*kept).unionByName(ranked.filter(F.col("_rank") <= last[1]).select(*kept))
 
 
 def simple_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """n random rows without replacement; all rows when the table has no more than n."""
     _check_size(n)
     order = sample_hash(key, seed)
-    return _up_to_nth(df, n, _cell(order)).orderBy(order, _q(key)).limit(n)
+    return _first(df, n, _cell(order), [order, _q(key)]).orderBy(order, _q(key))
 
 
 def prefix_sample(df: DataFrame, n: int, key: str, seed: int = 42, factor: int = 3) -> DataFrame:
@@ -68,8 +73,7 @@ def prefix_sample(df: DataFrame, n: int, key: str, seed: int = 42, factor: int =
     cells = 16**CELL_DIGITS
     place = F.floor((_q(key).cast("double") - low) / F.nullif(high - low, F.lit(0.0)) * cells)
     cell = F.least(F.coalesce(place, F.lit(0)), F.lit(cells))
-    prefix = _up_to_nth(df, factor * n, cell).orderBy(_q(key)).limit(factor * n)
-    return prefix.orderBy(sample_hash(key, seed), _q(key)).limit(n)
+    return simple_sample(_first(df, factor * n, cell, [_q(key)]), n, key, seed)
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
@@ -154,22 +158,21 @@ def stratified_sample(
         (F.col("total") < n).alias("_whole"),
     )
     upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("cell"))
-    wanted_cell = F.when(F.col("upto") >= F.col("_sampled"), F.col("cell"))
+    last = F.struct("cell", (F.col("_sampled") - F.col("upto") + F.col("n")).alias("left"))
     cuts = (
-        cells.select("stratum", "cell", upto.alias("upto"))
+        cells.select("stratum", "cell", "n", upto.alias("upto"))
         .join(plan, F.col("stratum").eqNullSafe(F.col("_stratum")))
         .groupBy("_stratum", "_sampled", "_whole")
-        .agg(F.min(wanted_cell).alias("_last_cell"))
+        .agg(F.min(F.when(F.col("upto") >= F.col("_sampled"), last)).alias("_last"))
         .filter("_whole OR _sampled > 0")
     )
-    near = (
-        hashed.join(pinned_if_small(cuts), _q(column).eqNullSafe(F.col("_stratum")))
-        .filter(F.col("_whole") | (_cell(F.col("_hash")) <= F.col("_last_cell")))
-        .withColumn(
-            "_rank", F.row_number().over(Window.partitionBy(_q(column)).orderBy("_hash", _q(key)))
-        )
-    )
-    return near.filter("_whole OR _rank <= _sampled").select(*map(_q, df.columns))
+    # Whole cells below the last one are kept as they are; only rows of the last cell are ranked.
+    marked = hashed.withColumn("_cell", _cell(F.col("_hash"))).join(pinned_if_small(cuts), _q(column).eqNullSafe(F.col("_stratum")))
+    kept = [_q(c) for c in df.columns]
+    below = marked.filter("_whole OR _cell < _last.cell").select(*kept)
+    in_cell = Window.partitionBy(_q(column)).orderBy("_hash", _q(key))
+    ranked = marked.filter("NOT _whole AND _cell = _last.cell").withColumn("_rank", F.row_number().over(in_cell))
+    return below.unionByName(ranked.filter("_rank <= _last.left").select(*kept))
 
 
 def sampling_report(original: DataFrame, sample: DataFrame, column: str) -> DataFrame:

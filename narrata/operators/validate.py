@@ -49,7 +49,9 @@ def row_identity(df: DataFrame, columns: list[str] | None = None) -> list[Column
     nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
     if T.StringType() not in kinds or any(isinstance(k, nested) for k in kinds):
         return [_q(c) for c in columns]
-    texts = [_q(c).cast("string") for c in columns]
+    # As in a group-by, -0.0 equals 0.0 and a NaN another NaN.
+    floating = (T.FloatType, T.DoubleType)
+    texts = [((_q(c) + F.lit(0.0)) if isinstance(k, floating) else _q(c)).cast("string") for c, k in zip(columns, kinds, strict=True)]
     marked = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
     return [F.sha2(F.concat(*marked), 256).alias("row_hash")]
 

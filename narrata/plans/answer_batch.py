@@ -30,6 +30,10 @@ def retrieve(
     named by ``question_filter`` narrows the search per question.
     """
     questions = answer.check_questions(questions)
+    if "question_embedding" in questions.columns:
+        # The vector depends on the check, so that a blank question fails though its text is not searched.
+        checked = F.when(F.col("question").isNotNull(), F.col("question_embedding"))
+        questions = questions.withColumn("question_embedding", checked)
     if "question_embedding" not in questions.columns:
         factory = encoder or hashing_encoder()
         questions = questions.withColumn("question_embedding", embed(F.col("question"), factory))

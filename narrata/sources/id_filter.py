@@ -1,0 +1,42 @@
+"""A filter of fixed size over ids: tells which ids are surely not in a set.
+
+One bit for each hash value, two megabytes at most in the driver and in each task whatever the size
+of the set. An id whose bit is not set is not in the set; one whose bit is set may be.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BITS = 1 << 23
+
+
+def place(id_col: Column) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(BITS))
+
+
+def id_bits(ids: DataFrame, id_col: str) -> np.ndarray:
+    """The filter of the ids in a table, made by the tasks that hold them: at most 256 rows come back."""
+    at = place(F.col(f"`{id_col}`")) + 1
+    rows = ids.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    out = np.zeros((BITS >> 15, 1 << 12), np.uint8)
+    for r in rows.collect():
+        out[r["part"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def may_hold(bits: np.ndarray, id_col: Column) -> Column:
+    """Whether an id may be in the filter's set. Only its hash goes to Python."""
+
+    @F.pandas_udf("boolean")
+    def look(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for at in batches:
+            at = at.to_numpy()
+            yield pd.Series((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1, dtype=bool)
+
+    return look(place(id_col))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterator
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ def read_csv(
     schema: T.StructType | None = None,
     null_tokens: bool = True,
     multi_line: bool = True,
+    mixed_headers: bool = False,
 ) -> DataFrame:
     """Read CSV with a header, quoted line breaks and doubled quotes.
 
@@ -32,16 +36,19 @@ def read_csv(
     the usual written-out nulls into null. A file with line breaks inside quotes cannot be split,
     so one file is one task: read many files, or convert once with ``parquet_copy``. Files known
     to have none are read in splits with ``multi_line=False``.
+
+    A file whose header differs from the first one's fails the read. ``mixed_headers`` allows that: the
+    first lines are read in a pass of their own, and files are united by column name.
     """
-    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
-    if schema is not None:
-        # The header decides which field a column is, so a file may lack or reorder columns.
-        present = reader.option("inferSchema", False).csv(path).columns
-        fields = {f.name: f.dataType for f in schema.fields}
-        reader = reader.schema(
-            T.StructType([T.StructField(c, fields.get(c, T.StringType())) for c in present])
-        )
-    df = reader.csv(path)
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "enforceSchema": False}
+    fields = {f.name: f.dataType for f in schema.fields} if schema is not None else {}
+    parts = []
+    for files in _files_by_header(spark, path) if mixed_headers else [path]:
+        # The header decides which field a column is, so files may lack or reorder columns.
+        present = spark.read.options(**options).csv(files if isinstance(files, str) else files[0]).columns
+        kinds = T.StructType([T.StructField(c, fields.get(c, T.StringType())) for c in present])
+        parts.append(spark.read.options(**options).schema(kinds).csv(files))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if not null_tokens:
         return df
     return df.select(
@@ -53,6 +60,23 @@ def read_csv(
     )
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a path, those with the same first line together. One row for each header comes back."""
+    lines = spark.read.text(path).filter("_metadata.file_block_start = 0").select("_metadata.file_path", "value")
+    heads = lines.mapInArrow(_first_lines, "file_path string, value string")
+    rows = heads.groupBy("value").agg(F.sort_array(F.collect_set("file_path")).alias("files")).collect()
+    return sorted(r["files"] for r in rows)
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    before = None
+    for batch in batches:
+        files = batch.column(0).to_pylist()
+        first = [i for i, file in enumerate(files) if file != (files[i - 1] if i else before)]
+        before = files[-1] if files else before
+        yield batch.take(pa.array(first, pa.int64()))
+
+
 def read_source(spark: SparkSession, path: str, **csv_options) -> DataFrame:
     """Read one path by its suffix: CSV (also compressed) or Parquet."""
     name = path.rstrip("/").lower()
@@ -81,16 +105,6 @@ def keep_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in wanted if c in df.columns])
 
 
-def spread(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Spread rows over the cores when the files give fewer splits than there are cores.
-
-    For work that costs much per row (cleaning, splitting, encoding) on few or unsplittable files.
-    Any larger table already has enough splits and is returned as it is, without a shuffle.
-    """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, F.col(f"`{key}`"))
-
-
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a table that several jobs read. It spills to disk; ``release`` gives it back."""
     return df.persist()

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrata.params import require_columns
-from narrata.session import local_table, pinned_if_small
+from narrata.session import local_table, scratch_path
+from narrata.sources.id_filter import id_bits, may_hold
 
 MAX_PUSHED_IDS = 1000
-MAX_SENT_IDS = 50_000
 
 # --- fixed values: stored names of the metadata columns ---
 METADATA_NAMES = {
@@ -90,34 +90,42 @@ def first_per_id(rows: DataFrame, id_col: str = "chunk_id") -> DataFrame:
 def new_rows(rows: DataFrame, stored: DataFrame | None, id_col: str = "chunk_id") -> DataFrame:
     """Rows to append: the first of each id, ids already stored left out.
 
-    The ids of a small load are sent to the stored table, so the scan of all stored ids shuffles
-    nothing. Of a large load the ids alone are shuffled to find the special ones, which repeat in
-    the load or are stored. They are few as a rule, and then the wide rows are filtered by
-    broadcast and never shuffled. With many special ids the load is aggregated and joined by id.
+    Of the load and of the table the ids alone are shuffled. They make two filters of fixed size, of the
+    ids that are not stored and of those that are stored or repeat in the load. The filters settle
+    nearly all rows where they are read; only rows that both may hold are joined by id. So a first
+    load and a repeated one shuffle no text and no vector, at any size. A null id fails.
     """
-    fresh = first_per_id(rows, id_col)
-    if rows.count() <= MAX_SENT_IDS:
-        if stored is not None:
-            arriving = pinned_if_small(rows.select(_q(id_col)).distinct(), MAX_SENT_IDS)
-            fresh = _without(fresh, stored.join(arriving, id_col, "left_semi"), id_col)
-        return fresh
-    known = rows.groupBy(_q(id_col)).agg(F.count("*").alias("_copies"))
+    ids = rows.groupBy(_checked_id(id_col).alias(id_col)).agg((F.count("*") > 1).alias("_repeats"))
     if stored is None:
-        known = known.withColumn("_stored", F.lit(False))
+        ids = ids.withColumn("_stored", F.lit(False))
     else:
         marked = stored.select(_q(id_col), F.lit(True).alias("_stored"))
-        known = known.join(marked, id_col, "left").na.fill(False, ["_stored"])
-    special = known.filter("_copies > 1 OR _stored").select(_q(id_col), "_stored")
-    few = pinned_if_small(special, MAX_SENT_IDS)
-    if few is not special:
-        repeated = rows.join(few.filter("NOT _stored"), id_col, "left_semi")
-        return _without(rows, few, id_col).unionByName(first_per_id(repeated, id_col))
-    return fresh if stored is None else _without(fresh, stored, id_col)
-
-
-def _without(rows: DataFrame, others: DataFrame, id_col: str) -> DataFrame:
-    kept = rows.join(others.select(_q(id_col)), id_col, "left_anti")
-    return kept.select(*map(_q, rows.columns))
+        ids = ids.join(marked, id_col, "left").na.fill(False, ["_stored"])
+    path = scratch_path(rows.sparkSession, "ids")
+    ids.write.parquet(path)
+    ids = rows.sparkSession.read.schema(ids.schema).parquet(path)
+    fresh = ids.filter("NOT _stored")
+    new = rows.filter(may_hold(id_bits(fresh, id_col), _q(id_col)))
+    special = may_hold(id_bits(ids.filter("_stored OR _repeats"), id_col), _q(id_col))
+    unsure = new.filter(special).join(fresh.select(_q(id_col)), id_col, "left_semi")
+    return new.filter(~special).unionByName(first_per_id(unsure.select(*map(_q, rows.columns)), id_col))
+
+
+def _checked_id(id_col: str) -> Column:
+    return F.when(_q(id_col).isNull(), F.raise_error(F.lit("a row to store has no id"))).otherwise(_q(id_col))
+
+
+def with_columns_of(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows with the columns of the table too, as null; a column may not change its type."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    for field in stored.schema.fields:
+        if field.name not in kinds:
+            rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
+        elif kinds[field.name].simpleString() != field.dataType.simpleString():
+            raise ValueError(
+                f"column {field.name} is {field.dataType.simpleString()} in the table and {kinds[field.name].simpleString()} in the load"
+            )
+    return rows
 
 
 class VectorTable:
@@ -134,7 +142,8 @@ class VectorTable:
         return self._found() is not None
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """All columns of all loads; a load without a column has null in it."""
+        return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
     def _found(self) -> DataFrame | None:
         try:
@@ -151,6 +160,8 @@ class VectorTable:
         """
         require_columns(rows, ["chunk_id", "chunk_text", "embedding"])
         stored = self._found()
+        if stored is not None:
+            rows = with_columns_of(rows, stored)
         fresh = new_rows(rows, stored)
         before = stored.count() if stored is not None else 0
         writer = fresh.write.mode("append")

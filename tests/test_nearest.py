@@ -110,3 +110,27 @@ def test_arguments(spark):
     for bad in ({"k": 0}, {"metric": "dot"}, {"filter_col": "product"}, {"id_col": "nowhere"}):
         with pytest.raises(ValueError):
             nearest.nearest(chunks, questions, **bad)
+
+
+def test_odd_vectors(spark):
+    rows = [("ok", [1.0, 2.0]), ("null", [1.0, None]), ("nan", [float("nan"), 1.0]), ("inf", [float("inf"), 0.0]), ("zero", [0.0, 0.0]), ("none", None)]
+    chunks = spark.createDataFrame([(i, v, "p", "t") for i, v in rows], CHUNK_SCHEMA).coalesce(1)
+    asked = spark.createDataFrame([(1, [1.0, 2.0], None)], QUESTION_SCHEMA)
+    got = {r.chunk_id: r.distance for r in nearest.nearest(chunks, asked, 9).collect()}
+    assert got == {"ok": 0.0, "zero": 5.0}
+    got = {r.chunk_id: r.distance for r in nearest.nearest(chunks, asked, 9, "cosine").collect()}
+    assert got["zero"] == 1.0 and abs(got["ok"]) < 1e-9 and len(got) == 2
+    zero = spark.createDataFrame([(1, [0.0, 0.0], None)], QUESTION_SCHEMA)
+    assert {r.distance for r in nearest.nearest(chunks, zero, 9, "cosine").collect()} == {1.0}
+    wide = chunks.unionByName(spark.createDataFrame([("wide", [1.0, 2.0, 3.0], "p", "t")], CHUNK_SCHEMA))
+    with pytest.raises(Exception, match="wide"):
+        nearest.nearest(wide, asked, 2).collect()
+    bad = spark.createDataFrame([(7, [1.0, None], None)], QUESTION_SCHEMA)
+    with pytest.raises(Exception, match="null or infinite"):
+        nearest.nearest(chunks, bad, 2).collect()
+
+
+def test_other_key_types(spark):
+    chunks = spark.sql("SELECT DATE'2024-01-02' AS chunk_id, array(1.0F) AS embedding")
+    asked = spark.sql("SELECT CAST(1 AS SMALLINT) AS question_id, array(1.0F) AS question_embedding")
+    assert str(nearest.nearest(chunks, asked, 1).first().chunk_id) == "2024-01-02"

@@ -165,22 +165,41 @@ def test_sources_and_sinks(spark, rows, tmp_path):
         writers.write_embeddings(flat, f"{folder}/e2.parquet")
 
 
-@pytest.mark.parametrize("limit", [0, 1, 3, 5, 100])
-def test_small_and_large_loads_agree(spark, rows, monkeypatch, tmp_path, limit):
+def test_repeated_and_stored_ids(spark, rows, tmp_path):
     table = store.VectorTable(spark, str(tmp_path / "v"))
     table.add(rows)
-    monkeypatch.setattr(store, "MAX_SENT_IDS", limit)
     more = rows.unionByName(rows.withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))))
     expected = [("a2", "other a"), ("b2", "text b")]
     assert sorted(tuple(r)[:2] for r in store.new_rows(more, table.read()).collect()) == expected
     empty = sorted(tuple(r)[:2] for r in store.new_rows(more, None).collect())
     assert empty == sorted([*expected, ("a", "other a"), ("b", "text b")])
+    assert store.new_rows(rows.filter("false"), table.read()).collect() == []
 
 
-def test_large_load_without_repeated_ids_is_not_shuffled(spark, rows, monkeypatch, tmp_path):
-    monkeypatch.setattr(store, "MAX_SENT_IDS", 1)
+def test_null_ids_are_refused(spark, rows, tmp_path):
+    table = store.VectorTable(spark, str(tmp_path / "v"))
+    with pytest.raises(Exception, match="no id"):
+        table.add(rows.withColumn("chunk_id", F.nullif("chunk_id", F.lit("b"))))
+    assert not table.exists()
+
+
+def test_columns_of_all_loads_are_kept(spark, rows, tmp_path):
     table = store.VectorTable(spark, str(tmp_path / "v"))
     table.add(rows)
-    table.read().withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))).write.parquet(str(tmp_path / "in"))
-    plan = physical_plan(store.new_rows(spark.read.parquet(str(tmp_path / "in")), table.read()))
-    assert "Exchange hashpartitioning" not in plan and "Aggregate" not in plan
+    table.add(rows.withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))).withColumnRenamed("product", "state"))
+    kept = {r.chunk_id: (r.product, r.state) for r in table.read().collect()}
+    assert kept == {"a": ("q", None), "b": (None, None), "a2": (None, "q"), "b2": (None, None)}
+    with pytest.raises(ValueError, match="product"):
+        table.add(rows.withColumn("chunk_id", F.lit("z")).withColumn("product", F.lit(1)))
+
+
+def test_settled_rows_are_not_shuffled(spark, rows, tmp_path):
+    """Only rows that both filters may hold reach the join; of a first or a repeated load there are none."""
+    table = store.VectorTable(spark, str(tmp_path / "v"))
+    many = spark.range(3000).selectExpr("CAST(id AS STRING) chunk_id", "'t' chunk_text", "array(1.0F) embedding")
+    assert table.add(many) == 3000 and table.add(many) == 0
+    added = store.new_rows(many, table.read())
+    assert added.collect() == []
+    plan = physical_plan(added)
+    shuffled = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "chunk_text" in line]
+    assert not shuffled
