@@ -5,8 +5,8 @@ numbers that fail a check give more candidates. Five labelers vote on every cand
 not at all: the strict pattern, its structure, a gazetteer, words in front, and what touches it.
 Expectation-maximisation estimates for each kind how reliable each labeler is, from the counts of vote
 patterns alone, and from that how likely a candidate is personal data. These probabilities train the
-span classifier (naive Bayes on shape and surroundings); candidates it accepts are added unless they
-overlap a base span.
+span classifier (naive Bayes on shape, surroundings, structure and gazetteer); candidates it is sure of
+are added unless they overlap a base span.
 
 A text is scanned once, in the task that reads it; the candidates of a document stay in its row. Only
 counts of vote patterns (at most 3^5 for a kind) and of feature values are shuffled, and the
@@ -31,7 +31,9 @@ from narrata.llm.common import staged
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELERS = ["strict", "structure", "gazetteer", "context", "touching"]
-FEATURES = ["length", "digits", "separators", "before", "after", "cue"]
+FEATURES = ["length", "digits", "separators", "before", "after", "cue", "structure", "gazetteer"]
+#: A candidate is added when the classifier gives it at least this probability.
+MIN_PROBABILITY = 0.9
 STEPS = 8
 CONTEXT = 30
 
@@ -148,10 +150,10 @@ def _described(text: Column, spans: Column, kind: int, base: bool) -> Column:
         before = F.lower(F.substring(text, first + 1, start - first))
         left = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
         right = F.substring(text, end + 1, F.lit(1))
+        votes = _votes(kind, value, base, before, left, right)
         return F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.lit(base).alias("base"),
-            F.array(*_votes(kind, value, base, before, left, right)).alias("votes"),
-            F.array(*_features(kind, value, before, left, right)).alias("features"),
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.lit(base).alias("base"), F.array(*votes).alias("votes"),
+            F.array(*_features(kind, value, before, left, right), votes[1], votes[2]).alias("features"),
         )
 
     return F.transform(spans, describe)
@@ -268,7 +270,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     read = staged(candidates(docs), "pii-spans")
     spans = read.select(F.explode("spans").alias("s")).select("s.kind", "s.votes", "s.features")
     weights = classifier(spans, reliabilities(spans)) or {"": 0.0}
-    every = F.filter("spans", lambda s: s["base"] | (_score(weights, s) > 0))
+    every = F.filter("spans", lambda s: s["base"] | (_score(weights, s) >= math.log(MIN_PROBABILITY / (1 - MIN_PROBABILITY))))
     base = F.filter("spans", lambda s: s["base"])
     of_kind = lambda k: F.filter("spans", lambda s: s["base"] & (s["kind"] == k))
     counts = [F.size(of_kind(k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]

@@ -52,6 +52,7 @@ def test_whole_table(spark):
     rows = op5_pii(spark, SF).collect()
     assert_found(rows, docs)
     assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in rows) > 300
+    assert sum(r.n_added for r in rows) <= 5  # numbers that fail the check digit are no cards
     clean = {i for i, t in docs if not re.search("[0-9@]", t or "")}
     assert all(not r.spans for r in rows if r.doc_id in clean)
 
@@ -73,11 +74,12 @@ def test_hard_texts(spark):
 
 
 def test_learns_from_votes(spark):
-    texts = [f"mail or call us at a{i}@ex.com or phone +1 (555) 123-4{i:03d} now" for i in range(100)]
+    texts = [f"mail or call us at a{i}@ex.com or phone +1 (555) 123-4{i:03d} now, by phone (555) 123-4{i:03d} too" for i in range(100)]
     texts += [f"please call the phone (555) 123-4{i:03d} today" for i in range(40)] + [f"order 41111111111{i:05d} was sent" for i in range(100)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r.doc_id: r for r in pii.personal_data(df).collect()}
     assert all(r.n_added == 0 for i, r in rows.items() if i >= 140)
+    assert all(r.n_added == 1 and "phone:23:37" in r.spans for i, r in rows.items() if 100 <= i < 140)
     spans = pii.candidates(df).selectExpr("explode(spans) s").select("s.kind", "s.votes")
     found = pii.reliabilities(spans)
     assert found[3]["yes"][4] > 0.8 and found[2]["no"][1] < 0.3
