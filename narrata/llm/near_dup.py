@@ -2,19 +2,21 @@
 
 1. A document's distinct word shingles are hashed with one function; the k smallest values are its
    sketch. Documents with equal sets form a class, and only classes are compared.
-2. Inverted lists of the retained values generate overlaps. Two sets with the wanted similarity share
-   at least ``OVERLAP`` of their sketches but for a chance under 1e-8, so it is enough to list each
-   class under its rarest values (the rest could only repeat an overlap found there).
-3. Short lists are compared directly. In a long list every class is compared with the list's leader,
-   the class with the fewest values of its own: in a group of copies that is the one nearest to all.
+2. Inverted lists of the retained values generate overlaps. A list is kept for every three values that
+   follow each other in a sketch: of two sets at a similarity of 0.8, in the order of the hash, four in
+   five values are common, and but for a chance under 1e-7 three of them follow each other. Sets that fit
+   into a sketch share three in a row always, those of four and five values two, which are listed too.
+   Unlike single values, three in a row are seldom shared by chance, however common the words.
+3. Short lists are compared directly. In a long list every class is compared with the list's leader, the
+   class that shares most of its lists: in a group of copies the one nearest to all.
 4. A pair goes on if 128 signed bits of the sets differ in no more than ``MOST_BITS`` and if its similarity,
    estimated from the k smallest values of the union of the two sketches, is not far below the threshold;
    exact Jaccard on the full sets decides. Links make components.
-5. Classes that share enough retained values with other components, in long lists only, go through an
-   exact prefix search on their full sets: rarest shingles first, with the bounds on overlap that size
-   and position give. Rows of a list's main component are compared with the others only.
+5. Classes in long lists that hold more than one component go through an exact prefix search on their full
+   sets: rarest shingles first, with the bounds on overlap that size and position give. Rows of a list's
+   main component are compared with the others only.
 
-So no list is ever paired off beyond ``SHORT`` rows, and no link is lost in a long one.
+So no list is ever paired off beyond ``SHORT`` rows, and no link is lost in a long one. Thresholds are 0.8 or more.
 
 Defined cases: a text of fewer words than a shingle is one shingle of all its words; an empty or null
 text, or one without words, has an empty set, is linked with nothing and is kept; rows with a null id
@@ -38,8 +40,6 @@ from narrata.llm.common import WORD, staged
 from narrata.llm.components import components
 
 SKETCH = 48
-#: Share of a sketch that a linked pair has in common but for a chance of exp(-48 * 0.38).
-OVERLAP = 0.4
 #: Lists up to this length are compared directly.
 SHORT = 8
 #: How far an estimate may lie below the threshold: five standard deviations.
@@ -151,11 +151,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return sets.join(wanted.withColumnRenamed("rep", "first"), "node").filter("rep = first").select("node", "items").dropDuplicates(["node"])
 
 
-def _needed(size: Column) -> Column:
-    """The overlap that the sketches of a linked pair have at least, for a sketch of this size."""
-    return F.ceil(size * OVERLAP)
-
-
 def _side(df: DataFrame, side: str, *columns: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_{side}") for c in columns])
 
@@ -179,18 +174,16 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _listed(classes: DataFrame) -> DataFrame:
-    """Classes whose retained values occur in other sketches: node, n, low, high, size, found (those values by rarity), many.
-
-    ``many``: enough of the values have long lists for a partner that shares no short list.
-    """
-    rows = classes.select("node", F.explode("sketch").alias("value"))
-    lists = rows.groupBy("value").agg(F.count("*").alias("rows")).filter("rows > 1")
-    found = rows.join(lists, "value").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("rows", "value"))).alias("found"))
-    n_long = F.size(F.filter("found", lambda f: f["rows"] > SHORT))
-    return (
-        classes.select("node", "n", "low", "high", F.size("sketch").alias("size")).join(found, "node")
-        .withColumn("many", n_long >= _needed(F.col("size")))
-    )
+    """The lists with more than one row: key, rows (length of the list), node, shared (such lists of the node), n, low, high."""
+    runs = []
+    for length, wanted in ((3, F.size("sketch") > 0), (2, F.size("sketch").between(4, 5))):
+        placed = classes.filter(wanted).select("node", "sketch", F.explode(F.sequence(F.lit(0), F.greatest(F.size("sketch") - length, F.lit(0)))).alias("at"))
+        runs.append(placed.select("node", F.xxhash64(F.lit(length), *[F.get("sketch", F.col("at") + i) for i in range(length)]).alias("key")))
+    rows = runs[0].unionByName(runs[1])
+    lists = rows.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1")
+    listed = staged(rows.join(lists, "key"), "near-rows")
+    shared = listed.groupBy("node").agg(F.count("*").alias("shared"))
+    return listed.join(shared.join(classes.select("node", "n", "low", "high"), "node"), "node")
 
 
 def _alike(threshold: float) -> Column:
@@ -204,37 +197,24 @@ def _close() -> Column:
 
 
 def _first_pairs(listed: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of the short lists, and of leaders with the others of the long ones."""
-    own = F.col("size") - F.size("found")
-    room = F.greatest(F.lit(0), F.col("size") - _needed(F.col("size")) + 1 - own).cast("int")
+    """Pairs of the short lists, and of leaders with the others of the long ones, whose sizes and signed bits are alike."""
     about = ["node", "n", "low", "high"]
-    rows = listed.select(*about, own.alias("own"), "many", F.explode(F.slice("found", F.lit(1), room)).alias("f")).select(
-        *about, "own", "many", "f.rows", "f.value"
-    )
-    short, long = rows.filter(f"rows <= {SHORT}"), rows.filter(f"rows > {SHORT} and many")
-    near = _side(short, "a", "value", *about).withColumnRenamed("value_a", "value").join(
-        _side(short, "b", "value", *about).withColumnRenamed("value_b", "value"), "value"
-    ).filter((F.col("node_a") < F.col("node_b")) & _alike(threshold) & _close())
-    leaders = long.groupBy("value").agg(F.min(F.struct("own", *about)).alias("first")).select(
-        "value", *[F.col(f"first.{c}").alias(f"{c}_a") for c in about]
-    )
-    led = _side(long, "b", "value", *about).withColumnRenamed("value_b", "value").join(leaders, "value").filter(
-        (F.col("node_a") != F.col("node_b")) & _alike(threshold) & _close()
-    )
+    short, long = listed.filter(f"rows <= {SHORT}"), listed.filter(f"rows > {SHORT}")
+    sides = [short.select("key", *[F.col(c).alias(f"{c}_{side}") for c in about]) for side in "ab"]
+    near = sides[0].join(sides[1], "key").filter((F.col("node_a") < F.col("node_b")) & _alike(threshold) & _close())
+    leaders = long.groupBy("key").agg(F.min(F.struct(-F.col("shared"), *about)).alias("first"))
+    led = long.select("key", *[F.col(c).alias(f"{c}_a") for c in about]).join(
+        leaders.select("key", *[F.col("first")[c].alias(f"{c}_b") for c in about]), "key"
+    ).filter((F.col("node_a") != F.col("node_b")) & _alike(threshold) & _close())
     ends = [F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b")]
     return near.select(*ends).unionByName(led.select(*ends)).distinct()
 
 
 def _open_nodes(listed: DataFrame, groups: DataFrame) -> DataFrame:
-    """Classes that share enough values of long lists with other components to have a partner there."""
-    rows = (
-        listed.filter("many").join(groups, "node", "left")
-        .select("node", "size", F.coalesce("component", "node").alias("group"), F.explode("found").alias("f"))
-        .filter(f"f.rows > {SHORT}").select("node", "size", "group", "f.value")
-    )
-    mixed = rows.groupBy("value").agg(F.min("group").alias("one"), F.max("group").alias("other")).filter("one != other")
-    shared = rows.join(mixed.select("value"), "value").groupBy("node", "size").agg(F.count("*").alias("shared"))
-    return shared.filter(F.col("shared") >= _needed(F.col("size"))).select("node")
+    """Classes in long lists that hold more than one component."""
+    rows = listed.filter(f"rows > {SHORT}").join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("group"))
+    mixed = rows.groupBy("key").agg(F.min("group").alias("one"), F.max("group").alias("other")).filter("one != other")
+    return rows.join(mixed.select("key"), "key").select("node").distinct()
 
 
 def _apart(rows: DataFrame) -> DataFrame:
@@ -285,7 +265,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) ->
     groups = components(links)
     open_nodes = _with_rep(_open_nodes(listed, groups), classes)
     open_sets = staged(full_sets(docs, open_nodes, width), "near-open")
-    more = staged(_linked(_estimated(_exact_pairs(open_sets, groups, threshold), classes, threshold), open_sets, threshold), "near-more")
+    more = staged(_linked(_exact_pairs(open_sets, groups, threshold), open_sets, threshold), "near-more")
     if more.head(1):
         groups = components(links.unionByName(more))
     return _result(sketched, classes, groups)
