@@ -154,7 +154,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None
     """Add lang_pred and score to the columns ``keep`` (default doc_id), computed from the text alone."""
     keep = keep or ["doc_id"]
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)], "text", has_letter.alias("has_letter"))
+    text = f"keep_{keep.index('text')}" if "text" in keep else "text"  # a kept text is handed over once
+    kept = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
+    rows = docs.select(*kept, *(["text"] if text == "text" else []), has_letter.alias("has_letter"))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,7 +166,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None
                 if model is None:
                     langs, scores = [UNKNOWN] * len(lettered), [0.0] * len(lettered)
                 else:
-                    langs, scores = model.predict(features(part.column("text").to_pylist()))
+                    langs, scores = model.predict(features(part.column(text).to_pylist()))
                     langs = [lang if ok else UNKNOWN for lang, ok in zip(langs, lettered, strict=True)]
                     scores = [float(s) if ok else 0.0 for s, ok in zip(scores, lettered, strict=True)]
                 columns = [part.column(f"keep_{i}") for i in range(len(keep))]
