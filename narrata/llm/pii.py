@@ -163,7 +163,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id and spans: array of (kind, start, end, base, votes, features), by kind and start."""
     text = F.col("text")
     many_digits = text.rlike(r"[0-9](?:[\x20-]?[0-9]){12}")
-    part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+    part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?|(?<=0))"  # the zeros alone are a part too
     split = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", "text",
         _where(text.contains("@"), found(text, EMAIL)).alias("email"),

@@ -62,6 +62,7 @@ HARD = [
     "\U0001f600 4111 1111 1111 1111 é 4111-1111-1111-1111x 4111 1111  1111 1111 41111111111111112", "5--6 4111111111111111-4111111111111111 0000000000000",
     "+1 (017) 555-7713 +1.2 +12345678 +123456789 ++49 (0)30/123456789 +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 + 1", "call (555) 123-4567 or 555-123-4567, mail me: joe [at] ex dot com joe(at)ex.com",
     None, "", "no data", "1" * 40_000, "a" * 40_000 + "@", "a@" + "b." * 20_000, "1 " * 20_000, "1." * 20_000, "+" * 5000 + "1 " * 5000, "x@y.zz " * 2000, "123.45.67.89" * 50,
+    "10.0.0.1 0.0.0.0 1.2.3.000 192.168.0.1 00.1.1.1 010.020.003.0100 00256.0.0.0 0.0.0.300 1.0.0", "0" * 4000 + ".0.0." + "0" * 4000,
 ]
 
 
@@ -73,6 +74,11 @@ def test_hard_texts(spark):
     assert pii.personal_data(df.filter("text = 'no data'")).first().spans == ""
 
 
+def test_parts_of_zeros(spark):
+    df = spark.createDataFrame([(1, "ip 10.0.0.1"), (2, "0.0.0.0, 1.2.3.000"), (3, "0.0.0.256")], "doc_id long, text string")
+    assert {r.doc_id: r.n_ip for r in pii.personal_data(df).collect()} == {1: 1, 2: 2, 3: 0}
+
+
 def test_learns_from_votes(spark):
     texts = [f"mail or call us at a{i}@ex.com or phone +1 (555) 123-4{i:03d} now, by phone (555) 123-4{i:03d} too" for i in range(100)]
     texts += [f"please call the phone (555) 123-4{i:03d} today" for i in range(40)] + [f"order 41111111111{i:05d} was sent" for i in range(100)]
