@@ -1,8 +1,10 @@
 """WARC derivatives: metadata and plain-text conversion records of responses.
 
-A response record becomes two records that refer to it: a metadata record with the fields of its page
-(title, language, character set, description, links) and a conversion record with its plain text. Both
-carry the WARC-Refers-To, target URI, date and payload digest of the response; their own block digests
+A response record becomes two records that refer to it: a metadata record and a conversion record with
+its plain text. The metadata record has the content type and block digest of the response record
+(``response-``), its status line and every HTTP header in order (``source-`` and the name in lower case;
+folded lines are joined, a line without a name is a ``source-line``), and the fields of its page (title,
+language, character set, description, links). Both carry the WARC-Refers-To, target URI, date and payload digest of the response; their own block digests
 are computed anew, and their record ids are derived from the response's id, so a rerun gives the same.
 
 Everything is a projection of one row: no shuffle, no state. Records are rows (warc_type, record_id,
@@ -156,7 +158,7 @@ def _link_target(link: Column) -> Column:
 
 
 def page_fields(page: Column) -> dict[str, Column]:
-    """Title, language, character set and links of a page, beside columns of ``url_parts``."""
+    """Title, language, character set, description and links of a page, beside columns of ``url_parts``."""
     title = F.regexp_extract(page, r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>", 1)
     clean = lambda c: F.btrim(F.regexp_replace(decoded(c), r"\s+", " "))
     attribute = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
@@ -164,33 +166,53 @@ def page_fields(page: Column) -> dict[str, Column]:
     links = F.transform(
         F.regexp_extract_all(page, F.lit(rf"(?i)<a\s(?:[^>]*?\s)?href{attribute}"), F.lit(1)), lambda x: _link_target(decoded(bare(x)))
     )
+    tags = F.regexp_extract_all(page, F.lit(r"""(?i)<meta\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""), F.lit(0))
+    named = F.filter(tags, lambda x: x.rlike(r"""(?i)[\s"'/]name\s*=\s*(?:"\s*description\s*"|'\s*description\s*'|description[\s/>])"""))
+    descriptions = F.transform(named, lambda x: clean(bare(F.regexp_extract(x, rf"""(?i)[\s"'/]content{attribute}""", 1))))
     return {
         "title": clean(title),
         "language": F.lower(bare(F.regexp_extract(page, rf"(?i)<html\s(?:[^>]*?\s)?lang{attribute}", 1))),
         "charset": F.lower(bare(F.regexp_extract(page, rf"(?i)<meta\s(?:[^>]*?\s)?charset{attribute}", 1))),
+        "description": F.coalesce(F.get(F.filter(descriptions, lambda x: x != ""), F.lit(0)), F.lit("")),
         "links": F.array_distinct(F.filter(links, lambda x: x != "")),
     }
 
 
+def source_lines(http: Column) -> Column:
+    """The status line and all header lines of a response, in order, as fields of a metadata record."""
+    lines = F.filter(F.split(F.regexp_replace(http, r"\r?\n[ \t]+", " "), r"\r?\n"), lambda x: F.btrim(x) != "")
+
+    def field(line, i):
+        name = F.substring_index(line, ":", 1)
+        return (
+            F.when((i == 0) & line.startswith("HTTP/"), F.concat(F.lit("source-status-line: "), line))
+            .when(F.instr(line, ":") > 1, F.concat(F.lit("source-"), F.lower(name), F.substring(line, F.length(name) + 1, F.length(line))))
+            .otherwise(F.concat(F.lit("source-line: "), line))
+        )
+
+    return F.array_join(F.transform(lines, lambda x, i: F.concat(field(x, i), F.lit("\r\n"))), "")
+
+
 def derivatives(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of the response records in ``records``; other records are passed over."""
     header, payload = _payload(F.col("block"))
     about = ["page_id", "refers_to", "target_uri", "date", "payload_digest"]
     source = records.filter("warc_type = 'response'").select(
-        "page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", "payload_digest", header.alias("http"), payload.alias("html")
+        "page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", "payload_digest",
+        F.col("content_type").alias("response_type"), F.col("block_digest").alias("response_digest"), header.alias("http"), payload.alias("html"),
     )
-    cleaned = source.select(*about, "http", *url_parts(F.col("target_uri")), visible(F.col("html")).alias("page"))
+    about += ["response_type", "response_digest", "http"]
+    cleaned = source.select(*about, *url_parts(F.col("target_uri")), visible(F.col("html")).alias("page"))
     read = cleaned.select(
-        *about, F.regexp_extract("http", r"(?i)(?:^|\n)content-type:\s*([^\r\n]*)", 1).alias("source_type"),
-        *[c.alias(name) for name, c in page_fields(F.col("page")).items()], "page",
+        *about, *[c.alias(name) for name, c in page_fields(F.col("page")).items()], "page",
     )
     for step in plain_text(F.col("page")):
         read = read.withColumn("text", step)
-    lines = [
-        F.when(F.col(name) != "", F.concat(F.lit(f"{name}: "), F.col(name), F.lit("\r\n"))).otherwise("") for name in ("title", "language", "charset")
-    ]
+    line = lambda name, c: F.when(F.col(c) != "", F.concat(F.lit(f"{name}: "), F.col(c), F.lit("\r\n"))).otherwise("")
+    lines = [line(name, name) for name in ("title", "language", "charset", "description")]
+    response = [line("response-content-type", "response_type"), line("response-block-digest", "response_digest")]
     outlinks = F.array_join(F.transform("links", lambda x: F.concat(F.lit("outlink: "), x, F.lit("\r\n"))), "")
-    metadata = F.concat(F.lit("source-content-type: "), F.col("source_type"), F.lit("\r\n"), *lines, outlinks)
+    metadata = F.concat(*response, source_lines(F.col("http")), *lines, outlinks)
 
     def record(kind: str, content_type: str, block: Column) -> Column:
         return F.struct(

@@ -72,3 +72,29 @@ def test_files_read_back(spark, tmp_path):
     assert sorted(map(tuple, back.select(same).collect())) == sorted(map(tuple, records.select(same).collect()))
     again = warc.derivatives(back.withColumn("page_id", warc.F.lit(0)))
     assert sorted(r.record_id for r in again.collect()) == sorted(r.record_id for r in warc.page_derivatives(df).collect())
+
+
+def test_source_headers_and_description(spark):
+    head = "HTTP/1.1 404 Not Found\r\nServer: nginx\r\nX-Long: a\r\n\tb\r\nSet-Cookie: a=1\r\nset-cookie: b=2\r\nno name\r\nContent-Type: text/html\r\n\r\n"
+    pages = {
+        1: head + "<meta charset=utf-8><META content='A &amp;\n \"B\" > c' NAME=description><meta name=description content=second>",
+        2: head + '<meta name="description" content=""/><meta property="og:description" content="no"><meta name="Description"content="x"/>',
+        3: "<meta name='descriptions' content='no header and no description'>",
+    }
+    rows = [(i, "response", f"<urn:{i}>", "http://h.org/", warc.DATE, "application/http", block, sha1(block), "") for i, block in pages.items()]
+    schema = "page_id long, warc_type string, record_id string, target_uri string, date string, content_type string, block string, block_digest string, payload_digest string"
+    out = {r.page_id: r.block for r in warc.derivatives(spark.createDataFrame(rows, schema)).collect() if r.warc_type == "metadata"}
+    sources = [
+        "source-status-line: HTTP/1.1 404 Not Found", "source-server: nginx", "source-x-long: a b", "source-set-cookie: a=1",
+        "source-set-cookie: b=2", "source-line: no name", "source-content-type: text/html",
+    ]
+    of = lambda i: ["response-content-type: application/http", f"response-block-digest: {sha1(pages[i])}"]
+    assert out[1].split("\r\n") == [*of(1), *sources, "charset: utf-8", 'description: A & "B" > c', ""]
+    assert out[2].split("\r\n") == [*of(2), *sources, "description: x", ""]
+    assert out[3].split("\r\n") == [*of(3), ""]
+
+
+def test_headers_of_pages(spark):
+    df = spark.createDataFrame([(1, "http://h.org", "<p>é")], "page_id long, url string, html string")
+    block = warc.page_derivatives(df).filter("warc_type = 'metadata'").first().block
+    assert "source-status-line: HTTP/1.1 200 OK\r\nsource-content-type: text/html; charset=utf-8\r\nsource-content-length: 5\r\n" in block
