@@ -10,6 +10,12 @@ blocks. Two fingerprints that near agree in at least three of them, so for every
 blocks there is a table with these blocks in front (the permuted tables), and partners meet in at least
 one; of those only the first one reports them. Only distinct fingerprints are compared, each once.
 
+The radius of 3 finds nearly equal texts only. In a simulation of two texts with 300 distinct shingles
+each (4,000 pairs for each similarity of the shingle sets), fingerprints differed in 9.7 bits on average at
+similarity 0.8, 6.6 at 0.9 and 2.7 at 0.98, and were within the radius in 0.7 % of the pairs at 0.8, 3 % at
+0.85, 9 % at 0.9, 31 % at 0.95 and 71 % at 0.98. All pairs of distinct fingerprints that share a key in a
+table are compared, so many slightly different copies of one text cost the square of their number.
+
 ``edited_fingerprints`` gives every document's fingerprint, that of an edited text and that of the next
 document. Neighbours are found in ranges of the id with one guest row from the next range, so no task
 sorts all documents.
