@@ -6,8 +6,8 @@ further columns, which are not handed on.
 
 Defined cases: rows without a letter (null and empty texts among them) leave in the first stage; rows with
 a null id are never compared with others and stay; a document whose every line was an earlier document's
-leaves with the second stage; rows that repeat an id are the same document; an empty table gives an empty
-result in every stage.
+leaves with the second stage; rows that repeat an id do not delete lines from each other, and each stays
+or leaves as a near-duplicate by its own text; an empty table gives an empty result in every stage.
 """
 
 from __future__ import annotations
@@ -43,8 +43,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near-duplicates (five words to a shingle, similarity 0.8)."""
     docs = docs.select(COLUMNS)
-    gone = near_dup.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    gone = near_dup.near_duplicates(docs, tagged=True).filter("not kept").select("doc_id", "tag").distinct()
+    return docs.withColumn("tag", F.xxhash64("text")).join(gone, ["doc_id", "tag"], "left_anti").select(COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

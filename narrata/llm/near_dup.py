@@ -96,8 +96,9 @@ def signed_bits(values: np.ndarray) -> tuple[int, int]:
     return low, high
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node (digest of the set; null for an empty one), n, low and high (signed bits) and sketch."""
+def sketches(docs: DataFrame, width: int, tagged: bool = False) -> DataFrame:
+    """doc_id, node (digest of the set; null for an empty one), n, low and high (signed bits) and sketch; ``tagged`` adds tag (hash of the text)."""
+    tag = ["tag"] if tagged else []
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,10 +111,12 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     pa.array([low for low, _ in bits], pa.int64()), pa.array([high for _, high in bits], pa.int64()),
                     pa.array([values[:SKETCH] for values in sets], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "node", "n", "low", "high", "sketch"])
+                names = ["doc_id", "node", "n", "low", "high", "sketch", *tag]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns, *map(part.column, tag)], names)
 
-    docs = docs.select("doc_id", "text")
-    return docs.mapInArrow(sketched, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n long, low long, high long, sketch array<long>")
+    docs = docs.select("doc_id", "text", *[F.xxhash64("text").alias(c) for c in tag])
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, n long, low long, high long, sketch array<long>"
+    return docs.mapInArrow(sketched, kinds + "".join(f", {c} long" for c in tag))
 
 
 def _filter_bits(ids: DataFrame) -> np.ndarray:
@@ -249,9 +252,12 @@ def _exact_pairs(sets: DataFrame, groups: DataFrame, threshold: float) -> DataFr
     return pairs.select(F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
-    """Return doc_id, n_shingles, component_id (smallest id reached over links) and kept for every document."""
-    sketched = staged(sketches(docs, width), "near-sketches")
+def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, tagged: bool = False) -> DataFrame:
+    """Return doc_id, n_shingles, component_id (smallest id reached over links) and kept for every document.
+
+    ``tagged`` adds tag (xxhash64 of the text), which tells rows with the same id apart.
+    """
+    sketched = staged(sketches(docs, width, tagged), "near-sketches")
     classes = staged(
         sketched.filter("node is not null").groupBy("node").agg(
             F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "low", "high", "sketch")]
@@ -283,5 +289,5 @@ def _result(sketched: DataFrame, classes: DataFrame, groups: DataFrame) -> DataF
     component_id = F.when(F.col("node").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return sketched.join(by_node, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component_id.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"), *[c for c in sketched.columns if c == "tag"],
     )

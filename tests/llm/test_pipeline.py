@@ -84,3 +84,12 @@ def test_stages_keep_the_columns(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+
+
+def test_repeated_id_with_two_texts(spark):
+    words = [f"w{i}" for i in range(60)]
+    copied, near, own = " ".join(words), " ".join(words[:-1]), " ".join(f"own{i}" for i in range(60))
+    rows = [(1, copied, "en", "a", 1), (2, near, "en", "a", 1), (2, own, "en", "a", 1), (3, near, "en", "a", 1), (4, None, "en", "a", 1), (None, near, "en", "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_duplicates(spark, df, SF)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted((rows[i] for i in (0, 2, 4, 5)), key=str)
