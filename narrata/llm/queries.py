@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from narrata.llm import chat, fair_mix, host_rules, language, line_dedup, near_dup, packing, pii, simhash, warc
+from pyspark.sql import functions as F
+
+from narrata.llm import chat, fair_mix, hard_negatives, host_rules, language, lexical_search, line_dedup
+from narrata.llm import near_dup, packing, pii, simhash, token_counts, warc
 from narrata.llm.common import read_table
-from narrata.llm.sql import HOST_RULES_SQL, MIX_SQL
+from narrata.llm.sql import HARD_NEGATIVES_SQL, HOST_RULES_SQL, LEXICAL_SEARCH_SQL, MIX_SQL
 
-#: The vocabulary for packing.
+#: The vocabulary for packing and counts.
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -57,6 +60,20 @@ def op10_minhash_near_dup(spark, sf_dir):
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), width=2)
 
 
+def op11_lexical_search(spark, sf_dir):
+    return lexical_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = read_table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
+
+
 CHECKS = {
     "op1_warc_derivatives": (op1_warc_derivatives, None),
     "op2_simhash": (op2_simhash, None),
@@ -68,4 +85,7 @@ CHECKS = {
     "op8_language_id": (op8_language_id, None),
     "op9_line_dedup": (op9_line_dedup, None),
     "op10_minhash_near_dup": (op10_minhash_near_dup, None),
+    "op11_lexical_search": (op11_lexical_search, LEXICAL_SEARCH_SQL),
+    "op12_token_counts": (op12_token_counts, None),
+    "op13_hard_negatives": (op13_hard_negatives, HARD_NEGATIVES_SQL),
 }

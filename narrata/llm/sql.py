@@ -77,3 +77,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 +
  f1 + f2 = 0 AND NOT host_rejected AS kept, host_docs, host_rejected
 FROM failing f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source
 """
+
+LEXICAL_SEARCH_SQL = r"""
+WITH doc_terms AS (
+ SELECT doc_id, UNNEST(REGEXP_EXTRACT_ALL(TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), item_terms AS (
+ SELECT item_id, term, COUNT(*) AS times FROM (
+  SELECT item_id, UNNEST(REGEXP_EXTRACT_ALL(TRANSLATE(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term
+), sizes AS (
+ SELECT doc_id, COUNT(*) AS n FROM doc_terms GROUP BY doc_id
+), totals AS (
+ SELECT COUNT(*) AS n_docs, SUM(n)::BIGINT AS n_terms FROM sizes
+), found AS (
+ SELECT doc_id, term, COUNT(*) AS tf FROM doc_terms WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term
+), weights AS (
+ SELECT term, FLOOR(1000 * LN((2 * MAX(n_docs) + 2) / (2 * COUNT(*) + 1)))::BIGINT AS w FROM found, totals GROUP BY term
+), scored AS (
+ SELECT item_id, doc_id, SUM(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+ FROM found JOIN item_terms USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals GROUP BY item_id, doc_id
+), ranked AS (
+ SELECT item_id, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+HARD_NEGATIVES_SQL = r"""
+WITH valid AS (
+ SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  LIST_TRANSFORM(embedding, lambda x: FLOOR(256 * x::DOUBLE)) AS v
+ FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+  AND LEN(LIST_FILTER(embedding, lambda x: x IS NULL OR NOT ISFINITE(x))) = 0
+), scores AS (
+ SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, LIST_DOT_PRODUCT(a.v, r.v)::BIGINT AS score
+ FROM valid a JOIN valid r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+ SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+ QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+ ROW_NUMBER() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+ vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT same
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

@@ -17,4 +17,4 @@ def test_entry_registers_all():
 
     names = set(__spark_entry__.queries())
     assert {*CHECKS, "pipeline"} <= names
-    assert {n.split("_")[0] for n in CHECKS} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in CHECKS} == {f"op{i}" for i in range(1, 14)}
