@@ -2,10 +2,11 @@
 
 Strict patterns find base spans (e-mail, ip, card, phone); they always stay. Looser patterns and
 numbers that fail a check give more candidates. Five labelers vote on every candidate, for, against or
-not at all: the strict pattern, its structure, a gazetteer, words in front, and what touches it.
+not at all: the strict pattern (which votes against numbers that fail its check and not at all on forms that it
+does not know), its structure, a gazetteer, words in front, and what touches it.
 Expectation-maximisation estimates for each kind how reliable each labeler is, from the counts of vote
 patterns alone, and from that how likely a candidate is personal data. These probabilities train the
-span classifier (naive Bayes on shape, surroundings, structure and gazetteer); candidates it is sure of
+span classifier (naive Bayes on shape, surroundings and check digit); candidates it is sure of
 are added unless they overlap a base span.
 
 A text is scanned once, in the task that reads it; the candidates of a document stay in its row. Only
@@ -13,7 +14,9 @@ counts of vote patterns (at most 3^5 for a kind) and of feature values are shuff
 estimates that go through the driver are a few hundred numbers whatever the input.
 
 The patterns are written so that a match never needs a second try from inside the same run of
-characters, nor a group repeated by recursion: texts of any length are read in linear time.
+characters, nor a group repeated by recursion, and places are summed up by blocks: texts of any length, with any number of
+matches, are read in linear time. Only where a text holds both strict and loose spans is each loose one compared
+with each strict one.
 
 Defined cases: a null text counts as empty and has no spans; positions are code points from 0, the end
 exclusive; repeated rows are judged alike and all count; without candidates nothing is learned and nothing
@@ -23,6 +26,7 @@ added; an empty table gives an empty result. Only doc_id and text are read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +35,7 @@ from narrata.llm.common import staged
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELERS = ["strict", "structure", "gazetteer", "context", "touching"]
-FEATURES = ["length", "digits", "separators", "before", "after", "cue", "structure", "gazetteer"]
+FEATURES = ["length", "digits", "separators", "before", "after", "cue", "check"]
 #: A candidate is added when the classifier gives it at least this probability.
 MIN_PROBABILITY = 0.9
 STEPS = 8
@@ -57,24 +61,60 @@ CUES = {
     "phone": "phone|call|tel|mobile|cell|fax|ruf|appel|llam",
 }
 AGAINST = "version|order|invoice|isbn|serial|part|build|release|section|chapter"
-NO_SPANS = "array<struct<start:int,end:int,value:string>>"
+NO_SPANS = "array<struct<start:int,end:int,value:string,before:string,left:string,right:string>>"
+#: Spans whose places are summed up together; the sums of these blocks are summed up in turn.
+SUMMED = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sums_before(sizes: Column, first: Column) -> Column:
+    """For each number of an array, ``first`` and the sum of those before it."""
+    nothing = F.struct(first.alias("at"), F.array().cast("array<int>").alias("sums"))
+    step = lambda s, size: F.struct((s["at"] + size).alias("at"), F.concat(s["sums"], F.array(s["at"])).alias("sums"))
+    return F.aggregate(sizes, nothing, step, lambda s: s["sums"])
+
+
+def _places(sizes: Column) -> Column:
+    """The same for arrays of any length, by blocks: a fold copies what it has, so it must stay short."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / SUMMED).cast("int"))
+    blocks = F.transform(numbers, lambda b: F.slice(sizes, b * SUMMED + 1, F.lit(SUMMED)))
+    total = lambda block: F.aggregate(block, F.lit(0), lambda s, x: s + x)
+    placed = _let(blocks, lambda every: _let(
+        _sums_before(F.transform(every, total), F.lit(0)),
+        lambda firsts: F.flatten(F.transform(every, lambda block, b: _sums_before(block, F.get(firsts, b)))),
+    ))
+    return F.when(F.size(sizes) > 0, placed).otherwise(F.array().cast("array<int>"))
 
 
 def found(text: Column, pattern: str) -> Column:
-    """All leftmost matches that don't overlap: array of (start, end, value) in code points."""
-    matches = F.zip_with(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
-        lambda match, gap: F.struct(match.alias("value"), F.length(gap).alias("gap"), F.length(match).alias("size")),
-    )
+    """All leftmost matches that don't overlap, in code points, with what stands beside them.
+
+    (start, end, value, before: at most ``CONTEXT`` characters since the match in front, left and right: the
+    characters that touch it, empty at the ends of the text)
+    """
+    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+
+    def spans(of: Column) -> Column:
+        matches, gaps = of["matches"], of["gaps"]
+        sizes = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+
+        def one(match, i, places):
+            gap, behind = F.get(gaps, i), F.get(gaps, i + 1)
+            start = F.get(places, i) + F.length(gap)
+            left = F.when(gap != "", F.right(gap, F.lit(1))).otherwise(F.coalesce(F.right(F.get(matches, i - 1), F.lit(1)), F.lit("")))
+            right = F.when(behind != "", F.left(behind, F.lit(1))).otherwise(F.coalesce(F.left(F.get(matches, i + 1), F.lit(1)), F.lit("")))
+            return F.struct(
+                start.alias("start"), (start + F.length(match)).alias("end"), match.alias("value"),
+                F.lower(F.right(gap, F.lit(CONTEXT))).alias("before"), left.alias("left"), right.alias("right"),
+            )
 
-    def step(state, one):
-        start = state["at"] + one["gap"]
-        span = F.struct(start.alias("start"), (start + one["size"]).alias("end"), one["value"].alias("value"))
-        more = F.struct((start + one["size"]).alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
-        return F.when(one["value"].isNull(), state).otherwise(more)
+        return _let(_places(sizes), lambda places: F.transform(matches, lambda match, i: one(match, i, places)))
 
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast(NO_SPANS).alias("spans"))
-    return F.aggregate(matches, nothing, step, lambda state: state["spans"])
+    return _let(F.struct(matches.alias("matches"), gaps.alias("gaps")), spans)
 
 
 def _where(condition: Column, spans: Column) -> Column:
@@ -122,10 +162,13 @@ def _votes(kind: int, value: Column, base: bool, before: Column, left: Column, r
     else:
         structure = value.rlike(r"[0-9]{3}[\x20.-][0-9]{4}$")
         codes = [F.regexp_extract(value, rf"^\+([0-9]{{{n}}})", 1) for n in (1, 2, 3)]
-        gazetteer = _listed(codes[0], COUNTRY_CODES) | _listed(codes[1], COUNTRY_CODES) | _listed(codes[2], COUNTRY_CODES)
+        listed = _listed(codes[0], COUNTRY_CODES) | _listed(codes[1], COUNTRY_CODES) | _listed(codes[2], COUNTRY_CODES)
+        gazetteer = F.when(value.startswith("+"), listed)  # no vote on a number without a country code
     touching = left.rlike(r"[\p{L}0-9_]") | right.rlike(r"[\p{L}0-9_]")
+    # The strict pattern has read loose numbers too and refused them; other loose forms it does not know.
+    strict = 1 if base else 0 if kind == 2 else -1
     return [
-        F.lit(int(base)), _vote(structure, ~structure), _vote(gazetteer, ~gazetteer),
+        F.lit(strict), _vote(structure, ~structure), _vote(gazetteer, ~gazetteer),
         _vote(before.rlike(rf"(?:{CUES[KINDS[kind]]})"), before.rlike(rf"(?:{AGAINST})")), _vote(~touching, touching),
     ]
 
@@ -143,17 +186,14 @@ def _features(kind: int, value: Column, before: Column, left: Column, right: Col
     ]
 
 
-def _described(text: Column, spans: Column, kind: int, base: bool) -> Column:
+def _described(spans: Column, kind: int, base: bool) -> Column:
     def describe(span):
-        start, end, value = span["start"], span["end"], span["value"]
-        first = F.greatest(start - CONTEXT, F.lit(0))
-        before = F.lower(F.substring(text, first + 1, start - first))
-        left = F.when(start > 0, F.substring(text, start, F.lit(1))).otherwise("")
-        right = F.substring(text, end + 1, F.lit(1))
-        votes = _votes(kind, value, base, before, left, right)
+        beside = (span["before"], span["left"], span["right"])
+        votes = _votes(kind, span["value"], base, *beside)
+        check = votes[1] if kind == 2 else F.lit(-1)  # only a check digit says what the shape does not
         return F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), F.lit(base).alias("base"), F.array(*votes).alias("votes"),
-            F.array(*_features(kind, value, before, left, right), votes[1], votes[2]).alias("features"),
+            F.lit(kind).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), F.lit(base).alias("base"),
+            F.array(*votes).alias("votes"), F.array(*_features(kind, span["value"], *beside), check).alias("features"),
         )
 
     return F.transform(spans, describe)
@@ -182,8 +222,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     apart = lambda spans: F.filter(
         spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     )
-    parts = [_described(text, F.col(name), kind, True) for kind, name in enumerate(KINDS)]
-    parts += [_described(text, apart(F.col(f"loose_{KINDS[kind]}")), kind, False) for kind in (0, 2, 3)]
+    parts = [_described(F.col(name), kind, True) for kind, name in enumerate(KINDS)]
+    parts += [_described(apart(F.col(f"loose_{KINDS[kind]}")), kind, False) for kind in (0, 2, 3)]
     return split.select("doc_id", F.array_sort(F.concat(*parts)).alias("spans"))
 
 
