@@ -16,6 +16,9 @@ Plain text: comments, scripts, styles, templates and noscript parts are dropped,
 block become line ends, other tags nothing; character references are decoded once (the named ones of
 ``ENTITIES``, and numbers); white space is collapsed in lines and empty lines are dropped.
 
+A tag ends at the next ``>``; in the tags that fields are read of, a quoted value may hold one. A title that never
+closes is no title. Every search either ends at its first try or is not begun, so junk costs linear time.
+
 Defined cases: a null or empty page has an empty block, no title and no links; a null URL gives an empty
 target URI and relative links are kept as they are; repeated rows give records with equal ids; an empty
 table gives an empty result. Only page_id, url and html are read by ``responses``.
@@ -118,17 +121,26 @@ def _spaced(text: Column, odd: str) -> Column:
 
 
 def visible(html: Column) -> Column:
-    """The page without comments and elements that hold no text."""
+    """The page without comments and elements that hold no text; what never closes runs to the end of the page."""
     out = F.when(F.instr(html, "<!--") > 0, F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(html)
-    return F.regexp_replace(out, rf"(?is)<({'|'.join(HIDDEN)})(?:\s[^>]*)?>.*?(?:</\1\s*>|\z)", " ")
+    return F.regexp_replace(out, rf"(?is)<({'|'.join(HIDDEN)})(?:>|\s[^>]*+(?:>|\z)).*?(?:</\1\s*>|\z)", " ")
+
+
+def _without_tags(page: Column) -> Column:
+    """Tags replaced by line ends or nothing. Where no ``>`` follows there is no tag, and nothing is searched."""
+    block = "|".join(BLOCK_TAGS.split())
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, rf"(?i)</?(?:{block})(?:[\s/][^>]*+)?>", "\n"), r"</?[A-Za-z!][^>]*+>", "")
+    tail = F.substring_index(page, ">", -1)
+    cut = F.concat(bare(F.left(page, F.length(page) - F.length(tail))), tail)
+    return F.when(F.instr(tail, "<") > 0, cut).otherwise(bare(page))
 
 
 def plain_text(page: Column) -> list[Column]:
     """Steps to the text of a page that ``visible`` has cleaned, each a column ``text`` over the one before."""
-    block, text = "|".join(BLOCK_TAGS.split()), F.col("text")
+    text = F.col("text")
     return [
         _spaced(page, "\t\n\v\f\r"),
-        F.regexp_replace(F.regexp_replace(text, rf"(?i)</?(?:{block})(?:[\s/][^>]*)?>", "\n"), r"</?[A-Za-z!][^>]*>", ""),
+        _without_tags(text),
         decoded(text),
         _spaced(text, "\t\v\f\r"),
         F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n")),
@@ -157,23 +169,37 @@ def _link_target(link: Column) -> Column:
     )
 
 
-def page_fields(page: Column) -> dict[str, Column]:
-    """Title, language, character set, description and links of a page, beside columns of ``url_parts``."""
-    title = F.regexp_extract(page, r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>", 1)
+#: A whole title, or from its tag to the end of the page where it never closes.
+TITLE = r"(?is)<title(?:\s[^>]*+)?(?:>.*?(?:</title\s*>|\z)|\z)"
+#: The tags that fields are read of; a quoted value may hold ">". One that never closes runs to the end of the page.
+TAGS = r"""<(?:[aA]|[mM][eE][tT][aA]|[hH][tT][mM][lL])\s(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+(?:>|\z)"""
+
+
+def page_tags(page: Column) -> list[Column]:
+    """The title and the tags of a page that has fields in them: the page is searched for these once each."""
+    tags = F.filter(F.regexp_extract_all(page, F.lit(TAGS), F.lit(0)), lambda x: x.endswith(">"))
+    return [F.regexp_extract(page, TITLE, 0).alias("title_element"), tags.alias("tags")]
+
+
+def page_fields() -> dict[str, Column]:
+    """Title, language, character set, description and links, from columns of ``page_tags`` and ``url_parts``."""
+    title = F.regexp_extract("title_element", r"(?is)^<title(?:\s[^>]*+)?>(.*)</title\s*>\z", 1)
     clean = lambda c: F.btrim(F.regexp_replace(decoded(c), r"\s+", " "))
     attribute = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     bare = lambda c: F.regexp_replace(c, r"""^["']|["']$""", "")
-    links = F.transform(
-        F.regexp_extract_all(page, F.lit(rf"(?i)<a\s(?:[^>]*?\s)?href{attribute}"), F.lit(1)), lambda x: _link_target(decoded(bare(x)))
+    named = lambda start: F.filter("tags", lambda x: x.rlike(rf"(?i)^<{start}\s"))
+    values = lambda start, name: F.filter(
+        F.transform(named(start), lambda x: F.regexp_extract(x, rf"(?i)^<{start}\s(?:[^>]*?\s)?{name}{attribute}", 1)), lambda x: x != ""
     )
-    tags = F.regexp_extract_all(page, F.lit(r"""(?i)<meta\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""), F.lit(0))
-    named = F.filter(tags, lambda x: x.rlike(r"""(?i)[\s"'/]name\s*=\s*(?:"\s*description\s*"|'\s*description\s*'|description[\s/>])"""))
-    descriptions = F.transform(named, lambda x: clean(bare(F.regexp_extract(x, rf"""(?i)[\s"'/]content{attribute}""", 1))))
+    first = lambda found: F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+    links = F.transform(values("a", "href"), lambda x: _link_target(decoded(bare(x))))
+    described = F.filter(named("meta"), lambda x: x.rlike(r"""(?i)[\s"'/]name\s*=\s*(?:"\s*description\s*"|'\s*description\s*'|description[\s/>])"""))
+    descriptions = F.transform(described, lambda x: clean(bare(F.regexp_extract(x, rf"""(?i)[\s"'/]content{attribute}""", 1))))
     return {
         "title": clean(title),
-        "language": F.lower(bare(F.regexp_extract(page, rf"(?i)<html\s(?:[^>]*?\s)?lang{attribute}", 1))),
-        "charset": F.lower(bare(F.regexp_extract(page, rf"(?i)<meta\s(?:[^>]*?\s)?charset{attribute}", 1))),
-        "description": F.coalesce(F.get(F.filter(descriptions, lambda x: x != ""), F.lit(0)), F.lit("")),
+        "language": F.lower(bare(first(values("html", "lang")))),
+        "charset": F.lower(bare(first(values("meta", "charset")))),
+        "description": first(F.filter(descriptions, lambda x: x != "")),
         "links": F.array_distinct(F.filter(links, lambda x: x != "")),
     }
 
@@ -203,9 +229,8 @@ def derivatives(records: DataFrame) -> DataFrame:
     )
     about += ["response_type", "response_digest", "http"]
     cleaned = source.select(*about, *url_parts(F.col("target_uri")), visible(F.col("html")).alias("page"))
-    read = cleaned.select(
-        *about, *[c.alias(name) for name, c in page_fields(F.col("page")).items()], "page",
-    )
+    tagged = cleaned.select(*about, "scheme", "host", "folder", "path", "page", *page_tags(F.col("page")))
+    read = tagged.select(*about, *[c.alias(name) for name, c in page_fields().items()], "page")
     for step in plain_text(F.col("page")):
         read = read.withColumn("text", step)
     line = lambda name, c: F.when(F.col(c) != "", F.concat(F.lit(f"{name}: "), F.col(c), F.lit("\r\n"))).otherwise("")

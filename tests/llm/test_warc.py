@@ -62,6 +62,36 @@ def test_hard_pages(spark):
     assert warc.page_derivatives(df.filter("false")).collect() == []
 
 
+def test_tags_that_never_close(spark):
+    pages = [
+        (1, "u", "a <b c"), (2, "u", "a<title>b <p>c"), (3, "u", "a<script b c"), (4, "u", "<a href='x>y'>t</a> <a href=z"), (5, "u", "a<style>b</style><style x"),
+        (6, "u", "<a title=it's href=q>r</a>'s"), (7, "u", "<title>a</title><title>b"), (8, "u", "<title x <title>a</title>"),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = warc.page_derivatives(df).collect()
+    texts = {r.page_id: r.block for r in rows if r.warc_type == "conversion"}
+    assert texts == {1: "a <b c", 2: "a\nb\nc", 3: "a", 4: "y'>t <a href=z", 5: "a", 6: "r's", 7: "a\nb", 8: "a"}
+    fields = {r.page_id: re.findall(r"(?:title|outlink): ([^\r]*)", r.block) for r in rows if r.warc_type == "metadata"}
+    assert fields == {1: [], 2: [], 3: [], 4: ["x>y"], 5: [], 6: ["q"], 7: ["a"], 8: ["a"]}
+
+
+def test_junk_in_linear_time(spark):
+    import time
+
+    junk = ["<title>", "<title ", "<a ", '<a x=">" ', "<script ", "<meta name=", "<p ", "</title>", "<!--", "<html lang='", "&#", "<a href='x' "]
+
+    def seconds(n):
+        df = spark.createDataFrame([(i, "u", part * n) for i, part in enumerate(junk)], "page_id long, url string, html string").repartition(8)
+        start = time.perf_counter()
+        assert warc.page_derivatives(df).count() == 2 * len(junk)
+        warc.page_derivatives(df).agg(warc.F.sum(warc.F.length("block"))).collect()
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = seconds(10_000), seconds(40_000)
+    assert many < 8 * few + 5
+
+
 def test_files_read_back(spark, tmp_path):
     df = spark.createDataFrame(HARD[:6], "page_id long, url string, html string")
     records = warc.responses(df).unionByName(warc.page_derivatives(df).drop("n_links"))
