@@ -4,9 +4,11 @@ A text is lower-cased, all but letters become blanks, and its 2- and 3-byte sequ
 the whole text in hashed columns. Linear support vector machines tell the families apart (one against
 the rest), then one machine for every two languages of a family votes within it.
 
-The machines are fitted on at most ``max_rows`` labelled documents, dealt evenly over the languages and
-drawn by hash; only their hashed counts come to the driver. Everything else sees every document:
-languages and their numbers are counted over the table, and every text is read whole for its prediction.
+The machines are fitted on at most ``max_rows`` labelled texts, evenly over the languages: the hashes of a
+language's texts are dealt into as many cells as it may have rows, and each cell gives its smallest hash. So
+copies count once, every language keeps some, and no more than the bound comes to the driver, as sparse counts.
+Of more than ``max_rows`` / 2 languages the most frequent ones are learned. Everything else sees every document:
+languages are counted over the table, and every text is read whole for its prediction.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; rows without a label are not
 learned from; without any label all is ``und``; with one language all else is that language; repeated
@@ -49,20 +51,31 @@ def family_of(lang: str) -> str:
     return next((family for family, codes in FAMILIES.items() if code in codes.split()), code)
 
 
+def sequence_counts(text: str | None) -> np.ndarray:
+    """The hashed counts of a text's byte sequences."""
+    data = (" " + _not_letters.sub(" ", (text or "").lower()).strip() + " ").encode("utf-8", "replace")
+    b = np.frombuffer(data, np.uint8).astype(np.uint32)
+    if len(b) < 3:
+        return np.zeros(COLUMNS, np.int64)
+    pairs = (b[:-1] << 8) | b[1:]
+    triples = (pairs[:-1] << 8) | b[2:]
+    hashed = np.concatenate([pairs * np.uint32(2654435761), (triples + np.uint32(1 << 24)) * np.uint32(2246822519)])
+    return np.bincount(hashed >> np.uint32(20), minlength=COLUMNS)
+
+
+def unit_rows(counts: np.ndarray) -> np.ndarray:
+    """Square roots of counts, in rows of unit length; works in place."""
+    np.sqrt(counts, out=counts)
+    counts /= np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
+    return counts
+
+
 def features(texts: list[str | None]) -> np.ndarray:
-    """One row of unit length for each text: square roots of the hashed counts of its byte sequences."""
+    """One row of unit length for each text."""
     out = np.zeros((len(texts), COLUMNS), np.float32)
     for row, text in enumerate(texts):
-        data = (" " + _not_letters.sub(" ", (text or "").lower()).strip() + " ").encode("utf-8", "replace")
-        b = np.frombuffer(data, np.uint8).astype(np.uint32)
-        if len(b) < 3:
-            continue
-        pairs = (b[:-1] << 8) | b[1:]
-        triples = (pairs[:-1] << 8) | b[2:]
-        hashed = np.concatenate([pairs * np.uint32(2654435761), (triples + np.uint32(1 << 24)) * np.uint32(2246822519)])
-        out[row] = np.bincount(hashed >> np.uint32(20), minlength=COLUMNS)
-    out = np.sqrt(out)
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+        out[row] = sequence_counts(text)
+    return unit_rows(out)
 
 
 def fit_machines(x: np.ndarray, targets: np.ndarray, penalty: float = 1e-3, steps: int = 250) -> np.ndarray:
@@ -70,14 +83,14 @@ def fit_machines(x: np.ndarray, targets: np.ndarray, penalty: float = 1e-3, step
 
     Accelerated gradient descent. Rows are weighted so that both sides of a machine count alike.
     """
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     weight = np.zeros(targets.shape, np.float32)
     for side in (1, -1):
         weight += (targets == side) / np.maximum(2 * (targets == side).sum(axis=0), 1)
-    w = v = np.zeros((x.shape[1], targets.shape[1]), np.float32)
+    w = v = np.zeros((x.shape[1] + 1, targets.shape[1]), np.float32)  # the last row is the offset
     for step in range(steps):
-        slack = np.maximum(0, 1 - targets * (x @ v)) * (targets != 0)
-        gradient = -2 * (x.T @ (slack * targets * weight)) + penalty * v
+        slack = np.maximum(0, 1 - targets * (x @ v[:-1] + v[-1])) * (targets != 0)
+        pull = slack * targets * weight
+        gradient = -2 * np.vstack([x.T @ pull, pull.sum(axis=0)]) + penalty * v
         new = v - gradient / (4 + penalty)
         v = new + step / (step + 3) * (new - w)
         w = new
@@ -127,27 +140,36 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+def drawn(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """(lang, text) of at most ``max_rows`` different labelled texts that are not held out, evenly over the languages."""
+    labelled = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    labelled = labelled.select("lang", "text", F.xxhash64(F.lit("fit"), "text").alias("hash"))
+    langs = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max(1, max_rows // 2)).collect()]
+    if not langs:
+        return labelled.select("lang", "text").limit(0)
+    cell = F.pmod("hash", F.lit(max_rows // len(langs)))
+    picked = labelled.filter(F.col("lang").isin(langs)).groupBy("lang", cell.alias("cell")).agg(F.min("hash").alias("hash"))
+    rows = labelled.join(F.broadcast(picked.drop("cell")), ["lang", "hash"])  # at most max_rows pairs
+    return rows.groupBy("lang", "hash").agg(F.min("text").alias("text")).orderBy("lang", "hash").select("lang", "text")
+
+
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> LanguageModel | None:
     """Learn from the documents with a label that are not held out; None when there are none."""
-    labelled = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one row for each language
-    if not counts:
-        return None
-    each = max(2, max_rows // len(counts))
-    share = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, each / n))])
-    draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = labelled.withColumn("draw", draw).filter(F.col("draw") < share[F.col("lang")]).select("draw", "lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                rows = [r.tobytes() for r in features(part.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column("draw"), part.column("lang"), pa.array(rows, pa.binary())], ["draw", "lang", "x"])
+            every = [sequence_counts(text) for text in batch.column("text").to_pylist()]
+            at = [np.flatnonzero(counts) for counts in every]
+            arrays = [pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([c[a].astype(np.uint32).tobytes() for c, a in zip(every, at, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), *arrays], ["lang", "at", "counts"])
 
-    rows = drawn.mapInArrow(counted, "draw double, lang string, x binary").toArrow().sort_by("draw")[: max(max_rows, 2 * len(counts))]
-    x = np.stack([np.frombuffer(r, np.float32) for r in rows["x"].to_pylist()]) if len(rows) else None
-    return None if x is None else LanguageModel(x, rows["lang"].to_pylist())
+    rows = drawn(docs, max_rows).mapInArrow(counted, "lang string, at binary, counts binary").toArrow()
+    if not rows.num_rows:
+        return None
+    x = np.zeros((rows.num_rows, COLUMNS), np.float32)
+    for row, (at, counts) in enumerate(zip(rows["at"], rows["counts"], strict=True)):
+        x[row, np.frombuffer(at.as_buffer(), np.uint16)] = np.frombuffer(counts.as_buffer(), np.uint32)
+    return LanguageModel(unit_rows(x), rows["lang"].to_pylist())
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None) -> DataFrame:

@@ -3,9 +3,10 @@
 Documents are tokenised whole, an end id is put after each, and only documents longer than a sequence
 are cut. The pieces are dealt by hash to groups of a few thousand; each group is packed by best-fit
 decreasing. Dual feasible functions give a lower bound on the sequences any packing of the group
-needs. A group that meets its bound is done: its packing is the best there is. A group with a gap
-gives up its emptiest sequences; the pieces of all such groups are exchanged (dealt anew, over fewer
-groups) and packed again by best-fit decreasing, until no gap is left or nothing more is won.
+needs. A group that meets its bound is done, its packing is the best there is, but for its emptiest sequence. A group with a
+gap gives up several of its emptiest sequences; the pieces of these are exchanged (dealt anew, over fewer
+groups) and packed again by best-fit decreasing, until no gap is left or a round wins no sequence.
+``certificate`` gives what then remains between the sequences used and the bound over all pieces.
 
 Groups are bounded and hold only (id, piece, length), never text or ids of tokens. Every round starts
 from a written table, so a lost executor costs one round at most, and all choices are made by hash
@@ -18,6 +19,7 @@ read of the input.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from bisect import bisect_left
@@ -31,17 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrata.llm.common import staged
+from narrata.llm.token_counts import is_word_vocabulary
 
 SEQUENCE = 2048
 GROUP = 4096
-ROUNDS = 6
 #: Parts of texts whose ids a task remembers; beyond that it starts anew.
 REMEMBERED = 600_000
 
 
 #: Letters of blocks without combining marks; lower-casing these is the same before and after composition.
 _beyond_latin = re.compile("[^\x00-\u02ff]")
-_joined_marks = re.compile("[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\\s][.,]")
+#: Full stops and commas that may stand in one part with the sign in front; the blanks are those of the vocabulary.
+_joined_marks = re.compile("[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\t-\r \u0085\u00a0][.,]")
 
 
 #: Byte-level vocabularies write bytes that are no printable Latin-1 character as U+0100 and up, in order.
@@ -50,9 +53,9 @@ BYTE_SYMBOLS = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x
 
 
 class PartTokenizer:
-    """Ids of whole texts, from the ids of their parts.
+    """Ids of whole texts, from the ids of their parts; of vocabularies with another splitter, whole texts are encoded.
 
-    The vocabulary is lower case, drops white space and never joins over it, nor over the border of a
+    The word vocabulary is lower case, drops white space and never joins over it, nor over the border of a
     letter or digit and a full stop or comma. So a text's ids are the ids of its parts in a row. Most
     parts repeat and are looked up; a lookup gives a number into one array of ids.
     """
@@ -61,6 +64,9 @@ class PartTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.parted = is_word_vocabulary(self.tokenizer)
         self._forget()
 
     def _forget(self) -> None:
@@ -93,6 +99,9 @@ class PartTokenizer:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text ends."""
+        if not self.parted:
+            every = [self.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
+            return np.fromiter(chain.from_iterable(every), np.uint32), np.cumsum([len(ids) for ids in every])
         if len(self.known) > REMEMBERED:
             self._forget()
         split = [self._parts(text) for text in texts]
@@ -165,16 +174,19 @@ def best_fit_decreasing(lengths: np.ndarray, sequence: int) -> tuple[np.ndarray,
     return numbers, offsets
 
 
-def lower_bound(lengths: np.ndarray, sequence: int) -> int:
+def lower_bound(lengths: np.ndarray, sequence: int, times: np.ndarray | None = None) -> int:
     """The sequences that any packing needs, by two families of dual feasible functions.
 
+    ``times`` tells how many pieces there are of each of ``lengths`` (default: one).
+
     For a threshold e up to half a sequence, pieces over (sequence - e) count as whole sequences and
     those under e as nothing. For k >= 1, a piece counts as floor((k+1) x) / k sequences, or x where
     (k+1) x is whole. Both keep every set that fits into a sequence at one sequence or less.
     """
     if not len(lengths):
         return 0
-    count = np.bincount(lengths, minlength=sequence + 1).astype(np.int64)
+    count = np.zeros(sequence + 1, np.int64)
+    np.add.at(count, lengths, 1 if times is None else times)
     size = np.arange(sequence + 1, dtype=np.int64)
     below = np.concatenate([[0], np.cumsum(count * size)])  # words in pieces shorter than i
     number = np.concatenate([[0], np.cumsum(count)])
@@ -193,8 +205,12 @@ def lower_bound(lengths: np.ndarray, sequence: int) -> int:
 ORDER = [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")]
 
 
-def _packed(dealt: DataFrame, turn: int, last: bool, sequence: int) -> DataFrame:
-    """Pack every group (``part``); ``open`` marks the pieces that go into the next exchange."""
+def _packed(dealt: DataFrame, turn: int, sequence: int, alone: bool) -> DataFrame:
+    """Pack every group (``part``); ``open`` marks the pieces that go into the next exchange.
+
+    Where the group is not ``alone``, also one that meets its bound gives its emptiest sequence: the bounds of
+    many groups are each rounded up.
+    """
 
     def pack_group(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by(ORDER)
@@ -203,10 +219,9 @@ def _packed(dealt: DataFrame, turn: int, last: bool, sequence: int) -> DataFrame
         count = int(number.max()) + 1
         gap = count - lower_bound(lengths, sequence)
         opened = np.zeros(count, bool)
-        if gap and not last:
-            # The emptiest sequences: enough of them to win the gap back and leave best fit a choice.
-            fill = np.bincount(number, weights=lengths, minlength=count)
-            opened[np.argsort(fill, kind="stable")[: max(4 * gap, 8)]] = True
+        # The emptiest sequences: enough of them to win the gap back and leave best fit a choice.
+        fill = np.bincount(number, weights=lengths, minlength=count)
+        opened[np.argsort(fill, kind="stable")[: max(4 * gap, 8) if gap else 0 if alone else 1]] = True
         ids = (turn << 56) + (rows["part"].to_numpy() << 24) + number
         return (
             rows.drop(["part"]).append_column("sequence_id", pa.array(ids, pa.int64()))
@@ -218,23 +233,38 @@ def _packed(dealt: DataFrame, turn: int, last: bool, sequence: int) -> DataFrame
     return dealt.groupBy("part").applyInArrow(pack_group, schema)
 
 
-def packed(cut: DataFrame, sequence: int = SEQUENCE, group: int = GROUP, rounds: int = ROUNDS) -> DataFrame:
-    """Add sequence_id and offset to a table of pieces (doc_id, piece, start, length, ids_crc32)."""
-    waiting, placed = staged(cut, "pack-pieces"), None
-    for turn in range(rounds):
+def packed(cut: DataFrame, sequence: int = SEQUENCE, group: int = GROUP) -> DataFrame:
+    """Add sequence_id and offset to a table of pieces (doc_id, piece, start, length, ids_crc32).
+
+    Rounds go on while each needs fewer sequences for the exchanged pieces than they had; ``turn`` is part
+    of the number of a sequence, so that there are 128 rounds at most.
+    """
+    waiting, placed, had = staged(cut, "pack-pieces"), None, math.inf
+    for turn in range(128):
         parts = max(1, -(-waiting.count() // group))
-        last = turn == rounds - 1 or (parts == 1 and turn > 0)
         hashed = F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn))
         dealt = waiting.withColumn("part", F.pmod(hashed, F.lit(parts)))
-        done = staged(_packed(dealt, turn, last, sequence), f"pack-{turn}")
-        kept = done.filter("not open").drop("open")
+        done = staged(_packed(dealt, turn, sequence, parts == 1), f"pack-{turn}")
+        # Every sequence has one piece at its start.
+        used, opened = done.filter("offset = 0").agg(F.count("*"), F.count_if("open")).first()
+        last = not opened or used >= had
+        kept = done.drop("open") if last else done.filter("not open").drop("open")
         placed = kept if placed is None else placed.unionByName(kept)
-        waiting = done.filter("open").drop("sequence_id", "offset", "open")
-        if last or not waiting.head(1):
+        if last:
             break
+        waiting, had = done.filter("open").drop("sequence_id", "offset", "open"), opened
     return placed
 
 
+def certificate(placed: DataFrame, sequence: int = SEQUENCE) -> dict[str, int]:
+    """Sequences used, the lower bound over all pieces, and the gap between them; from the counts by length."""
+    counts = placed.groupBy("length").agg(F.count("*").alias("n"), F.count_if(F.col("offset") == 0).alias("first")).collect()  # a row for each length
+    lengths = np.array([r["length"] for r in counts], np.int64)
+    bound = lower_bound(lengths, sequence, np.array([r["n"] for r in counts], np.int64))
+    used = sum(r["first"] for r in counts)
+    return {"sequences": used, "bound": bound, "gap": used - bound}
+
+
 def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, **options) -> DataFrame:
     """Return doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
     return packed(pieces(docs, tokenizer_path, sequence), sequence, **options)

@@ -84,6 +84,15 @@ class _Merged(dict):
         return number
 
 
+def is_word_vocabulary(tokenizer) -> bool:
+    """Whether texts are composed, lower-cased and split by ``WORD_SPLITTER``."""
+    form = json.loads(tokenizer.to_str())
+    splitter = form["pre_tokenizer"] or {}
+    first = splitter.get("pretokenizers", [splitter])[0]
+    steps = [s["type"] for s in (form["normalizer"] or {}).get("normalizers", [])]
+    return first.get("pattern", {}).get("Regex") == WORD_SPLITTER and steps == ["NFC", "Replace", "Lowercase"]
+
+
 class WordCounter:
     """Token counts under a byte-level pair vocabulary with a splitter."""
 
@@ -98,7 +107,7 @@ class WordCounter:
         steps = splitter.get("pretokenizers", [splitter])
         #: The model must see pre-tokens in byte symbols and always answer alike.
         self.shortcut = model["type"] == "BPE" and not model["dropout"] and steps[-1].get("type") == "ByteLevel"
-        self.words = steps[0].get("pattern", {}).get("Regex") == WORD_SPLITTER and [s["type"] for s in (form["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self.words = is_word_vocabulary(self.tokenizer)
         added = [re.escape(t["content"]) for t in form["added_tokens"]]
         self.added = re.compile("|".join(added)) if added else None
         if not self.shortcut:

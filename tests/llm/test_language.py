@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 from narrata.llm import language
 from narrata.llm.queries import op8_language_id
 
@@ -39,3 +40,55 @@ def test_labels_are_no_input(spark):
     plain = {r.doc_id: r.lang_pred for r in language.predict(df, model).collect()}
     changed = df.withColumn("lang", language.F.lit("en")).withColumn("source", language.F.lit("x"))
     assert plain == {r.doc_id: r.lang_pred for r in language.predict(changed, model).collect()}
+
+
+def test_rare_language_beside_copies(spark):
+    """A repeated text counts once, and no language is crowded out."""
+    for shift in range(3):
+        docs = [(10 * i + shift, "the and ing tion of which was", "en") for i in range(20_000)]
+        docs += [(10 * i + shift, f"los que muchos años cosas de la casa {i}", "es") for i in range(60)]
+        docs += [(10 * i + shift, f"der und die ung keit nicht {chr(97 + i % 26)}{i}", "de") for i in range(400)]
+        df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+        rows = language.drawn(df, 300).collect()
+        learned = {lang: [r.text for r in rows if r.lang == lang] for lang in ("en", "es", "de")}
+        assert len(learned["en"]) == 1 and 30 <= len(learned["es"]) <= 60 and 60 <= len(learned["de"]) <= 100
+        assert len(rows) <= 300 and all(len(set(t)) == len(t) for t in learned.values())
+        model = language.fit(df, 300)
+        assert model.langs == ["de", "en", "es"]
+        assert model.predict(language.features(["los que muchos años", "der und die", "the and which was"]))[0] == ["es", "de", "en"]
+
+
+def test_many_languages_are_bounded(spark):
+    docs = [(i, f"text {i} of", f"l{i % 50}") for i in range(2000)] + [(5000 + i, f"word {i}", "l1") for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    rows = language.drawn(df, 40).collect()
+    assert len(rows) <= 40 and len({r.lang for r in rows}) == 20 and "l1" in {r.lang for r in rows}
+
+
+def test_fit_is_the_least_loss():
+    """The machines reach the loss that plain gradient descent reaches, and beat every small change."""
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(60, 5)).astype(np.float32)
+    targets = np.sign(x @ draw.normal(size=(5, 2)) + 0.3 + 0.5 * draw.normal(size=(60, 2))).astype(np.float32)
+    w = language.fit_machines(x, targets, 1e-2, 2000)
+
+    def loss(w):
+        out = 0.0
+        for j in range(2):
+            for side in (1, -1):
+                rows = targets[:, j] == side
+                out += 0.5 * np.mean(np.maximum(0, 1 - side * (x[rows] @ w[:-1, j] + w[-1, j])) ** 2)
+        return out + 0.005 * float((w**2).sum())
+
+    plain = np.zeros_like(w, dtype=np.float64)
+    for _ in range(20_000):
+        step = np.zeros_like(plain)
+        for j in range(2):
+            for side in (1, -1):
+                rows = targets[:, j] == side
+                slack = np.maximum(0, 1 - side * (x[rows] @ plain[:-1, j] + plain[-1, j]))
+                step[:-1, j] -= side * (x[rows].T @ slack) / rows.sum()
+                step[-1, j] -= side * slack.sum() / rows.sum()
+        plain -= 0.05 * (step + 1e-2 * plain)
+    assert loss(w) <= loss(plain) + 1e-4
+    assert all(loss(w) <= loss(w + 0.01 * draw.normal(size=w.shape)) + 1e-5 for _ in range(50))

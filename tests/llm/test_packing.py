@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -49,6 +50,32 @@ def test_odd_texts(spark):
     assert packing.pack(df.filter("false"), tokenizer_path()).collect() == []
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_random_strings(name):
+    """Every control character, marks behind them, combining marks: the ids are the library's."""
+    draw = random.Random(4)
+    pool = [chr(c) for c in range(256)] + ["\u0301", "\u0308", "\u0327", "\u0130", "\u2028", "<|endoftext|>"] * 3 + list(".,.,.,  aAeE1'\x1c\x1d\x1e\x1f\x85\xa0") * 6
+    texts = ["".join(draw.choices(pool, k=draw.randint(1, 16))) for _ in range(50_000 if name.startswith("word") else 5000)]
+    ids, ends = packing.PartTokenizer(tokenizer_path(name)).encode(texts)
+    found = [part.tolist() for part in np.split(ids, ends[:-1])]
+    expected = [e.ids for e in Tokenizer.from_file(tokenizer_path(name)).encode_batch(texts, add_special_tokens=False)]
+    assert [(t, f, e) for t, f, e in zip(texts, found, expected, strict=True) if f != e][:3] == []
+
+
+def test_certificate_and_end(spark):
+    """Rounds end with no gap or no gain, and the certificate says what remains."""
+    draw = random.Random(9)
+    for choices, gap in (([1024, 512], 0), ([700, 690, 1300, 650], None)):
+        rows = [(i, 0, 0, draw.choice(choices), i) for i in range(3000)]
+        cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        placed = packing.packed(cut, group=300).cache()
+        found = packing.certificate(placed)
+        assert found["sequences"] == placed.select("sequence_id").distinct().count() and found["gap"] >= 0
+        assert found["bound"] == packing.lower_bound(np.array([r[3] for r in rows]), 2048)
+        assert found["gap"] == gap if gap is not None else found["gap"] <= 0.1 * found["bound"]
+    assert packing.certificate(placed.limit(0)) == {"sequences": 0, "bound": 0, "gap": 0}
+
+
 def test_exchange_between_groups(spark):
     texts = [(i, "the " * (1 + (i * 37) % 1500)) for i in range(400)]
     df = spark.createDataFrame(texts, "doc_id long, text string")
