@@ -63,6 +63,11 @@ def sequence_counts(text: str | None) -> np.ndarray:
     return np.bincount(hashed >> np.uint32(20), minlength=COLUMNS)
 
 
+def _sparse(counts: np.ndarray) -> tuple[bytes, bytes]:
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint16).tobytes(), counts[at].astype(np.uint32).tobytes()
+
+
 def unit_rows(counts: np.ndarray) -> np.ndarray:
     """Square roots of counts, in rows of unit length; works in place."""
     np.sqrt(counts, out=counts)
@@ -158,10 +163,9 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> LanguageModel | None:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = [sequence_counts(text) for text in batch.column("text").to_pylist()]
-            at = [np.flatnonzero(counts) for counts in every]
-            arrays = [pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()), pa.array([c[a].astype(np.uint32).tobytes() for c, a in zip(every, at, strict=True)], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), *arrays], ["lang", "at", "counts"])
+            sparse = [_sparse(sequence_counts(text.as_py())) for text in batch.column("text")]
+            columns = list(zip(*sparse, strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), *(pa.array(c, pa.binary()) for c in columns)], ["lang", "at", "counts"])
 
     rows = drawn(docs, max_rows).mapInArrow(counted, "lang string, at binary, counts binary").toArrow()
     if not rows.num_rows:
