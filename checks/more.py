@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import sql as q
 from checks.sql import rounded
 from checks.tables import allocation_sql, complaints, over, rounded_columns
-from checks.texts import COSINE, SIZE, VECTOR, WINDOW, chunks, window_sql, windows
+from checks.texts import COSINE, K, SIZE, VECTOR, WINDOW, batch_sql, chunks, questions, window_sql, windows
 from checks.views import documents, with_views
-from narrata.operators import chunk, clean, nearest, sample, validate
+from narrata.operators import chunk, clean, nearest, profile, pruned, sample, validate
 from narrata.session import scratch_path
 from narrata.sources import readers, store, writers
 
@@ -124,6 +125,37 @@ def dedup_all_columns(spark, sf_dir):
     return clean.remove_duplicates(twice, keep="first", key="doc_id").select("doc_id", "complaint_id")
 
 
+# --- search that reads parts of the table ------------------------------------------------------
+def batch_topk_pruned(spark, sf_dir):
+    """Chunks in folders by product; each question looks into its own."""
+    path = scratch_path(spark, "by_product")
+    rows = chunks(spark, sf_dir).select("chunk_id", "embedding", "product")
+    rows.repartition("product").write.partitionBy("product").parquet(path)
+    stored = spark.read.schema("chunk_id string, embedding array<float>, product string").parquet(path)
+    hits = pruned.nearest_by_value(stored, questions(spark, sf_dir), "product", "product_filter", K)
+    return rounded_columns(hits, 5, "distance").select("question_id", "rank", "chunk_id", "distance")
+
+
+def batch_topk_pivots(spark, sf_dir):
+    path = scratch_path(spark, "pivots")
+    pruned.write_pivot_table(chunks(spark, sf_dir), path, 16)
+    hits = pruned.nearest_by_pivots(spark, path, questions(spark, sf_dir), K)
+    return rounded_columns(hits, 5, "distance").select("question_id", "rank", "chunk_id", "distance")
+
+
+# --- reports from one scan ----------------------------------------------------------------------
+def profile_bundle(spark, sf_dir):
+    return profile.profile_table(complaints(spark, sf_dir), "product", "narrative")
+
+
+def summary_table(spark, sf_dir):
+    return validate.summary_table(complaints(spark, sf_dir))
+
+
+def shuffled_positions(spark, sf_dir):
+    return sample.shuffled_positions(complaints(spark, sf_dir).select("doc_id", "company"), "doc_id").select("position", "doc_id")
+
+
 def chunk_report(spark, sf_dir):
     table = chunk.chunk_report(documents(spark, sf_dir), "text", WINDOW, SIZE)
     return rounded_columns(table.select("total_documents", "total_chunks", "mean", "std", "within_10_percent", "percentage_within_20"), 4, "mean", "std", "percentage_within_20")
@@ -137,6 +169,41 @@ def column_types(spark, sf_dir):
     return validate.column_types(complaints(spark, sf_dir))
 
 
+_profiled = f""", w AS (SELECT {q.has_text("narrative")} AS present, {q.word_count("narrative")} AS words FROM complaints),
+    p AS (SELECT product, count(*) AS n FROM complaints WHERE product IS NOT NULL GROUP BY product),
+    l AS (SELECT words FROM w WHERE present)"""
+
+
+def profile_sql() -> str:
+    stats = {
+        "mean": "avg(words)", "median": "median(words)", "std": "stddev_samp(words)", "min": "min(words)", "max": "max(words)",
+        **{f"q{p}": f"quantile_cont(words, 0.{p})" for p in (25, 75, 90, 95, 99)},
+    }
+    lines = [f"SELECT 'length_stats' AS part, '{name}' AS name, round(CAST({sql} AS DOUBLE), 4) AS value FROM l" for name, sql in stats.items()]
+    lines += [
+        "SELECT 'category_count', product, CAST(n AS DOUBLE) FROM p",
+        "SELECT 'presence', 'total', CAST(count(*) AS DOUBLE) FROM w",
+        "SELECT 'presence', 'with_text', CAST(count(*) FILTER (present) AS DOUBLE) FROM w",
+        "SELECT 'presence', 'without_text', CAST(count(*) FILTER (NOT present) AS DOUBLE) FROM w",
+        "SELECT 'length_counts', 'very_short', CAST(count(*) FILTER (words < 10) AS DOUBLE) FROM l",
+        "SELECT 'length_counts', 'very_long', CAST(count(*) FILTER (words > (SELECT quantile_cont(words, 0.95) FROM l)) AS DOUBLE) FROM l",
+    ]
+    return over(_profiled + " UNION ALL ".join(lines))
+
+
+COMPLAINT_COLUMNS = "complaint_id doc_id product issue tags company state zip_code date_received narrative".split()
+
+
+def summary_sql() -> str:
+    lines = [
+        "SELECT 'shape' AS part, 'rows' AS name, CAST(count(*) AS VARCHAR) AS value FROM complaints", "SELECT 'shape', 'columns', '10'",
+        "SELECT 'duplicates', 'rows', CAST((SELECT count(*) FROM complaints) - (SELECT count(*) FROM (SELECT DISTINCT * FROM complaints)) AS VARCHAR)",
+        *[f"SELECT 'null_counts', '{c}', CAST(count(*) - count({c}) AS VARCHAR) FROM complaints" for c in COMPLAINT_COLUMNS],
+        *[f"SELECT 'column_types', '{c}', '{'bigint' if c == 'doc_id' else 'string'}'" for c in COMPLAINT_COLUMNS],
+    ]
+    return over(" UNION ALL ".join(lines))
+
+
 CHECKS = {
     "store_add_large": (
         store_add_large,
@@ -175,6 +242,14 @@ CHECKS = {
             FROM (SELECT unnest(range(1, (SELECT max(n) + 1 FROM (SELECT count(*) AS n FROM pieces GROUP BY key)))) AS bin)
             LEFT JOIN (SELECT count(*) AS c FROM pieces GROUP BY key) ON c = bin GROUP BY bin"""),
     ),
+    "batch_topk_pruned": (batch_topk_pruned, batch_sql("product = product_filter")),
+    "batch_topk_pivots": (batch_topk_pivots, batch_sql()),
+    "profile_bundle": (lambda spark, sf_dir: rounded_columns(profile_bundle(spark, sf_dir), 4, "value"), profile_sql()),
+    "summary": (summary_table, summary_sql()),
+    "shuffled": (
+        shuffled_positions,
+        over("SELECT row_number() OVER (ORDER BY md5(concat('42-', CAST(doc_id AS VARCHAR))), doc_id) AS position, doc_id FROM complaints"),
+    ),
     "column_types": (
         column_types,
         over("""SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' ELSE 'string' END AS data_type

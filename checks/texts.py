@@ -627,7 +627,7 @@ def answer_batch_job(spark, sf_dir):
     table = chunk.chunk_table(documents(spark, sf_dir, heavy=True), "text", "doc_id", WINDOW, ["lang", "source"])
     table = writers.written(table, f"{folder}/chunks")
     stored = store.VectorTable(spark, f"{folder}/vectors")
-    vectors = embed.embed_table(table, "chunk_text", embed.hashing_encoder(DIM))
+    vectors = writers.written(embed.embed_table(table, "chunk_text", embed.hashing_encoder(DIM)), f"{folder}/embedded")
     named = store.project_metadata(vectors, {"lang": "product", "issue": "issue", "source": "company"}, None)
     stored.add(store.records(named))
     asked = questions(spark, sf_dir).select("question_id", "question")

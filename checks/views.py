@@ -1,7 +1,7 @@
 """Views over the test tables, as SQL that both engines run.
 
 ``complaints`` puts nulls, blanks, URLs, addresses, phone numbers, boilerplate and mixed dates into
-the texts. The others join whole tables: every vector, every benchmark item.
+the texts. The others join whole tables: every document, every vector, every benchmark item, every answer.
 """
 
 from __future__ import annotations
@@ -28,27 +28,34 @@ SELECT CAST(d.doc_id AS STRING) AS complaint_id, d.doc_id,
 FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 """
 
+#: Every document and every vector; a document without a vector of its own takes that of its id modulo their number.
 CHUNKS = """
-SELECT CONCAT(CAST(e.vec_id AS STRING), '_0') AS chunk_id, e.vec_id AS original_index, 0 AS chunk_index,
- COALESCE(d.text, '') AS chunk_text, CAST(LENGTH(COALESCE(d.text, '')) AS INT) AS chunk_length, 1 AS num_chunks,
- CONCAT('p', CAST(e.label AS STRING)) AS product,
+SELECT CONCAT(CAST(c.id AS STRING), '_0') AS chunk_id, c.id AS original_index, 0 AS chunk_index,
+ COALESCE(c.text, '') AS chunk_text, CAST(LENGTH(COALESCE(c.text, '')) AS INT) AS chunk_length, 1 AS num_chunks,
+ CONCAT('p', CAST(v.label AS STRING)) AS product,
  CASE WHEN l.quality = 1 THEN 'good' WHEN l.quality = 0 THEN 'poor' END AS issue,
- d.source AS company, e.embedding
-FROM {embeddings} e LEFT JOIN {documents} d ON e.vec_id = d.doc_id
- LEFT JOIN {labels} l ON e.vec_id = l.doc_id
+ c.source AS company, v.embedding
+FROM (SELECT COALESCE(d.doc_id, e.vec_id) AS id, d.text, d.source,
+  COALESCE(d.doc_id, e.vec_id) % (SELECT COUNT(*) FROM {embeddings}) AS vector_id
+  FROM {documents} d FULL OUTER JOIN {embeddings} e ON e.vec_id = d.doc_id) c
+ JOIN {embeddings} v ON v.vec_id = c.vector_id LEFT JOIN {labels} l ON c.id = l.doc_id
 """
 
 QUESTIONS = """
 SELECT b.item_id AS question_id, CONCAT('What about ', b.text) AS question, e.embedding AS question_embedding,
  CASE WHEN e.label < 5 THEN CONCAT('p', CAST(e.label AS STRING)) END AS product_filter
-FROM {benchmark} b JOIN {embeddings} e ON e.vec_id = b.item_id
+FROM {benchmark} b LEFT JOIN {embeddings} e ON e.vec_id = b.item_id
 """
 
+#: All assistant turns of a conversation in order.
 ANSWERS = """
 SELECT b.item_id AS question_id, CONCAT('  ', c.text, ' ') AS answer
-FROM {benchmark} b JOIN {conversations} c ON c.conv_id = b.item_id
-WHERE c.turn = 1 AND c.role = 'assistant'
+FROM {benchmark} b JOIN (SELECT conv_id, <turns in order> AS text FROM {conversations} WHERE role = 'assistant' GROUP BY conv_id) c
+ ON c.conv_id = b.item_id
 """
+#: The two engines write an ordered join of texts differently.
+IN_ORDER = {"spark": "LISTAGG(text, ' ') WITHIN GROUP (ORDER BY turn)", "duckdb": "STRING_AGG(text, ' ' ORDER BY turn)"}
+
 
 VIEWS = {"complaints": COMPLAINTS, "chunks": CHUNKS, "questions": QUESTIONS, "answers": ANSWERS}
 TABLES = ["documents", "labels", "embeddings", "benchmark", "conversations"]
@@ -64,11 +71,11 @@ def view(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> Da
     frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
     if heavy:
         frames["documents"] = documents(spark, sf_dir, heavy)
-    return spark.sql(VIEWS[name], **frames)
+    return spark.sql(VIEWS[name].replace("<turns in order>", IN_ORDER["spark"]), **frames)
 
 
 def with_views(sql: str, *names: str) -> str:
     """The DuckDB form of a query: the named views as common table expressions in front."""
     plain = {t: t for t in TABLES}
-    heads = [f"{n} AS ({VIEWS[n].format(**plain).strip()})" for n in names]
+    heads = [f"{n} AS ({VIEWS[n].replace("<turns in order>", IN_ORDER["duckdb"]).format(**plain).strip()})" for n in names]
     return "WITH RECURSIVE " + ",\n".join(heads) + sql

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from narrata.functions import text as tx
 from narrata.operators import validate
-from narrata.session import pinned_if_small
+from narrata.session import pinned_if_small, scratch_path
 
 
 def _q(name: str) -> Column:
@@ -278,3 +278,38 @@ def profile(df: DataFrame, category_col: str, text_col: str) -> dict[str, DataFr
         parts["presence"] = _presence(counts)
     parts.update(validate.summary(df))
     return parts
+
+
+def profile_table(df: DataFrame, category_col: str, text_col: str, short: int = 10) -> DataFrame:
+    """The whole profile as rows (part, name, value), from one scan of the table.
+
+    Each row of the table gives a cell for its category and one for its length. Cells are counted with
+    partial sums and written; every part of the profile comes from that small table. A part whose column
+    is absent has no rows, and statistics of no text are null.
+    """
+    spark, cells = df.sparkSession, []
+    if category_col in df.columns:
+        cells.append(F.struct(F.lit("category").alias("cell"), _q(category_col).cast("string").alias("name"), F.lit(None).cast("long").alias("value")))
+    if text_col in df.columns:
+        words = F.when(tx.has_text(_q(text_col)), tx.word_count(_q(text_col)).cast("long"))
+        cells.append(F.struct(F.lit("length").alias("cell"), F.lit(None).cast("string").alias("name"), words.alias("value")))
+    if not cells:
+        return spark.createDataFrame([], "part string, name string, value double")
+    counted = df.select(F.inline(F.array(*cells))).groupBy("cell", "name", "value").agg(F.count("*").alias("n"))
+    path = scratch_path(spark, "profile-cells")
+    counted.write.parquet(path)
+    counted = spark.read.schema(counted.schema).parquet(path)
+    lengths = counted.filter("cell = 'length'").select("value", "n", F.col("value").isNotNull().alias("present"))
+    known = lengths.filter("present")
+
+    def rows(part: str, table: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(c).alias("name"), _q(c).cast("double").alias("value")) for c in table.columns]
+        return table.select(F.lit(part).alias("part"), F.inline(F.array(*pairs)))
+
+    out = counted.filter("cell = 'category' AND name IS NOT NULL").select(F.lit("category_count").alias("part"), "name", F.col("n").cast("double").alias("value"))
+    if text_col in df.columns:
+        presence = _length_counts(lengths).toDF("total", "with_text", "without_text")
+        extremes = _short_long_counts(known, short).select(F.col("very_short_count").alias("very_short"), F.col("very_long_count").alias("very_long"))
+        for part, table in (("length_stats", _length_stats(known)), ("presence", presence), ("length_counts", extremes)):
+            out = out.unionByName(rows(part, table))
+    return out

@@ -81,6 +81,20 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(sample_hash(key, seed), _q(key))
 
 
+def shuffled_positions(df: DataFrame, key: str, seed: int = 42, digits: int = 4) -> DataFrame:
+    """All rows with their ``position`` (from 1) in the random order, for an order that is written or cut by position.
+
+    Rows are counted per leading digits of the hash; the running sum over these cells, 65,536 with four digits,
+    says where each cell begins. Within a cell rows are ranked, so no task sorts more than a cell.
+    """
+    marked = df.withColumn("_hash", sample_hash(key, seed)).withColumn("_cell", F.left("_hash", F.lit(digits)))
+    begins = marked.groupBy("_cell").agg(F.count("*").alias("_n")).select(
+        "_cell", (F.sum("_n").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_begin")
+    )
+    place = F.row_number().over(Window.partitionBy("_cell").orderBy("_hash", _q(key)))
+    return marked.join(begins, "_cell").withColumn("position", F.col("_begin") + place).select("position", *map(_q, df.columns))
+
+
 def allocation(counts: DataFrame, n: int, min_per_stratum: int = 1) -> DataFrame:
     """Proportional allocation over a table of (stratum, available).
 

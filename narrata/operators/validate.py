@@ -157,3 +157,24 @@ def shape_change(before: DataFrame, after: DataFrame) -> DataFrame:
         (F.col("original_rows") - F.col("current_rows")).alias("rows_removed"),
         F.lit(n_before - n_after).alias("columns_removed"),
     )
+
+
+def summary_table(df: DataFrame) -> DataFrame:
+    """Shape, nulls, types and duplicates as rows (part, name, value), from one scan of the table.
+
+    Equal rows have equal nulls, so the groups that count duplicates carry the nulls of their columns too.
+    """
+    flags = [F.max(_q(c).isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(df.columns)]
+    groups = df.groupBy(*row_identity(df)).agg(F.count("*").alias("copies"), *flags)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("string")
+    counts = groups.agg(
+        total("copies").alias("rows"), total(F.col("copies") - 1).alias("duplicates"),
+        *[total(F.col("copies") * F.col(f"null_{i}")).alias(f"null_{i}") for i in range(len(df.columns))],
+    )
+    row = lambda part, name, value: F.struct(F.lit(part).alias("part"), F.lit(name).alias("name"), value.alias("value"))
+    every = [
+        row("shape", "rows", F.col("rows")), row("shape", "columns", F.lit(str(len(df.columns)))), row("duplicates", "rows", F.col("duplicates")),
+        *[row("null_counts", c, F.col(f"null_{i}")) for i, c in enumerate(df.columns)],
+        *[row("column_types", c, F.lit(kind)) for c, kind in df.dtypes],
+    ]
+    return counts.select(F.inline(F.array(*every)))

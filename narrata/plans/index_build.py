@@ -18,6 +18,7 @@ from narrata.operators.chunk import chunk_table, make_splitter
 from narrata.operators.embed import Encoder, embed_table, hashing_encoder
 from narrata.operators.profile import profile
 from narrata.params import JobParams, require_columns
+from narrata.session import scratch_path
 from narrata.sources.store import METADATA_NAMES, VectorTable, project_metadata, records
 from narrata.sources.writers import write_both, write_embeddings, written
 
@@ -109,9 +110,13 @@ def build_index(
     if with_embedding:
         factory = encoder or hashing_encoder(params.embedding_dim)
         vectors = embed_table(chunks, "chunk_text", factory, params.normalize)
+        if save_embeddings or with_store:
+            # The store reads its load more than once, so it starts from written vectors.
+            path = f"{folder}/embeddings.parquet" if save_embeddings else scratch_path(spark, "vectors")
+            write_embeddings(vectors, path)
+            vectors = spark.read.schema(vectors.schema).parquet(path)
         if save_embeddings:
-            built.paths["embeddings"] = write_embeddings(vectors, f"{folder}/embeddings.parquet")
-            vectors = spark.read.schema(vectors.schema).parquet(built.paths["embeddings"])
+            built.paths["embeddings"] = path
         if with_store:
             stored_names = METADATA_NAMES if metadata_names is None else metadata_names
             names = {k: v for k, v in stored_names.items() if k in metadata}
