@@ -125,6 +125,17 @@ def dedup_all_columns(spark, sf_dir):
     return clean.remove_duplicates(twice, keep="first", key="doc_id").select("doc_id", "complaint_id")
 
 
+def store_add_bucketed(spark, sf_dir):
+    """All documents in buckets by id, then a load of which a third is new."""
+    path = scratch_path(spark, "store_bucketed")
+    table = store.VectorTable(spark, path, buckets=16)
+    rows = all_rows(spark, sf_dir)
+    counts = [(1, table.add(rows.filter("CAST(chunk_id AS BIGINT) % 3 != 0")))]
+    counts.append((2, store.VectorTable(spark, path, buckets=16).add(rows.unionByName(rows))))
+    added = spark.createDataFrame(counts, "load int, rows_added long")
+    return added.unionByName(table.read().agg(F.lit(3).alias("load"), F.count_distinct("chunk_id").alias("rows_added")))
+
+
 # --- search that reads parts of the table ------------------------------------------------------
 def batch_topk_pruned(spark, sf_dir):
     """Chunks in folders by product; each question looks into its own."""
@@ -214,6 +225,11 @@ CHECKS = {
         """SELECT 1 AS load, count(*) AS rows_added FROM documents UNION ALL SELECT 2, 0
            UNION ALL SELECT 3, count(*) FROM documents WHERE doc_id % 2 = 0""",
     ),
+    "store_add_bucketed": (
+        store_add_bucketed,
+        """SELECT 1 AS load, count(*) AS rows_added FROM documents WHERE doc_id % 3 != 0
+           UNION ALL SELECT 2, count(*) FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT 3, count(*) FROM documents""",
+    ),
     "store_mixed_columns": (
         store_mixed_columns,
         """SELECT CAST(doc_id AS VARCHAR) AS chunk_id, CASE WHEN doc_id % 2 = 0 THEN lang END AS product,

@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 
 from narrata.params import require_columns
 from narrata.session import local_table, scratch_path
-from narrata.sources.id_filter import id_bits, may_hold
 
 MAX_PUSHED_IDS = 1000
+#: The partition column of a table in buckets.
+BUCKET = "id_bucket"
 
 # --- fixed values: stored names of the metadata columns ---
 METADATA_NAMES = {
@@ -88,27 +89,35 @@ def first_per_id(rows: DataFrame, id_col: str = "chunk_id") -> DataFrame:
 
 
 def new_rows(rows: DataFrame, stored: DataFrame | None, id_col: str = "chunk_id") -> DataFrame:
-    """Rows to append: the first of each id, ids already stored left out.
+    """Rows to append: the first of each id, ids already stored left out. A null id fails.
 
-    Of the load and of the table the ids alone are shuffled. They make two filters of fixed size, of the
-    ids that are not stored and of those that are stored or repeat in the load. The filters settle
-    nearly all rows where they are read; only rows that both may hold are joined by id. So a first
-    load and a repeated one shuffle no text and no vector, at any size. A null id fails.
+    Of the table the ids alone are read (see ``touched_buckets`` for a table in buckets). The ids to add are written once; rows are joined to them, by a broadcast where Spark finds them
+    small, and only rows of ids that repeat in the load are compared with each other.
     """
     ids = rows.groupBy(_checked_id(id_col).alias(id_col)).agg((F.count("*") > 1).alias("_repeats"))
-    if stored is None:
-        ids = ids.withColumn("_stored", F.lit(False))
-    else:
-        marked = stored.select(_q(id_col), F.lit(True).alias("_stored"))
-        ids = ids.join(marked, id_col, "left").na.fill(False, ["_stored"])
+    if stored is not None:
+        ids = ids.join(stored.select(_q(id_col)), id_col, "left_anti")
     path = scratch_path(rows.sparkSession, "ids")
     ids.write.parquet(path)
-    ids = rows.sparkSession.read.schema(ids.schema).parquet(path)
-    fresh = ids.filter("NOT _stored")
-    new = rows.filter(may_hold(id_bits(fresh, id_col), _q(id_col)))
-    special = may_hold(id_bits(ids.filter("_stored OR _repeats"), id_col), _q(id_col))
-    unsure = new.filter(special).join(fresh.select(_q(id_col)), id_col, "left_semi")
-    return new.filter(~special).unionByName(first_per_id(unsure.select(*map(_q, rows.columns)), id_col))
+    fresh = rows.sparkSession.read.schema(ids.schema).parquet(path)
+    columns = list(map(_q, rows.columns))
+    once = rows.join(fresh.filter("NOT _repeats"), id_col, "left_semi")
+    again = rows.join(fresh.filter("_repeats"), id_col, "left_semi")
+    return once.select(*columns).unionByName(first_per_id(again.select(*columns), id_col))
+
+
+def bucket_of(id_col: Column, buckets: int) -> Column:
+    """Number of the bucket of an id."""
+    return F.pmod(F.xxhash64(id_col), F.lit(buckets)).cast("int")
+
+
+def touched_buckets(stored: DataFrame, rows: DataFrame, buckets: int, id_col: str = "chunk_id") -> DataFrame:
+    """The part of a table in buckets that can hold ids of the load: a filter on its folders.
+
+    No more numbers than there are buckets are fetched.
+    """
+    touched = rows.select(bucket_of(_q(id_col), buckets).alias("b")).distinct().collect()
+    return stored.filter(_q(BUCKET).isin([r["b"] for r in touched]))
 
 
 def _checked_id(id_col: str) -> Column:
@@ -129,12 +138,16 @@ def with_columns_of(rows: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 class VectorTable:
-    """A named vector table in a folder."""
+    """A named vector table in a folder.
+
+    With ``buckets`` its rows lie in folders by a hash of the id, so an append reads the ids of the folders
+    only that its own ids fall into. The number belongs to the table: each opening gives the same.
+    """
 
     def __init__(
-        self, spark: SparkSession, path: str, name: str = "complaints", reset: bool = False
+        self, spark: SparkSession, path: str, name: str = "complaints", reset: bool = False, buckets: int = 0
     ):
-        self.spark, self.path, self.name = spark, path, name
+        self.spark, self.path, self.name, self.buckets = spark, path, name, buckets
         if reset:
             self.delete()
 
@@ -143,6 +156,9 @@ class VectorTable:
 
     def read(self) -> DataFrame:
         """All columns of all loads; a load without a column has null in it."""
+        return self._files().drop(BUCKET)
+
+    def _files(self) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(self.path)
 
     def _found(self) -> DataFrame | None:
@@ -162,11 +178,19 @@ class VectorTable:
         stored = self._found()
         if stored is not None:
             rows = with_columns_of(rows, stored)
-        fresh = new_rows(rows, stored)
+        kept = stored
+        if self.buckets and stored is not None:
+            kept = touched_buckets(self._files(), rows, self.buckets)
+        fresh = new_rows(rows, kept)
         before = stored.count() if stored is not None else 0
+        folders = list(partition_by or [])
+        if self.buckets:
+            # Adaptive execution splits large buckets and merges small ones, so files are neither many nor huge.
+            fresh = fresh.withColumn(BUCKET, bucket_of(_q("chunk_id"), self.buckets)).hint("rebalance", BUCKET)
+            folders = [BUCKET, *folders]
         writer = fresh.write.mode("append")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
+        if folders:
+            writer = writer.partitionBy(*folders)
         writer.parquet(self.path)
         return self.spark.read.schema(rows.schema).parquet(self.path).count() - before
 
@@ -190,7 +214,9 @@ class VectorTable:
     def reset(self) -> None:
         """Empty the table and keep its columns."""
         empty = self.spark.createDataFrame([], self.read().schema)
-        empty.write.mode("overwrite").parquet(self.path)
+        if self.buckets:  # the columns are kept by an empty file in one of the folders
+            self.delete()
+        empty.write.mode("overwrite").parquet(f"{self.path}/{BUCKET}=0" if self.buckets else self.path)
 
     def delete(self) -> None:
         """Remove the table with its folder."""

@@ -194,7 +194,7 @@ def test_columns_of_all_loads_are_kept(spark, rows, tmp_path):
 
 
 def test_settled_rows_are_not_shuffled(spark, rows, tmp_path):
-    """Only rows that both filters may hold reach the join; of a first or a repeated load there are none."""
+    """The ids of a small load are sent to its rows; texts stay where they are."""
     table = store.VectorTable(spark, str(tmp_path / "v"))
     many = spark.range(3000).selectExpr("CAST(id AS STRING) chunk_id", "'t' chunk_text", "array(1.0F) embedding")
     assert table.add(many) == 3000 and table.add(many) == 0
@@ -203,3 +203,37 @@ def test_settled_rows_are_not_shuffled(spark, rows, tmp_path):
     plan = physical_plan(added)
     shuffled = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "chunk_text" in line]
     assert not shuffled
+
+
+def test_bucketed_append_reads_touched_buckets(spark, tmp_path):
+    """An append of a few ids reads the folders of these ids, and of them the ids only."""
+    path = str(tmp_path / "v")
+    load = lambda low, high: spark.range(low, high).selectExpr("CAST(id AS STRING) chunk_id", "concat('t', id) chunk_text", "array(1.0F) embedding")
+    table = store.VectorTable(spark, path, buckets=32)
+    assert table.add(load(0, 3000)) == 3000 and table.add(load(0, 3000)) == 0
+    few = load(2999, 3003)
+    part = store.touched_buckets(table._files(), few, 32)
+    plan = physical_plan(part.select("chunk_id"))
+    assert "PartitionFilters: [" in plan and "ReadSchema: struct<chunk_id:string>" in plan
+    folders = lambda df: {r.f.split("id_bucket=")[1].split("/")[0] for r in df.selectExpr("input_file_name() f").distinct().collect()}
+    assert len(folders(part)) <= 4 < len(folders(table._files())) == 32
+    assert table.add(few.unionByName(load(3001, 3003).selectExpr("chunk_id", "concat('z', chunk_id) chunk_text", "embedding"))) == 3
+    assert store.VectorTable(spark, path, buckets=32).add(load(2990, 3003)) == 0
+    assert table.count() == 3003 and table.read().columns == ["chunk_id", "chunk_text", "embedding"]
+    assert {r.chunk_text for r in table.get_by_ids(["3000", "3001", "3002"]).collect()} == {"t3000", "t3001", "t3002"}
+    table.reset()
+    assert table.count() == 0 and table.add(load(0, 5)) == 5
+    with pytest.raises(Exception, match="no id"):
+        table.add(load(0, 2).withColumn("chunk_id", F.nullif("chunk_id", F.lit("1"))))
+
+
+def test_large_id_sets_join_without_broadcast(spark, rows, tmp_path):
+    """The same rows where Spark may not broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = store.VectorTable(spark, str(tmp_path / "v"))
+        assert table.add(rows) == 2 and table.add(rows) == 0
+        more = rows.unionByName(rows.withColumn("chunk_id", F.concat("chunk_id", F.lit("2"))))
+        assert sorted(tuple(r)[:2] for r in store.new_rows(more, table.read()).collect()) == [("a2", "other a"), ("b2", "text b")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
