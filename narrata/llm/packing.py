@@ -60,9 +60,11 @@ class PartTokenizer:
     parts repeat and are looked up; a lookup gives a number into one array of ids.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
+
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -102,7 +104,7 @@ class PartTokenizer:
         if not self.parted:
             every = [self.tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
             return np.fromiter(chain.from_iterable(every), np.uint32), np.cumsum([len(ids) for ids in every])
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self._forget()
         split = [self._parts(text) for text in texts]
         parts = list(chain.from_iterable(split))
@@ -118,17 +120,17 @@ class PartTokenizer:
 
 
 @cache
-def _tokenizer(path: str) -> PartTokenizer:
+def _tokenizer(path: str, remembered: int) -> PartTokenizer:
     """One for each worker process, so that its tasks share what has been looked up."""
-    return PartTokenizer(path)
+    return PartTokenizer(path, remembered)
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_id: int = 0, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document."""
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(tokenizer_path)
+        tokenizer = _tokenizer(tokenizer_path, remembered)
         for batch in batches:
             texts = batch.column("text")
             for at in range(0, batch.num_rows, 256):
@@ -265,6 +267,9 @@ def certificate(placed: DataFrame, sequence: int = SEQUENCE) -> dict[str, int]:
     return {"sequences": used, "bound": bound, "gap": used - bound}
 
 
-def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, **options) -> DataFrame:
-    """Return doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
-    return packed(pieces(docs, tokenizer_path, sequence), sequence, **options)
+def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, remembered: int = REMEMBERED, **options) -> DataFrame:
+    """Return doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document.
+
+    ``remembered`` bounds the parts of texts whose ids a worker keeps; it costs memory and saves time only.
+    """
+    return packed(pieces(docs, tokenizer_path, sequence, remembered=remembered), sequence, **options)
