@@ -22,6 +22,9 @@ from narrata.llm.queries import tokenizer_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents whose best language has a lower score than this are rejected.
 MIN_SCORE = 0.2
+#: Parts of texts that a worker remembers while it packs: fewer than for packing alone, as the same workers
+#: still hold the word tables of the stages before.
+REMEMBERED = 200_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the mixed documents into sequences."""
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remembered=REMEMBERED)
 
 
 STAGES = [
