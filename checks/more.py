@@ -136,6 +136,18 @@ def store_add_bucketed(spark, sf_dir):
     return added.unionByName(table.read().agg(F.lit(3).alias("load"), F.count_distinct("chunk_id").alias("rows_added")))
 
 
+def csv_bad_rows(spark, sf_dir):
+    """A file with short lines, long lines and words for numbers: good rows and quarantine, counted and summed."""
+    folder, d = scratch_path(spark, "bad_rows"), F.col("doc_id")
+    fields = [F.when(d % 10 == 2, F.concat(F.lit("x"), d)).otherwise(d.cast("string")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))]
+    line = F.when(d % 10 == 0, F.concat_ws(",", *fields[:2])).when(d % 10 == 1, F.concat_ws(",", *fields, F.lit("more"))).otherwise(F.concat_ws(",", *fields))
+    documents(spark, sf_dir).select(line).write.text(f"{folder}/raw")
+    schema = spark.createDataFrame([], "doc_id long, lang string, source string").schema
+    good, bad = readers.split_csv(spark, f"{folder}/raw", schema, f"{folder}/split", header=False)
+    counts = good.agg(F.lit("good").alias("kind"), F.count("*").alias("n"), F.sum("doc_id").alias("total"))
+    return counts.unionByName(bad.agg(F.lit("bad").alias("kind"), F.count("*").alias("n"), F.sum(F.length("record")).alias("total")))
+
+
 # --- search that reads parts of the table ------------------------------------------------------
 def batch_topk_pruned(spark, sf_dir):
     """Chunks in folders by product; each question looks into its own."""
@@ -258,6 +270,13 @@ CHECKS = {
             FROM (SELECT unnest(range(1, (SELECT max(n) + 1 FROM (SELECT count(*) AS n FROM pieces GROUP BY key)))) AS bin)
             LEFT JOIN (SELECT count(*) AS c FROM pieces GROUP BY key) ON c = bin GROUP BY bin"""),
     ),
+    "csv_bad_rows": (
+        csv_bad_rows,
+        """SELECT 'good' AS kind, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS total FROM documents WHERE doc_id % 10 > 2
+           UNION ALL SELECT 'bad', count(*), CAST(sum(length(CAST(doc_id AS VARCHAR)) + length(coalesce(lang, '')) + 1
+             + CASE doc_id % 10 WHEN 0 THEN 0 WHEN 1 THEN length(coalesce(source, '')) + 6 ELSE length(coalesce(source, '')) + 2 END) AS BIGINT)
+           FROM documents WHERE doc_id % 10 <= 2""",
+    ),
     "batch_topk_pruned": (batch_topk_pruned, batch_sql("product = product_filter")),
     "batch_topk_pivots": (batch_topk_pivots, batch_sql()),
     "profile_bundle": (lambda spark, sf_dir: rounded_columns(profile_bundle(spark, sf_dir), 4, "value"), profile_sql()),

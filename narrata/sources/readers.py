@@ -139,3 +139,26 @@ class LoadedTables:
 
 def release(df: DataFrame) -> DataFrame:
     return df.unpersist()
+
+CORRUPT = "_record"
+
+
+def split_csv(
+    spark: SparkSession, path: str, schema: T.StructType, folder: str, header: bool = True, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Read CSV by a schema and keep malformed records apart: (good rows, quarantine with file and record).
+
+    A record is malformed when it has more or fewer fields than the schema, when a quote never closes, or when
+    a value is not of its column's type. The files are read once; both parts are folders of one written table,
+    so a count of either is a count of Parquet rows. With ``multi_line`` a quote that never closes takes the rest
+    of its file with it.
+    """
+    if CORRUPT in schema.fieldNames():
+        raise ValueError(f"the name {CORRUPT} is taken by the malformed record")
+    options = {"header": header, "quote": '"', "escape": '"', "multiLine": multi_line, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    read = spark.read.options(**options).schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).csv(path)
+    marked = read.select("*", F.col("_metadata.file_path").alias("_file")).withColumn("_bad", F.col(CORRUPT).isNotNull())
+    marked.write.partitionBy("_bad").parquet(folder)
+    written = spark.read.schema(marked.schema).parquet(folder)
+    good = written.filter("NOT _bad").select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+    return good, written.filter("_bad").select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record"))

@@ -237,3 +237,19 @@ def test_large_id_sets_join_without_broadcast(spark, rows, tmp_path):
         assert sorted(tuple(r)[:2] for r in store.new_rows(more, table.read()).collect()) == [("a2", "other a"), ("b2", "text b")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_malformed_csv_rows_are_kept_apart(spark, tmp_path):
+    lines = ["id,name,n", '1,"a, b",2', "2,short", "3,x,4,long", 'y,not a number,5', '4,"never closed,6', "5,,", '6,"say ""hi""",7', ""]
+    (tmp_path / "f.csv").write_text("\n".join(lines))
+    schema = "id long, name string, n int"
+    kind = spark.createDataFrame([], schema).schema
+    good, bad = readers.split_csv(spark, str(tmp_path / "f.csv"), kind, str(tmp_path / "out"))
+    assert sorted(map(tuple, good.collect())) == [(1, "a, b", 2), (5, None, None), (6, 'say "hi"', 7)]
+    assert sorted(r.record for r in bad.collect()) == sorted(["2,short", "3,x,4,long", "y,not a number,5", '4,"never closed,6'])
+    assert good.count() == 3 and bad.count() == 4 and all(r.file.endswith("f.csv") for r in bad.collect())
+    (tmp_path / "e.csv").write_text("id,name,n\n")
+    good, bad = readers.split_csv(spark, str(tmp_path / "e.csv"), kind, str(tmp_path / "none"))
+    assert good.count() == bad.count() == 0
+    with pytest.raises(ValueError, match="_record"):
+        readers.split_csv(spark, str(tmp_path / "e.csv"), spark.createDataFrame([], "_record string").schema, str(tmp_path / "x"))
