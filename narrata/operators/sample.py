@@ -16,6 +16,7 @@ from narrata.functions.text import round_even
 from narrata.params import TARGET_SAMPLE_RANGE, require_columns
 from narrata.session import pinned_if_small
 
+RANKED = 100_000  # rows of a cell that one task ranks without a finer cut
 CELL_DIGITS = 4  # leading hex digits of the hash: 65,536 cells
 
 
@@ -63,17 +64,30 @@ def simple_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 def prefix_sample(df: DataFrame, n: int, key: str, seed: int = 42, factor: int = 3) -> DataFrame:
     """n random rows out of the first ``factor * n`` in the order of the numeric column ``key``."""
     _check_size(n)
-    ends = df.agg(
-        F.struct(
-            F.min(_q(key)).cast("double").alias("low"), F.max(_q(key)).cast("double").alias("high")
-        ).alias("ends")
-    ).scalar()
-    low, high = ends.getField("low"), ends.getField("high")
-    # All keys equal: one cell. Otherwise 65,536 cells of equal width, the last one closed.
-    cells = 16**CELL_DIGITS
-    place = F.floor((_q(key).cast("double") - low) / F.nullif(high - low, F.lit(0.0)) * cells)
-    cell = F.least(F.coalesce(place, F.lit(0)), F.lit(cells))
-    return simple_sample(_first(df, factor * n, cell, [_q(key)]), n, key, seed)
+    return simple_sample(_first(df, factor * n, _narrowed(df, factor * n, key), [_q(key)]), n, key, seed)
+
+
+def _narrowed(df: DataFrame, n: int, key: str) -> Column:
+    """Cells of the key, fine where the n-th smallest lies: that cell holds few rows whatever the spread of the keys.
+
+    The range of the keys is cut into cells of equal width and the rows of each are counted. While the cell with
+    the n-th row holds more than ``RANKED`` rows, its own range is cut in the same way: each round reads the key
+    column and divides the width by 65,536, so four rounds reach the precision of a double. Cells below and above
+    the range are one each.
+    """
+    value, cells = _q(key).cast("double"), 16**CELL_DIGITS
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    cell = F.lit(0)
+    while low is not None and low < high:
+        place = F.floor((value - low) / (high - low) * cells)
+        cell = F.when(value < low, -1).when(value > high, cells).otherwise(F.least(place, F.lit(cells - 1))).cast("long")
+        counts = df.filter(value.isNotNull()).groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
+        running = counts.select("*", F.sum("n").over(Window.orderBy("cell")).alias("upto"))
+        last = running.filter(F.col("upto") >= n).orderBy("cell").first()
+        if last is None or last["n"] <= RANKED or (last["low"], last["high"]) == (low, high):
+            break
+        low, high = last["low"], last["high"]
+    return F.coalesce(cell, F.lit(-2))  # a null key comes first, as in a sort
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

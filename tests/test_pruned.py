@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 
 from narrata.operators import nearest, pruned
-from tests.conftest import physical_plan
-from tests.test_nearest import QUESTION_SCHEMA, brute, make
-from tests.test_nearest import found as hits
+from conftest import physical_plan
+from test_nearest import QUESTION_SCHEMA, brute, make
+from test_nearest import found as hits
 
 
 def plain(df):

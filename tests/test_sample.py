@@ -100,3 +100,22 @@ def test_report(table):
     counts = {r.stratum: r.original_count for r in report.values()}
     assert summary == plain_allocation(counts, 5000 - sum(counts.values()), 500, 1)
     assert summary["rare"] == (2, 1)  # raised by the rest, capped by what is there
+
+
+def test_prefix_under_any_spread(spark, monkeypatch):
+    """One far key, clustered keys, repeated and null keys: the cut lies in a cell of few rows."""
+    monkeypatch.setattr(sample, "RANKED", 20)
+    tables = {
+        "far": [*range(2000), 10**15], "near": [10**12 + i for i in range(2000)] + [0, 10**18], "clustered": [i % 7 * 10**9 + i for i in range(2000)],
+        "negative": [-(10**14)] + list(range(-500, 1500)),
+    }
+    for name, keys in tables.items():
+        df = spark.createDataFrame([(k,) for k in keys], "id long")
+        cell = sample._narrowed(df, 120, "id")
+        counts = {r["cell"]: r["count"] for r in df.groupBy(cell.alias("cell")).count().collect()}
+        at = next(c for c in sorted(counts) if sum(v for k, v in counts.items() if k <= c) >= 120)
+        assert counts[at] <= 20, (name, counts[at])
+        assert sorted(r.id for r in sample._first(df, 120, cell, [sample._q("id")]).collect()) == sorted(keys)[:120]
+    same = spark.createDataFrame([(5,)] * 300 + [(None,)] * 3 + [(9,)], "id long")
+    assert sample._first(same, 10, sample._narrowed(same, 10, "id"), [sample._q("id")]).count() == 10
+    assert sample.prefix_sample(same.filter("false"), 5, "id").collect() == []
