@@ -16,7 +16,8 @@
    sets: rarest shingles first, with the bounds on overlap that size and position give. Rows of a list's
    main component are compared with the others only.
 
-So no list is ever paired off beyond ``SHORT`` rows, and no link is lost in a long one. Thresholds are 0.8 or more.
+So no list of retained values is paired off beyond ``SHORT`` rows, and no link is lost in a long one; step 5 compares rows outside a
+list's main component with all its rows. Thresholds are 0.8 or more.
 
 Defined cases: a text of fewer words than a shingle is one shingle of all its words; an empty or null
 text, or one without words, has an empty set, is linked with nothing and is kept; rows with a null id
