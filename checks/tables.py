@@ -9,6 +9,7 @@ from checks import sql as q
 from checks.views import view, with_views
 from narrata.functions import text as tx
 from narrata.operators import clean, profile, sample, validate
+from narrata.session import scratch_path
 
 PRODUCTS = ["en", "fr", "de", "xx"]
 LISTED = "('en', 'fr', 'de', 'xx')"
@@ -125,6 +126,12 @@ def dedup_sql(condition: str, order: str = "") -> str:
         count(*) OVER (PARTITION BY text) AS copies FROM documents) WHERE {condition}"""
 
 
+def cleaning_effect_written(spark, sf_dir):
+    """The effect counted by the write of the cleaned table, and the texts found in that table."""
+    rows, counts = clean.write_cleaned(complaints(spark, sf_dir), "narrative", scratch_path(spark, "cleaned"))
+    return rows.agg(*[F.lit(n).cast("long").alias(name) for name, n in counts.items()], F.count("narrative").alias("written"))
+
+
 def cleaning_effect(spark, sf_dir):
     text = F.col("narrative")
     return clean.cleaning_effect(complaints(spark, sf_dir, heavy=True), text, tx.clean_text(text))
@@ -194,6 +201,12 @@ CLEANING = {
     "clean_text": (
         text_query(tx.clean_text), over(q.text_result(q.clean_text(_n), "complaints")),
     ),
+    "cleaning_effect_written": (
+        cleaning_effect_written,
+        over(f"""SELECT count(raw) AS before, count(cleaned) AS after, count(*) - count(cleaned) AS empty_after,
+            count(*) FILTER (raw IS NOT NULL AND cleaned IS NULL) AS emptied, count(cleaned) AS written
+            FROM (SELECT narrative AS raw, {q.clean_text("narrative")} AS cleaned FROM complaints)"""),
+    ),
     "cleaning_effect": (
         cleaning_effect,
         over(f"""SELECT count(narrative) AS before, count(c) AS "after",

@@ -11,8 +11,8 @@ from checks.views import documents, view, with_views
 from narrata.functions import prompts as templates
 from narrata.operators import answer, chunk, embed, evaluate, nearest
 from narrata.plans.answer_batch import answer_batch
-from narrata.plans.index_build import build_index
-from narrata.plans.ingest import ingest_embeddings
+from narrata.plans.index_build import build_index, preprocess
+from narrata.plans.ingest import ask_once, ingest_embeddings
 from narrata.params import JobParams
 from narrata.session import scratch_path
 from narrata.sources import readers, store, writers
@@ -21,6 +21,10 @@ from narrata.streaming.incremental import append_new_files
 SIZE, OVERLAP, DIM, K = 500, 50, 64, 5
 ORGANISATION = "the company"
 VECTOR = [0.125] * DIM
+QUESTION = "what does the data of the model say"
+WORD_SIZE, WORD_OVERLAP = 40, 8
+#: Cut at spaces only, sizes in words.
+BY_WORDS = chunk.recursive_splitter(WORD_SIZE, WORD_OVERLAP, [" "], measure=lambda text: len(text.split()))
 WINDOW = chunk.window_splitter(SIZE, OVERLAP)
 RECURSIVE = chunk.recursive_splitter(SIZE, OVERLAP)
 
@@ -109,6 +113,32 @@ def recursive_sql(source: str, text: str = "text", key: str = "doc_id", overlap:
       count(*) OVER (PARTITION BY k) AS num_chunks, chunk_text FROM found WHERE chunk_text <> '')"""
 
 
+def chunk_by_words(spark, sf_dir):
+    """Own measure and separators, as a table function in a lateral join."""
+    rows = chunk.chunk_rows(documents(spark, sf_dir), "text", "doc_id", BY_WORDS, ["lang"])
+    return rows.withColumn("text_md5", F.md5("chunk_text")).drop("chunk_text")
+
+
+def by_words_sql() -> str:
+    """Greedy windows over the parts between spaces, on running sums of their words."""
+    return f"""WITH RECURSIVE
+    texts AS (SELECT doc_id AS k, lang, string_split(text, ' ') AS parts FROM documents WHERE {q.not_blank("text")}),
+    counted AS (SELECT k, i, len({q.words("part")}) AS w
+      FROM (SELECT k, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i FROM texts)),
+    sums AS (SELECT k, i, w, CAST(sum(w) OVER (PARTITION BY k ORDER BY i) AS BIGINT) AS c FROM counted),
+    lists AS (SELECT k, list(c - w ORDER BY i) AS before, list(c ORDER BY i) AS upto FROM sums GROUP BY k),
+    walk(k, i, lo, hi) AS (
+      SELECT k, 0, CAST(1 AS BIGINT), CAST(len(list_filter(upto, lambda c: c <= {WORD_SIZE})) AS BIGINT) FROM lists
+      UNION ALL
+      SELECT k, i + 1, nlo, CAST(len(list_filter(upto, lambda c: c - before[nlo] <= {WORD_SIZE})) AS BIGINT) FROM (
+        SELECT *, CAST(len(list_filter(before,
+          lambda c: c < greatest(upto[hi] - {WORD_OVERLAP}, upto[hi + 1] - {WORD_SIZE}))) AS BIGINT) + 1 AS nlo
+        FROM walk JOIN lists USING (k) WHERE hi < len(upto))),
+    pieces AS (SELECT k, i, lang, {q.stripped("array_to_string(parts[lo:hi], ' ')")} AS t FROM walk JOIN texts USING (k))
+    SELECT concat(k, '_', i) AS chunk_id, k AS original_index, i AS chunk_index, CAST(length(t) AS INTEGER) AS chunk_length,
+      CAST(count(*) OVER (PARTITION BY k) AS INTEGER) AS num_chunks, lang, md5(t) AS text_md5 FROM pieces"""
+
+
 def windows(sql: str) -> str:
     return f"WITH RECURSIVE {window_sql('documents')} {sql}"
 
@@ -189,6 +219,7 @@ CHUNKING = {
     "chunk_histogram": (
         length_histogram, windows(histogram_sql(f"SELECT {_length} AS v FROM pieces", 40)),
     ),
+    "chunk_by_words": (chunk_by_words, by_words_sql()),
     "chunk_recursive": (chunked(RECURSIVE), recursives(_chunk_rows)),
     "chunk_recursive_stats": (stats_of(RECURSIVE), recursives(_chunk_stats)),
     "chunk_recursive_targets": (targets_of(RECURSIVE), recursives(_chunk_targets)),
@@ -378,6 +409,36 @@ def answered(spark, sf_dir) -> DataFrame:
     )
 
 
+def without_hits(spark, sf_dir):
+    """Every second question looks for a product that no chunk has."""
+    nowhere = F.when(F.col("question_id") % 2 == 0, F.lit("nothing")).otherwise(F.col("product_filter"))
+    asked = questions(spark, sf_dir).withColumn("wanted", nowhere)
+    found = nearest.nearest(
+        chunks(spark, sf_dir), asked, K, payload=PAYLOAD, filter_col="product", question_filter="wanted"
+    )
+    return answer.assemble_answers(asked, found, answers(spark, sf_dir))
+
+
+def answers_no_hits(spark, sf_dir):
+    return flat(without_hits(spark, sf_dir))
+
+
+def evaluation_expected(spark, sf_dir):
+    """Expected answers for the questions with a filter; the others have none."""
+    asked = questions(spark, sf_dir).filter("product_filter IS NOT NULL")
+    expected = asked.select("question_id", F.concat(F.lit("about "), "product_filter").alias("expected_answer"))
+    rows = evaluate.evaluate(without_hits(spark, sf_dir), expected)
+    return rows.select("question_id", "generated_answer", "num_sources", "expected_answer", "quality_score", "comments")
+
+
+def report_file(spark, sf_dir):
+    """The report written as a text file, read back and counted by line."""
+    folder = scratch_path(spark, "report")
+    lines = evaluate.report_lines(evaluated(spark, sf_dir))
+    path = writers.write_lines(lines, f"{folder}/report.md", ["part", "question_id", "line_no"])
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+
+
 def evaluated(spark, sf_dir) -> DataFrame:
     return evaluate.evaluate(answered(spark, sf_dir))
 
@@ -396,13 +457,17 @@ def prompt(template):
     return run
 
 
-def flat_answers(spark, sf_dir):
-    return answered(spark, sf_dir).select(
+def flat(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "question_id", "question", "answer", F.md5("context").alias("context_md5"),
         F.size("sources").alias("num_sources"),
     )
 
 
+def flat_answers(spark, sf_dir):
+    return flat(answered(spark, sf_dir))
+
+
 def flat_sources(spark, sf_dir):
     rows = answered(spark, sf_dir).select("question_id", F.inline("sources"))
     return rounded_columns(rows, 5, "distance")
@@ -472,6 +537,12 @@ def answered_sql(sql: str) -> str:
     return with_views(f"{_answered}\n{sql}", "questions", "chunks", "answers")
 
 
+def without_hits_sql(sql: str) -> str:
+    """As ``answered_sql``, with the filters of ``without_hits``."""
+    own = "question_id % 2 = 1 AND (product_filter IS NULL OR product_filter = product)"
+    return answered_sql(sql).replace("FROM questions, chunks WHERE TRUE", f"FROM questions, chunks WHERE {own}")
+
+
 def prompt_sql(template: str) -> str:
     text = templates.TEMPLATES[template].replace("{organisation}", ORGANISATION)
     before, rest = text.split("{context}")
@@ -556,6 +627,17 @@ ANSWERS = {
             {source_lines("concat('**Source ', rank, '** (', product, '): ', substring(text, 1, 80), '...<br>')", "''")}
             USING (question_id)"""),
     ),
+    "answers_no_hits": (
+        answers_no_hits,
+        without_hits_sql("""SELECT question_id, question, answer, md5(context) AS context_md5, num_sources
+                            FROM answered"""),
+    ),
+    "evaluation_expected": (
+        evaluation_expected,
+        without_hits_sql("""SELECT question_id, answer AS generated_answer, num_sources,
+            'about ' || product_filter AS expected_answer, CAST(NULL AS INTEGER) AS quality_score, '' AS comments
+            FROM answered JOIN questions USING (question_id)"""),
+    ),
     "strip_prompt": (
         strip_prompt,
         with_views(f"""
@@ -564,6 +646,11 @@ ANSWERS = {
             "questions", "answers"),
     ),
 }
+ANSWERS["report_file"] = (
+    report_file,
+    f"""SELECT piece AS line, count(*) AS n FROM (SELECT unnest(string_split(line, chr(10))) AS piece
+        FROM ({ANSWERS["evaluation_markdown"][1]})) GROUP BY piece""",
+)
 
 
 # --- jobs and round trips -----------------------------------------------------------------------
@@ -595,6 +682,31 @@ def index_build_overlap_75(spark, sf_dir):
     return built.counts
 
 
+def preprocess_profile(spark, sf_dir):
+    """The profile step of the job, over the filtered rows that its first stage wrote."""
+    built = preprocess(
+        complaints(spark, sf_dir), index_params(), scratch_path(spark, "profiled"), with_sample=False, with_profile=True
+    )
+    categories = built.profile["category_distribution"].select(F.lit("category").alias("part"), F.col("category").alias("name"), "n")
+    lengths = built.profile["short_long_counts"].select(
+        F.expr("stack(2, 'length', 'very_short', very_short_count, 'length', 'very_long', very_long_count) AS (part, name, n)")
+    )
+    return categories.unionByName(lengths).unionByName(built.counts.select(F.lit("stage").alias("part"), F.col("stage").alias("name"), F.col("rows").alias("n")))
+
+
+def ask_table(spark, sf_dir):
+    """One question against the hashed vectors of all documents."""
+    rows = documents(spark, sf_dir).select(
+        F.col("doc_id").cast("string").alias("chunk_id"), F.coalesce("text", F.lit("")).alias("chunk_text")
+    )
+    folder = scratch_path(spark, "ask")
+    vectors = writers.written(embed.embed_table(rows, "chunk_text", embed.hashing_encoder(DIM)), f"{folder}/embedded")
+    table = store.VectorTable(spark, f"{folder}/vectors")
+    table.add(store.records(vectors))
+    found = ask_once(table, QUESTION, embed.hashing_encoder(DIM), 10)
+    return rounded_columns(found, 5, "distance").select("rank", "chunk_id", "distance")
+
+
 def ingest_counts(spark, sf_dir):
     folder = scratch_path(spark, "ingest")
     path = writers.write_embeddings(chunks(spark, sf_dir), f"{folder}/embeddings.parquet")
@@ -757,5 +869,23 @@ def _prompt_parts() -> list[str]:
 
 
 JOBS["answer_batch"] = (flat_answer_batch, answer_batch_sql())
+_stage3_words = f"SELECT {q.word_count('narrative')} AS v FROM stage3"
+JOBS["preprocess_profile"] = (
+    preprocess_profile,
+    over(f"""{_index.rstrip().rstrip(",")}, l AS ({_stage3_words})
+    SELECT 'category' AS part, product AS name, count(*) AS n FROM stage3 GROUP BY product
+    UNION ALL SELECT 'length', 'very_short', count(*) FILTER (v < 10) FROM l
+    UNION ALL SELECT 'length', 'very_long', count(*) FILTER (v > (SELECT quantile_cont(v, 0.95) FROM l)) FROM l
+    UNION ALL SELECT 'stage', 'loaded', count(*) FROM complaints UNION ALL SELECT 'stage', 'product_filter', count(*) FROM stage2
+    UNION ALL SELECT 'stage', 'narrative_filter', count(*) FROM stage3"""),
+)
+JOBS["ask_once"] = (
+    ask_table,
+    f"""WITH asked AS (SELECT 1 AS id, {q.quoted(QUESTION)} AS t),
+    stored AS (SELECT CAST(doc_id AS VARCHAR) AS chunk_id, coalesce(text, '') AS t FROM documents),
+    {vectors_sql("cv", "stored", "t", "chunk_id")}, {vectors_sql("qv", "asked", "t", "id")}
+    SELECT CAST(row_number() OVER (ORDER BY d, chunk_id) AS INTEGER) AS rank, chunk_id, round(d, 5) AS distance
+    FROM (SELECT cv.key AS chunk_id, {L2.format(a="cv.v", b="qv.v")} AS d FROM cv, qv) ORDER BY d, chunk_id LIMIT 10""",
+)
 
 CHECKS = {**CHUNKING, **VECTORS, **ANSWERS, **JOBS}

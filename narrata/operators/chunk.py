@@ -188,6 +188,48 @@ def chunk_table(
     )
 
 
+def chunk_function(splitter: Splitter):
+    """The splitter as a table function of a text: (chunk_index, num_chunks, chunk_text).
+
+    For a lateral join, or for SQL after ``spark.udtf.register(name, chunk_function(...))``. The
+    splitter may bring its own measure and separators. Null and blank texts give no row.
+    """
+
+    @F.udtf(returnType="chunk_index int, num_chunks int, chunk_text string", useArrow=True)
+    class Chunks:
+        def eval(self, text: str):
+            pieces = splitter(text) if text is not None and text.strip() else []
+            for index, piece in enumerate(pieces):
+                yield index, len(pieces), piece
+
+    return Chunks
+
+
+def chunk_rows(
+    df: DataFrame, text_col: str, key_col: str, splitter: Splitter, metadata: list[str] | None = None
+) -> DataFrame:
+    """The rows of ``chunk_table`` by a lateral join with the table function.
+
+    The chunks of a text come back as rows, not as one array in a row, which keeps the rows of very
+    long texts small.
+    """
+    require_columns(df, [text_col, key_col, *(metadata or [])])
+    kept = [c for c in df.columns if c != text_col] if metadata is None else metadata
+    with_text = df.filter(~tx.is_blank(_q(text_col))).select(
+        _q(key_col).alias("_key"), _q(text_col).alias("_text"), F.struct(F.lit(1).alias("_one"), *map(_q, kept)).alias("_kept")
+    )
+    rows = with_text.lateralJoin(chunk_function(splitter)(F.col("_text").outer()))
+    return rows.select(
+        F.concat_ws("_", "_key", "chunk_index").alias("chunk_id"),
+        F.col("_key").alias("original_index"),
+        "chunk_index",
+        "chunk_text",
+        F.length("chunk_text").alias("chunk_length"),
+        "num_chunks",
+        *[F.col("_kept")[c].alias(c) for c in kept],
+    )
+
+
 def _measured(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
     """Counts per (kind, value): rows, texts, chunks per document and chunk lengths.
 

@@ -14,6 +14,7 @@ from narrata.operators.validate import row_identity
 from narrata.params import require_columns
 from narrata.session import local_table
 from narrata.sources.readers import keep_columns
+from narrata.sources.writers import Counted, written
 
 
 def _q(name: str) -> Column:
@@ -75,12 +76,31 @@ def clean_text_narratives(df: DataFrame, text_col: str, **options) -> DataFrame:
 def cleaning_effect(df: DataFrame, raw: Column, cleaned: Column) -> DataFrame:
     """Non-null texts before and after cleaning, and texts that cleaning emptied, in one pass."""
     pairs = df.select(raw.alias("raw"), cleaned.alias("cleaned"))
-    return pairs.agg(
-        F.count("raw").alias("before"),
-        F.count("cleaned").alias("after"),
-        F.count_if(F.col("cleaned").isNull()).alias("empty_after"),
-        F.count_if(F.col("raw").isNotNull() & F.col("cleaned").isNull()).alias("emptied"),
-    )
+    return pairs.agg(*_effect_counts(F.col("raw"), F.col("cleaned")))
+
+
+def _effect_counts(raw: Column, cleaned: Column) -> list[Column]:
+    return [
+        F.count(raw).alias("before"),
+        F.count(cleaned).alias("after"),
+        F.count_if(cleaned.isNull()).alias("empty_after"),
+        F.count_if(raw.isNotNull() & cleaned.isNull()).alias("emptied"),
+    ]
+
+
+def write_cleaned(
+    df: DataFrame, text_col: str, path: str, **options
+) -> tuple[DataFrame, dict[str, int]]:
+    """Write the table with its text cleaned; the effect is counted by the write itself.
+
+    Gives the written table and the counts of ``cleaning_effect``. The raw table is read once and
+    each text is cleaned once.
+    """
+    require_columns(df, [text_col])
+    pairs = df.withColumn("_cleaned", tx.clean_text(_q(text_col), **options))
+    counted = Counted(pairs, *_effect_counts(_q(text_col), F.col("_cleaned")))
+    cleaned = [F.col("_cleaned").alias(c) if c == text_col else _q(c) for c in df.columns]
+    return written(counted.rows.select(*cleaned), path), counted.counts()
 
 
 def handle_missing(
@@ -148,11 +168,16 @@ def filter_by_products(
     """
     require_columns(df, [product_col])
     kept = df.filter(_q(product_col).isin(products))
-    if must_exist and kept.select(F.lit(1)).isEmpty():
-        raise ValueError(f"none of the products occurs in {product_col!r}: {products}")
+    if must_exist:
+        require_products(not kept.select(F.lit(1)).isEmpty(), products, product_col)
     return kept
 
 
+def require_products(found: bool, products: list[str], product_col: str) -> None:
+    if not found:
+        raise ValueError(f"none of the products occurs in {product_col!r}: {products}")
+
+
 def absent_values(df: DataFrame, values: list[str], column: str) -> DataFrame:
     """Listed values that the column never holds, with their place in the list."""
     listed = local_table(
@@ -198,16 +223,21 @@ def select_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return keep_columns(df, columns)
 
 
-def filter_funnel(
-    df: DataFrame, products: list[str], product_col: str, text_col: str
-) -> DataFrame:
-    """Counts along the two filters (product, then text) from one pass over two columns."""
+def funnel_counts(products: list[str], product_col: str, text_col: str) -> list[Column]:
+    """The counts of the funnel, for an aggregation or for ``Counted``."""
     listed = F.coalesce(_q(product_col).isin(products), F.lit(False))
-    counts = df.agg(
+    return [
         F.count("*").alias("initial_count"),
         F.count_if(listed).alias("after_product_filter"),
         F.count_if(listed & tx.has_real_text(_q(text_col))).alias("after_narrative_filter"),
-    )
+    ]
+
+
+def filter_funnel(
+    df: DataFrame, products: list[str], product_col: str, text_col: str
+) -> DataFrame:
+    """Counts along the two filters (product, then text) from one pass over two columns."""
+    counts = df.agg(*funnel_counts(products, product_col, text_col))
     first, second, third = (F.col(c) for c in counts.columns)
     return counts.select(
         first,

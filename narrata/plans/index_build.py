@@ -18,9 +18,9 @@ from narrata.operators.chunk import chunk_table, make_splitter
 from narrata.operators.embed import Encoder, embed_table, hashing_encoder
 from narrata.operators.profile import profile
 from narrata.params import JobParams, require_columns
-from narrata.session import scratch_path
+from narrata.session import local_table, scratch_path
 from narrata.sources.store import METADATA_NAMES, VectorTable, project_metadata, records
-from narrata.sources.writers import write_both, write_embeddings, written
+from narrata.sources.writers import Counted, write_both, write_embeddings, written
 
 
 @dataclass
@@ -51,21 +51,29 @@ def preprocess(
     save_csv: bool = True,
     with_profile: bool = False,
 ) -> IndexBuild:
-    """Filter by product and text, save, draw the stratified sample, save."""
+    """Filter by product and text, save, draw the stratified sample, save.
+
+    The raw table is read once: the job that writes the filtered rows counts what it reads. Without
+    ``save_filtered`` they go to a scratch folder, as all later steps start from them. The products
+    are checked by that count too, so when none occurs the error comes after an empty table was written.
+    """
     require_columns(df, [params.key_col, params.product_col, params.text_col])
-    built = IndexBuild()
-    products = clean.filter_by_products(df, params.products, params.product_col)
+    spark, built = df.sparkSession, IndexBuild()
+    counted = Counted(df, *clean.funnel_counts(params.products, params.product_col, params.text_col))
+    products = clean.filter_by_products(counted.rows, params.products, params.product_col, must_exist=False)
     filtered = clean.remove_empty_narratives(products, params.text_col)
     if save_filtered:
         built.paths.update(write_both(filtered, folder, "filtered", csv=save_csv, parquet=True))
-        filtered = df.sparkSession.read.schema(filtered.schema).parquet(built.paths["parquet"])
-    funnel = clean.filter_funnel(df, params.products, params.product_col, params.text_col)
-    names = ["loaded", "product_filter", "narrative_filter"]
-    steps = [
-        F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(column).alias("rows"))
-        for i, (name, column) in enumerate(zip(names, funnel.columns), 1)
-    ]
-    stages = funnel.select(F.inline(F.array(*steps)))
+        filtered = spark.read.schema(filtered.schema).parquet(built.paths["parquet"])
+    else:
+        filtered = written(filtered, scratch_path(spark, "filtered"))
+    loaded, listed, with_text = counted.counts().values()
+    clean.require_products(listed > 0, params.products, params.product_col)
+    stages = local_table(
+        spark,
+        {"step": [1, 2, 3], "stage": ["loaded", "product_filter", "narrative_filter"], "rows": [loaded, listed, with_text]},
+        "step int, stage string, rows long",
+    )
     if with_profile:
         built.profile = profile(filtered, params.product_col, params.text_col)
     built.final = filtered

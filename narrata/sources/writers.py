@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from narrata.params import require_columns
@@ -20,6 +20,28 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Counted:
+    """A frame whose rows are counted by the job that writes them, without a further scan.
+
+    ``rows`` goes into the write; ``counts`` holds the named aggregates once that is done. Tasks that
+    are repeated after a lost executor count once as long as nothing is shuffled between ``rows`` and
+    the sink, so put filters and projections there and no more. An aggregate of an empty table that
+    is planned away counts 0. Filters above ``rows`` do not reach the scan, which has to see every row.
+
+    Once a session has observed something, Spark logs an error of its listener whenever a later query
+    fails its analysis, such as the look for a table that is not there yet. It has no effect.
+    """
+
+    def __init__(self, df: DataFrame, *aggregates: Column):
+        self._observation = Observation()
+        self.rows = df.observe(self._observation, *aggregates)
+        self._names = df.agg(*aggregates).columns
+
+    def counts(self) -> dict[str, int]:
+        found = self._observation.get
+        return {name: found.get(name) or 0 for name in self._names}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Quotes are doubled and blanks at the ends of a value are kept."""
     options = {"header": True, "quote": '"', "escape": '"'}

@@ -143,3 +143,21 @@ def test_empty_table_has_no_chunks(spark):
     df = spark.createDataFrame([(1, None)], "id long, text string")
     assert chunk.chunk_table(df, "text", "id", chunk.window_splitter()).count() == 0
     assert chunk.chunk_stats(df, "text", chunk.window_splitter()).first().total_chunks == 0
+
+
+def test_table_function(spark):
+    """Own measure and separators: the lateral join gives the rows of the chunk table, in SQL too."""
+    splitter = chunk.recursive_splitter(3, 1, ["\n", " "], measure=lambda text: len(text.split()))
+    rows = [(1, "a b c d e f g", "x", 1), (2, None, "y", 2), (3, " \n ", "z", 3), (4, "one two", None, 4), (4, "one two", None, 4),
+            (None, "no key", "k", 5), (6, "w " * 50_000, "long", 6)]
+    df = spark.createDataFrame(rows, "id int, text string, chunk_kind string, `odd.name` int")
+    lateral = chunk.chunk_rows(df, "text", "id", splitter)
+    assert [r.chunk_text for r in lateral.filter("id = 1").orderBy("chunk_index").collect()] == ["a b c", "c d e", "e f g"]
+    table = chunk.chunk_table(df, "text", "id", splitter)
+    assert lateral.columns == table.columns and lateral.dtypes == table.dtypes
+    assert sorted(map(str, lateral.collect())) == sorted(map(str, table.collect()))
+    assert lateral.filter("id = 6").count() == 25_000 - 1 + 1
+    assert chunk.chunk_rows(df.limit(0), "text", "id", splitter, []).count() == 0
+    spark.udtf.register("chunks_of_text", chunk.chunk_function(splitter))
+    found = spark.sql("SELECT t.id, c.* FROM {df} t, LATERAL chunks_of_text(t.text) c WHERE t.id = 4", df=df)
+    assert [(r.chunk_index, r.num_chunks, r.chunk_text) for r in found.collect()] == [(0, 1, "one two")] * 2

@@ -122,3 +122,17 @@ def test_summary_parts(dups):
     assert parts["column_types"].count() == 3
     assert not validate.shape(dups.filter("id < 0")).first()["is_valid"]
     assert tuple(validate.shape_change(dups, dups.filter("id < 3").drop("b")).first()) == (7, 3, 2, 2, 5, 1)
+
+
+def test_cleaning_counts_while_writing(spark, tmp_path):
+    rows = [(1, "See http://a.org now", "x"), (2, None, "y"), (3, "  ", "z"), (4, "!!!", None), (5, "plain", "plain")]
+    df = spark.createDataFrame(rows, "id int, text string, _cleaned_by string")
+    table, counts = clean.write_cleaned(df, "text", str(tmp_path / "a"))
+    assert counts == {"before": 4, "after": 2, "empty_after": 3, "emptied": 2}
+    assert table.columns == df.columns
+    assert {r.id: r.text for r in table.collect()} == {1: "see now", 2: None, 3: None, 4: None, 5: "plain"}
+    for number, empty in enumerate((df.limit(0), df.filter("id < 0"), spark.createDataFrame([], df.schema))):
+        table, counts = clean.write_cleaned(empty, "text", str(tmp_path / f"empty{number}"))
+        assert table.count() == 0 and set(counts.values()) == {0}
+    with pytest.raises(ValueError):
+        clean.write_cleaned(df, "absent", str(tmp_path / "b"))

@@ -79,6 +79,34 @@ def test_stages_can_be_left_out(raw, tmp_path):
     assert unsaved.paths == {} and unsaved.final.count() == 40
 
 
+def test_raw_table_is_read_once(spark, raw, tmp_path):
+    """Each raw row passes a counting expression; without a written stage it would do so more than once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    built = build_index(raw.mapInArrow(passing, raw.schema), PARAMS, str(tmp_path / "a"), with_profile=True)
+    built.profile["length_stats"].collect()
+    assert counts(built)["loaded"] == 120 and seen.value == 120
+    seen = spark.sparkContext.accumulator(0)
+    unsaved = preprocess(raw.mapInArrow(passing, raw.schema), PARAMS, str(tmp_path / "b"), save_filtered=False, save_sample=False)
+    assert counts(unsaved)["narrative_filter"] == 64 and unsaved.final.count() == 40 and seen.value == 120
+
+
+def test_counts_of_empty_and_unlisted_rows(raw, tmp_path):
+    strangers = JobParams(products=["nothing"])
+    with pytest.raises(ValueError, match="none of the products"):
+        preprocess(raw, strangers, str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="none of the products"):
+        preprocess(raw.limit(0), PARAMS, str(tmp_path / "b"))
+    unwanted = raw.withColumn(TEXT, F.lit(" "))
+    built = preprocess(unwanted, PARAMS, str(tmp_path / "c"), with_sample=False)
+    assert [r["rows"] for r in built.counts.orderBy("step").collect()] == [120, 96, 0]
+
+
 def test_ingest(spark, raw, tmp_path):
     built = build_index(raw, PARAMS, str(tmp_path / "a"), with_store=False, save_embeddings=True)
     table = VectorTable(spark, str(tmp_path / "v"))
