@@ -13,8 +13,13 @@ one; of those only the first one reports them. Only distinct fingerprints are co
 The radius of 3 finds nearly equal texts only. In a simulation of two texts with 300 distinct shingles
 each (4,000 pairs for each similarity of the shingle sets), fingerprints differed in 9.7 bits on average at
 similarity 0.8, 6.6 at 0.9 and 2.7 at 0.98, and were within the radius in 0.7 % of the pairs at 0.8, 3 % at
-0.85, 9 % at 0.9, 31 % at 0.95 and 71 % at 0.98. All pairs of distinct fingerprints that share a key in a
-table are compared, so many slightly different copies of one text cost the square of their number.
+0.85, 9 % at 0.9, 31 % at 0.95 and 71 % at 0.98.
+
+The rows of a key that more than ``LONG_LIST`` distinct fingerprints share (many slightly different copies of
+one text) are not compared with each other. The bits that the key leaves open are cut into blocks once more;
+a near pair agrees in three of these too, so it meets in a table of the second level. With the radius of 3, two
+levels fix 46 to 49 bits, so at most 2^18 distinct fingerprints can share a key, whatever the table holds. The work
+of a large group is thus its size times a bound, and a key's rows are dealt over many tasks.
 
 ``edited_fingerprints`` gives every document's fingerprint, that of an edited text and that of the next
 document. Neighbours are found in ranges of the id with one guest row from the next range, so no task
@@ -39,6 +44,7 @@ HALF = 32
 WIDTH = 5
 ROWS_PER_RANGE = 1000
 MOST_RANGES = 20_000
+LONG_LIST = 256
 _PAIR = (1 << HALF) | 1
 
 
@@ -146,36 +152,57 @@ def edited_fingerprints(docs: DataFrame, width: int = WIDTH, rows: int = ROWS_PE
     )
 
 
-def near_fingerprints(prints: DataFrame, radius: int = 3, column: str = "fingerprint") -> DataFrame:
+def _masks(bits: list[int], blocks: int) -> list[int]:
+    """One mask for each of ``blocks`` runs of the given bit places."""
+    edges = [round(len(bits) * i / blocks) for i in range(blocks + 1)]
+    return [sum(1 << bit for bit in bits[edges[i]:edges[i + 1]]) for i in range(blocks)]
+
+
+def _tables(masks: list[int]) -> list[int]:
+    """The masks of all choices of three blocks, in the order of the tables."""
+    return [a | b | c for a, b, c in combinations(masks, 3)]
+
+
+def _long(mask: int) -> Column:
+    return F.lit(mask - (1 << BITS) if mask >> (BITS - 1) else mask)
+
+
+def _first_of(masks: list[int], differ: Column) -> Column:
+    """The first table whose blocks all agree."""
+    found = F.lit(len(masks))
+    for number, mask in reversed(list(enumerate(masks))):
+        found = F.when(differ.bitwiseAND(_long(mask)) == 0, F.lit(number)).otherwise(found)
+    return found
+
+
+def near_fingerprints(prints: DataFrame, radius: int = 3, column: str = "fingerprint", long_list: int = LONG_LIST) -> DataFrame:
     """All pairs (a < b) of distinct fingerprints (longs) that differ in at most ``radius`` bits, with their distance."""
     blocks = radius + 3
-    edges = [round(BITS * i / blocks) for i in range(blocks + 1)]
-    masks = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(blocks)]
-    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
-    tables = list(combinations(range(blocks), 3))
+    tables = _tables(_masks(list(range(BITS)), blocks))
+    # The places that a table leaves open are cut and chosen from in the same way.
+    inner = [_tables(_masks([bit for bit in range(BITS) if not mask >> bit & 1], blocks)) for mask in tables]
     one = prints.select(F.col(column).alias("p")).distinct()
-    keys = []
-    for table in tables:
-        mask = 0
-        for block in table:
-            mask |= masks[block]
-        keys.append(F.col("p").bitwiseAND(F.lit(mask - (1 << BITS) if mask >> (BITS - 1) else mask)))
+    keys = [F.col("p").bitwiseAND(_long(mask)) for mask in tables]
     listed = one.select("p", F.posexplode(F.array(*keys)).alias("table", "key"))
-    a, b = listed.withColumnRenamed("p", "a"), listed.withColumnRenamed("p", "b")
-    differ = F.col("a").bitwiseXOR(F.col("b"))
-    # The first table in which a pair meets: the first three blocks that agree.
-    first = F.lit(0)
-    same = [(differ.bitwiseAND(F.lit(m)) == 0).cast("int") for m in signed]
-    for number, table in enumerate(tables):
-        chosen = [same[block] == 1 for block in table]
-        others = [same[block] == 0 for block in range(table[-1]) if block not in table]
-        met = chosen[0]
-        for condition in [*chosen[1:], *others]:
-            met = met & condition
-        first = F.when(met, F.lit(number)).otherwise(first)
     on = ["table", "key"]
-    pairs = a.join(b, on).filter((F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius) & (F.col("table") == first))
-    return pairs.select("a", "b", F.bit_count(differ).alias("distance"))
+    long = listed.groupBy(*on).agg(F.count("*").alias("rows")).filter(F.col("rows") > long_list).select(*on)
+    short_rows, long_rows = listed.join(long, on, "left_anti"), listed.join(long, on, "left_semi")
+    differ = F.col("a").bitwiseXOR(F.col("b"))
+
+    def met(rows: DataFrame, by: list[str]) -> DataFrame:
+        a, b = rows.withColumnRenamed("p", "a"), rows.withColumnRenamed("p", "b")
+        return a.join(b, by).filter((F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius))
+
+    near = met(short_rows, on).filter(F.col("table") == _first_of(tables, differ))
+    pairs = near.select("a", "b", F.bit_count(differ).alias("distance"))
+    masks_of = F.array(*[F.array(*[_long(mask) for mask in masks]) for masks in inner])
+    parts = F.transform(F.get(masks_of, F.col("table")), lambda mask: F.col("p").bitwiseAND(mask))
+    finer = long_rows.select("p", *on, F.posexplode(parts).alias("part", "part_key"))
+    # Of the parts of its first table in which a pair meets, the first one reports it.
+    agreeing = F.transform(F.get(masks_of, F.col("table")), lambda mask: differ.bitwiseAND(mask) == 0)
+    once = (F.col("table") == _first_of(tables, differ)) & (F.array_position(agreeing, True) == F.col("part") + 1)
+    fine = met(finer, [*on, "part", "part_key"]).filter(once)
+    return pairs.unionByName(fine.select("a", "b", F.bit_count(differ).alias("distance")))
 
 
 def with_near_counts(prints: DataFrame, radius: int = 3) -> DataFrame:

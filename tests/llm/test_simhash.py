@@ -91,8 +91,8 @@ def test_all_pairs_within_radius(spark):
             values.append(near)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     df = spark.createDataFrame([(v,) for v in signed + signed[:9]], "fingerprint long")
-    for radius in (0, 1, 3, 4):
-        found = simhash.near_fingerprints(df, radius).collect()
+    for radius, long_list in ((0, 256), (1, 1), (3, 256), (3, 1), (4, 3)):
+        found = simhash.near_fingerprints(df, radius, long_list=long_list).collect()
         pairs = {(r.a, r.b): r.distance for r in found}
         assert len(pairs) == len(found)
         assert pairs == {
@@ -100,6 +100,27 @@ def test_all_pairs_within_radius(spark):
         }
 
 
+def test_large_group_of_near_copies(spark):
+    """One base with flips in any place: keys of more than LONG_LIST rows beside keys of few."""
+    draw = random.Random(12)
+    base, other = draw.getrandbits(64), draw.getrandbits(64)
+    values = {base, other}
+    while len(values) < 1500:
+        near = base if len(values) % 3 else other
+        for bit in draw.sample(range(64), draw.choice((1, 2, 2, 3))):
+            near ^= 1 << bit
+        values.add(near)
+    signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    df = spark.createDataFrame([(v,) for v in signed], "fingerprint long")
+    found = simhash.near_fingerprints(df).collect()
+    expected = {
+        (a, b): d for i, a in enumerate(signed) for b in signed[i + 1:] if (d := ((a ^ b) & (1 << 64) - 1).bit_count()) <= 3
+    }
+    assert len(found) == len(expected) > 20_000
+    assert {(r.a, r.b): r.distance for r in found} == expected
+    assert simhash.near_fingerprints(df.filter("false")).collect() == []
+
+
 def test_native_plan(spark):
     plan = op2_simhash(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow|Cartesian|NestedLoop", plan)
