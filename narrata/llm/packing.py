@@ -29,6 +29,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,10 @@ SEQUENCE = 2048
 GROUP = 4096
 #: Parts of texts whose ids a task remembers; beyond that it starts anew.
 REMEMBERED = 600_000
+#: Bytes of text that are encoded at a time, besides one text.
+SLICE = 1 << 22
+#: Parts merged in one call of the library.
+MERGED = 8192
 
 
 #: Letters of blocks without combining marks; lower-casing these is the same before and after composition.
@@ -52,16 +57,35 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_SYMBOLS = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x100, 0x200), strict=False))
 
 
+#: Parts of small Latin letters, digits and signs without an apostrophe, and how the vocabulary splits them.
+_simple = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff0-9!-&(-/:-@\[-`{-~]+")
+_simple_words = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+class _Numbers(dict):
+    """A number for each part, in order of arrival; ``new`` holds the parts that came last."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.new.append(part)
+        return number
+
+
 class PartTokenizer:
     """Ids of whole texts, from the ids of their parts; of vocabularies with another splitter, whole texts are encoded.
 
     The word vocabulary is lower case, drops white space and never joins over it, nor over the border of a
     letter or digit and a full stop or comma. So a text's ids are the ids of its parts in a row. Most
-    parts repeat and are looked up; a lookup gives a number into one array of ids.
+    parts repeat: each different part of a slice of texts is looked up once, which gives a number into one
+    array of ids.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.remembered = remembered
 
@@ -69,35 +93,75 @@ class PartTokenizer:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.parted = is_word_vocabulary(self.tokenizer)
+        #: The same merges for words in the symbols of the model, which hold no white space.
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        end = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.ends_word[[number for token, number in vocabulary.items() if end and token.endswith(end)]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
+        self.known = _Numbers()
         self.ids = np.zeros(0, np.uint32)
-        self.starts = np.zeros(2, np.int64)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
 
-    def _ids(self, part: str) -> list[int]:
+    @staticmethod
+    def _words(part: str) -> list[str] | None:
+        """The words, digits and runs of signs of a part in their final form; None where the library must split it."""
         if part.isalpha() and part.islower() and not _beyond_latin.search(part):
-            # One word in its final form: merged directly, by the characters that stand for its bytes.
-            symbols = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SYMBOLS)
-            return [token.id for token in self.tokenizer.model.tokenize(symbols)]
-        return self.tokenizer.encode(part, add_special_tokens=False).ids
-
-    def _learn(self, parts: list[str]) -> None:
-        found = list(map(self._ids, parts))
-        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts)), strict=True))
-        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        self.starts = np.append(self.starts, self.starts[-1] + ends)
-        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1])))
+            return [part]
+        return _simple_words.findall(part) if _simple.fullmatch(part) and "<|" not in part else None
+
+    def _merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each has."""
+        # The characters that stand for the bytes of a word.
+        symbols = [w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_SYMBOLS) for w in words]
+        # Only the last token of a word carries the end of a word.
+        ids = np.array(self.merger.encode_batch_fast([" ".join(symbols)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends_word[ids])
+        if len(last) == len(words) and last[-1] == len(ids) - 1:
+            return ids, np.diff(last, prepend=-1)
+        every = [[token.id for token in self.tokenizer.model.tokenize(s)] for s in symbols]
+        return np.fromiter(chain.from_iterable(every), np.uint32), np.fromiter(map(len, every), np.int64, len(every))
+
+    def _learned(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in a row, and how many each has."""
+        split = [self._words(part) for part in parts]
+        numbers = np.fromiter((0 if words is None else len(words) for words in split), np.int64, len(parts))
+        words = [word for found in split if found for word in found]
+        sizes = np.zeros(len(parts), np.int64)
+        ids = np.zeros(0, np.uint32)
+        if words:
+            ids, size = self._merge(words)
+            np.add.at(sizes, np.repeat(np.arange(len(parts)), numbers), size)
+        others = [place for place, found in enumerate(split) if found is None]
+        if not others:
+            return ids, sizes
+        every = [self.tokenizer.encode(parts[place], add_special_tokens=False).ids for place in others]
+        at = np.cumsum(sizes)[others]
+        sizes[others] = [len(found) for found in every]
+        return np.insert(ids, np.repeat(at, sizes[others]), np.fromiter(chain.from_iterable(every), np.uint32)), sizes
+
+    def _learn(self) -> None:
+        parts, self.known.new = self.known.new, []
+        found = [self._learned(parts[at:at + MERGED]) for at in range(0, len(parts), MERGED)]
+        sizes = np.concatenate([size for _, size in found])
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.ids = np.concatenate([self.ids, *[ids for ids, _ in found]])
 
     @staticmethod
-    def _parts(text: str | None) -> list[str]:
+    def _spaced(text: str | None) -> str:
+        """The text with a blank between all its parts."""
         text = text or ""
-        if not _beyond_latin.search(text) and "<|" not in text:
+        if (text.isascii() or not _beyond_latin.search(text)) and "<|" not in text:
             text = text.lower()
             if not _joined_marks.search(text):
                 text = text.replace(".", " .").replace(",", " ,")
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text ends."""
@@ -106,17 +170,28 @@ class PartTokenizer:
             return np.fromiter(chain.from_iterable(every), np.uint32), np.cumsum([len(ids) for ids in every])
         if len(self.known) > self.remembered:
             self._forget()
-        split = [self._parts(text) for text in texts]
-        parts = list(chain.from_iterable(split))
-        numbers = list(map(self.known.get, parts))
-        if None in numbers:
-            self._learn(list({p for p, n in zip(parts, numbers, strict=True) if n is None}))
-            numbers = list(map(self.known.get, parts))
-        number = np.array(numbers, np.int64)
-        first, size = self.starts[number], self.starts[number + 1] - self.starts[number]
+        spaced = pa.array([self._spaced(text) for text in texts], pa.large_string())
+        split = pc.split_pattern(spaced, " ")
+        parts = split.flatten().dictionary_encode()
+        different = parts.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
+        if self.known.new:
+            self._learn()
+        number = number[parts.indices.to_numpy()]
+        first, size = self.starts[number], self.sizes[number]
         ends = np.cumsum(size)
         ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends + size, size)]
-        return ids, ends[np.cumsum([len(p) for p in split]) - 1]
+        return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy()) - 1]
+
+
+def slices(texts: pa.Array, bytes_at_once: int = SLICE) -> Iterator[tuple[int, pa.Array]]:
+    """The texts in slices of about as many bytes, each with the place of its first text."""
+    if not len(texts):
+        return
+    before = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)) // bytes_at_once
+    starts = np.flatnonzero(np.diff(before, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], len(texts)], strict=True):
+        yield start, texts.slice(start, end - start)
 
 
 @cache
@@ -132,9 +207,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path, remembered)
         for batch in batches:
-            texts = batch.column("text")
-            for at in range(0, batch.num_rows, 256):
-                every, ends = tokenizer.encode(texts.slice(at, 256).to_pylist())
+            for at, texts in slices(batch.column("text")):
+                every, ends = tokenizer.encode(texts.to_pylist())
                 taken, out = [], []
                 for row, ids in enumerate(np.split(every, ends[:-1])):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

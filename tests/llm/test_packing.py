@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from narrata.llm import packing
 from narrata.llm.queries import op6_best_fit_packing, tokenizer_path
@@ -62,6 +63,45 @@ def test_random_strings(name):
     assert [(t, f, e) for t, f, e in zip(texts, found, expected, strict=True) if f != e][:3] == []
 
 
+class Counted:
+    """A tokenizer that counts what is asked of it."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.asked = tokenizer, 0
+
+    def __getattr__(self, name):
+        self.asked += 1
+        return getattr(self.tokenizer, name)
+
+
+def test_new_parts_are_merged_together():
+    """Thousands of different words, also with digits and signs, cost no call of the library each."""
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefghijklmnoé", k=draw.randint(2, 12))) for _ in range(20_000)]
+    texts = [" ".join(w + draw.choice(["", "", "!!", "###", "(2)", "."]) for w in words[at:at + 500]) for at in range(0, 20_000, 500)]
+    library = Tokenizer.from_file(tokenizer_path())
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for end_found in (True, False):
+        tokenizer = packing.PartTokenizer(tokenizer_path())
+        tokenizer.ends_word &= end_found  # without it every word is merged alone
+        tokenizer.tokenizer = Counted(tokenizer.tokenizer)
+        ids, ends = tokenizer.encode(texts)
+        assert [part.tolist() for part in np.split(ids, ends[:-1])] == expected
+        assert (tokenizer.tokenizer.asked < 100) == end_found
+
+
+def test_slices_hold_few_bytes():
+    texts = [None, "", *["é" * 40] * 50, "x" * 1000, "y", None]
+    found = list(packing.slices(pa.array(texts), 256))
+    assert [t for _, part in found for t in part.to_pylist()] == texts
+    assert [at for at, _ in found] == np.cumsum([0, *[len(part) for _, part in found]])[:-1].tolist()
+    for _, part in found:
+        sizes = sorted(len((t or "").encode()) for t in part.to_pylist())
+        assert sum(sizes[:-1]) <= 256
+    assert list(packing.slices(pa.array([], pa.string()))) == []
+    assert [len(part) for _, part in packing.slices(pa.array([None, ""]))] == [2]
+
+
 def test_certificate_and_end(spark):
     """Rounds end with no gap or no gain, and the certificate says what remains."""
     draw = random.Random(9)
