@@ -33,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from narrata.functions.batches import slices
 from narrata.llm.common import staged
 from narrata.llm.token_counts import is_word_vocabulary
 
@@ -184,16 +185,6 @@ class PartTokenizer:
         return ids, ends[np.cumsum(pc.list_value_length(split).to_numpy()) - 1]
 
 
-def slices(texts: pa.Array, bytes_at_once: int = SLICE) -> Iterator[tuple[int, pa.Array]]:
-    """The texts in slices of about as many bytes, each with the place of its first text."""
-    if not len(texts):
-        return
-    before = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)) // bytes_at_once
-    starts = np.flatnonzero(np.diff(before, prepend=-1)).tolist()
-    for start, end in zip(starts, [*starts[1:], len(texts)], strict=True):
-        yield start, texts.slice(start, end - start)
-
-
 @cache
 def _tokenizer(path: str, remembered: int) -> PartTokenizer:
     """One for each worker process, so that its tasks share what has been looked up."""
@@ -207,7 +198,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, end_i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path, remembered)
         for batch in batches:
-            for at, texts in slices(batch.column("text")):
+            for at, texts in slices(batch.column("text"), SLICE):
                 every, ends = tokenizer.encode(texts.to_pylist())
                 taken, out = [], []
                 for row, ids in enumerate(np.split(every, ends[:-1])):

@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from narrata.functions import text as tx
+from narrata.functions.batches import slices
 from narrata.operators.profile import histogram, value_counts
 from narrata.params import SEPARATORS, check_chunking, require_columns
 
 # --- fixed values: sentence ends of the window splitter, in order of preference ---
 SENTENCE_ENDS = [". ", "! ", "? ", "\n\n", "\n"]
+#: Bytes of text that a worker splits at a time, besides one text.
+SLICE = 1 << 20
 # ----------------------------------------------------------------------------------
 
 Splitter = Callable[[str], list[str]]
@@ -132,17 +135,31 @@ def make_splitter(kind: str = "recursive", size: int = 500, overlap: int = 50) -
     return kinds[kind](size, overlap)
 
 
+def _given(text: Column, kind: str, given: Callable[[str], list]) -> Column:
+    """What ``given`` makes of a text, an array of ``kind``. Empty for null and blank text.
+
+    A batch is worked off in slices, and what a slice gives leaves the worker before the next one is begun.
+    """
+    arrow = pa.list_({"string": pa.string(), "int": pa.int32()}[kind])
+
+    @F.arrow_udf(f"array<{kind}>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for _, texts in slices(batch, SLICE):
+                yield pa.array([given(t) for t in texts.to_pylist()], arrow)
+
+    real = F.coalesce(~tx.is_blank(text), F.lit(False))
+    return F.when(real, run(F.when(real, text).otherwise(""))).otherwise(F.array().cast(f"array<{kind}>"))
+
+
 def chunks_of(text: Column, splitter: Splitter) -> Column:
     """Array of the chunks of a text. Empty for null and blank text."""
+    return _given(text, "string", splitter)
 
-    @F.arrow_udf("array<string>")
-    def split(batch: pa.Array) -> pa.Array:
-        return pa.array([splitter(t) for t in batch.to_pylist()], pa.list_(pa.string()))
 
-    real = F.coalesce(~tx.is_blank(text), F.lit(False))
-    return F.when(real, split(F.when(real, text).otherwise(""))).otherwise(
-        F.array().cast("array<string>")
-    )
+def lengths_of(text: Column, splitter: Splitter) -> Column:
+    """Array of the lengths of the chunks of a text; the chunks stay in the worker, those of one text at a time."""
+    return _given(text, "int", lambda t: [len(piece) for piece in splitter(t)])
 
 
 def chunk_table(
@@ -236,10 +253,8 @@ def _measured(df: DataFrame, text_col: str, splitter: Splitter) -> DataFrame:
     The splitter runs once over the table; all statistics below come from this small result.
     """
     base = df.select(
-        _q(text_col).isNotNull().alias("given"), chunks_of(_q(text_col), splitter).alias("chunks")
-    ).select(
-        "given", F.size("chunks").alias("pieces"), F.transform("chunks", F.length).alias("lengths")
-    )
+        _q(text_col).isNotNull().alias("given"), lengths_of(_q(text_col), splitter).alias("lengths")
+    ).select("given", F.size("lengths").alias("pieces"), "lengths")
 
     def entry(kind: str, value: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), value.cast("int").alias("value"))

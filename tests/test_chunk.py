@@ -1,10 +1,12 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from narrata.functions.batches import slices
 from narrata.operators import chunk
 from narrata.params import SEPARATORS
 
@@ -161,3 +163,44 @@ def test_table_function(spark):
     spark.udtf.register("chunks_of_text", chunk.chunk_function(splitter))
     found = spark.sql("SELECT t.id, c.* FROM {df} t, LATERAL chunks_of_text(t.text) c WHERE t.id = 4", df=df)
     assert [(r.chunk_index, r.num_chunks, r.chunk_text) for r in found.collect()] == [(0, 1, "one two")] * 2
+
+
+def test_slices_hold_few_bytes():
+    texts = [None, "", *["é" * 40] * 50, "x" * 1000, "y", None]
+    found = list(slices(pa.array(texts), 256))
+    assert [t for _, part in found for t in part.to_pylist()] == texts
+    assert [at for at, _ in found] == np.cumsum([0, *[len(part) for _, part in found]])[:-1].tolist()
+    for _, part in found:
+        sizes = sorted(len((t or "").encode()) for t in part.to_pylist())
+        assert sum(sizes[:-1]) <= 256
+    assert list(slices(pa.array([], pa.string()), 256)) == []
+    assert [len(part) for _, part in slices(pa.array([None, ""]), 256)] == [2]
+
+
+def test_worker_holds_few_chunks(spark):
+    """Of a large batch, a worker holds the chunks of one text for the statistics, and of one slice of texts for the chunks."""
+    text = "Some words here. " * 60
+    df = spark.range(3000, numPartitions=1).selectExpr("id", f"CASE WHEN id % 10 > 0 THEN '{text}' || id END AS text")
+    plain = chunk.window_splitter(100, 10)
+
+    def counted(most):
+        class Pieces(list):
+            alive = 0
+
+            def __init__(self, pieces):
+                super().__init__(pieces)
+                Pieces.alive += 1
+                if Pieces.alive > most:
+                    raise MemoryError(f"the chunks of more than {most} texts at once")
+
+            def __del__(self):
+                Pieces.alive -= 1
+
+        return lambda found: Pieces(plain(found))
+
+    expected = {i: plain(f"{text}{i}") for i in range(3000) if i % 10}
+    sizes = [len(p) for pieces in expected.values() for p in pieces]
+    stats = chunk.chunk_stats(df, "text", counted(2)).first()
+    assert (stats.total_documents, stats.total_chunks, stats["min"], stats["max"]) == (2700, len(sizes), min(sizes), max(sizes))
+    table = chunk.chunk_table(df, "text", "id", counted(1500)).collect()
+    assert [r.chunk_text for r in sorted(table, key=lambda r: (r.id, r.chunk_index))] == [p for pieces in expected.values() for p in pieces]
