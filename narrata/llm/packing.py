@@ -55,7 +55,7 @@ _joined_marks = re.compile("[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\t-\r \u0085\u00a0
 
 #: Byte-level vocabularies write bytes that are no printable Latin-1 character as U+0100 and up, in order.
 _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-BYTE_SYMBOLS = dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x100, 0x200), strict=False))
+BYTE_SYMBOLS = {b: b for b in range(256)} | dict(zip((b for b in range(256) if b not in _PRINTABLE), range(0x100, 0x200), strict=False))
 
 
 #: Parts of small Latin letters, digits and signs without an apostrophe, and how the vocabulary splits them.
@@ -112,7 +112,7 @@ class PartTokenizer:
     @staticmethod
     def _words(part: str) -> list[str] | None:
         """The words, digits and runs of signs of a part in their final form; None where the library must split it."""
-        if part.isalpha() and part.islower() and not _beyond_latin.search(part):
+        if part.isalpha() and part.islower() and (part.isascii() or not _beyond_latin.search(part)):
             return [part]
         return _simple_words.findall(part) if _simple.fullmatch(part) and "<|" not in part else None
 
