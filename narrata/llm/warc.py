@@ -46,6 +46,10 @@ BLOCK_TAGS = "address article aside blockquote body br caption center dd details
 HIDDEN = ["script", "style", "noscript", "template"]
 DATE = "2024-01-01T00:00:00Z"
 RECORD_END = "\r\n\r\n"
+#: The names met most, looked up first; the longest reference, by name or number; a length that no text exceeds.
+COMMON = ["amp", "lt", "gt", "quot", "nbsp", "apos", "copy"]
+LONGEST_NAME = max(8, *map(len, ENTITIES))
+TO_END = 2**31 - 1
 
 
 def base32_sha1(data: Column) -> Column:
@@ -83,46 +87,51 @@ def _payload(block: Column) -> tuple[Column, Column]:
     end = F.instr(block, RECORD_END)
     return (
         F.when(end > 0, F.substring(block, F.lit(1), end - 1)).otherwise(""),
-        F.when(end > 0, F.substring(block, end + len(RECORD_END), F.length(block))).otherwise(block),
+        F.when(end > 0, F.substring(block, end + len(RECORD_END), F.lit(TO_END))).otherwise(block),
     )
 
 
-def decoded(text: Column) -> Column:
-    """Character references to characters, each once: ``&amp;lt;`` becomes ``&lt;``."""
-    first = F.split(text, "&", -1)
-    names = F.create_map(*[F.lit(x) for item in ENTITIES.items() for x in item])
-
-    def one(part, i):
-        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        rest = F.substring(part, F.length(name) + 2, F.length(part))
-        number = F.when(
-            name.rlike("^#[xX]"), F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10).cast("long")
-        ).otherwise(F.try_to_number(F.substring(name, F.lit(2), F.length(name)), F.lit("9999999")).cast("long"))
-        known = F.try_element_at(names, name)
-        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        utf16 = F.when(number < 0x10000, F.lpad(F.hex(number), 4, "0")).otherwise(
-            F.concat(
-                F.lpad(F.hex(F.lit(0xD800) + F.shiftright(number - 0x10000, 10)), 4, "0"),
-                F.lpad(F.hex(F.lit(0xDC00) + (number - 0x10000).bitwiseAND(F.lit(0x3FF))), 4, "0"),
-            )
+def _number(name: Column) -> Column:
+    """The number in a reference, given from after its ``&`` to its semicolon; null for a name."""
+    digits = F.regexp_extract(name, r"^#([0-9]{1,7});\z", 1)
+    hexadecimal = F.nullif(F.regexp_extract(name, r"^#[xX]([0-9a-fA-F]{1,6});\z", 1), F.lit(""))
+    return F.when(name.startswith("#"), F.coalesce(digits.try_cast("long"), F.conv(hexadecimal, 16, 10).try_cast("long")))
+
+
+def _character(name: Column, number: Column) -> Column:
+    """The character of a reference by its number or name; null where there is none."""
+    names = F.create_map(*[F.lit(x) for key in COMMON + [k for k in ENTITIES if k not in COMMON] for x in (f"{key};", ENTITIES[key])])
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    utf16 = F.when(number < 0x10000, F.lpad(F.hex(number), 4, "0")).otherwise(
+        F.concat(
+            F.lpad(F.hex(F.lit(0xD800) + F.shiftright(number - 0x10000, 10)), 4, "0"),
+            F.lpad(F.hex(F.lit(0xDC00) + (number - 0x10000).bitwiseAND(F.lit(0x3FF))), 4, "0"),
         )
-        char = F.when(name.startswith("#"), F.when(valid, F.decode(F.unhex(utf16), "UTF-16BE"))).otherwise(known)
-        return F.when(i == 0, part).when((name != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
+    )
+    return F.when(name.startswith("#"), F.when(valid, F.decode(F.unhex(utf16), "UTF-16BE"))).otherwise(F.try_element_at(names, name))
+
 
-    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(first, one), "")).otherwise(text)
+def decoded(text: Column) -> Column:
+    """Character references to characters, each once: ``&amp;lt;`` becomes ``&lt;``.
+
+    A name is looked for in the first characters of a part only, and each step over the parts keeps what the next
+    one needs, as a lambda computes an expression anew wherever it stands.
+    """
+    head = lambda part: F.left(part, F.lit(LONGEST_NAME + 1))
+    named = F.transform(F.split(text, "&", -1), lambda x: F.struct(x.alias("part"), F.left(head(x), F.instr(head(x), ";")).alias("name")))
+    numbered = F.transform(named, lambda x: F.struct(x["part"].alias("part"), x["name"].alias("name"), _number(x["name"]).alias("number")))
+    known = F.transform(numbered, lambda x: F.struct(x["part"].alias("part"), x["name"].alias("name"), _character(x["name"], x["number"]).alias("char")))
 
+    def one(x, i):
+        rest = F.substring(x["part"], F.length(x["name"]) + 1, F.lit(TO_END))
+        return F.when(i == 0, x["part"]).when(x["char"].isNotNull(), F.concat(x["char"], rest)).otherwise(F.concat(F.lit("&"), x["part"]))
 
-def _spaced(text: Column, odd: str) -> Column:
-    """Runs of blanks to one space; texts without a double space or one of the ``odd`` blanks are not searched."""
-    some = F.instr(text, "  ") > 0
-    for char in odd:
-        some = some | (F.instr(text, char) > 0)
-    return F.when(some, F.regexp_replace(text, rf"[ {odd}]{{2,}}|[{odd}]", " ")).otherwise(text)
+    return F.when(text.contains("&"), F.array_join(F.transform(known, one), "")).otherwise(text)
 
 
 def visible(html: Column) -> Column:
     """The page without comments and elements that hold no text; what never closes runs to the end of the page."""
-    out = F.when(F.instr(html, "<!--") > 0, F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(html)
+    out = F.when(html.contains("<!--"), F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(html)
     return F.regexp_replace(out, rf"(?is)<({'|'.join(HIDDEN)})(?:>|\s[^>]*+(?:>|\z)).*?(?:</\1\s*>|\z)", " ")
 
 
@@ -132,18 +141,29 @@ def _without_tags(page: Column) -> Column:
     bare = lambda c: F.regexp_replace(F.regexp_replace(c, rf"(?i)</?(?:{block})(?:[\s/][^>]*+)?>", "\n"), r"</?[A-Za-z!][^>]*+>", "")
     tail = F.substring_index(page, ">", -1)
     cut = F.concat(bare(F.left(page, F.length(page) - F.length(tail))), tail)
-    return F.when(F.instr(tail, "<") > 0, cut).otherwise(bare(page))
+    return F.when(tail.contains("<"), cut).otherwise(bare(page))
+
+
+#: What is left of a page's text: blanks around line ends go with them, and all at its end; other runs are one blank.
+RUNS = r"(?=[ \n])(?: *+(?:\n[ \n]*+\z|(\n)[ \n]*+)|( ) ++)"
 
 
 def plain_text(page: Column) -> list[Column]:
-    """Steps to the text of a page that ``visible`` has cleaned, each a column ``text`` over the one before."""
+    """Steps to the text of a page that ``visible`` has cleaned, each a column ``text`` over the one before.
+
+    Line ends of the page become blanks, so all that are there later come from tags or references. Runs of blanks
+    are left to the last step, which a page needs in any case.
+    """
     text = F.col("text")
+    odd = text.contains("\t")
+    for char in "\v\f\r":
+        odd = odd | text.contains(char)
+    spaced = F.when(odd, F.regexp_replace(text, r"[\t\x0B\f\r]", " ")).otherwise(text)
     return [
-        _spaced(page, "\t\n\v\f\r"),
+        F.when(page.contains("\n"), F.replace(page, F.lit("\n"), F.lit(" "))).otherwise(page),
         _without_tags(text),
         decoded(text),
-        _spaced(text, "\t\v\f\r"),
-        F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n")),
+        F.ltrim(F.rtrim(F.regexp_replace(spaced, RUNS, "$1$2")), F.lit(" \n")),
     ]
 
 
@@ -158,8 +178,8 @@ def url_parts(url: Column) -> list[Column]:
 
 
 def _link_target(link: Column) -> Column:
-    """A link made absolute, by columns of ``url_parts``: by scheme, by host, by folder; fragments are cut."""
-    link, host, folder = F.regexp_replace(F.btrim(link), "#.*$", ""), F.col("host"), F.col("folder")
+    """A link without blanks and fragment made absolute, by columns of ``url_parts``: by scheme, by host, by folder."""
+    host, folder = F.col("host"), F.col("folder")
     return (
         F.when((host == "") | link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
         .when(link == "", F.lit("")).when(link.startswith("//"), F.concat(F.col("scheme"), link))
@@ -187,13 +207,14 @@ def page_fields() -> dict[str, Column]:
     clean = lambda c: F.btrim(F.regexp_replace(decoded(c), r"\s+", " "))
     attribute = r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     bare = lambda c: F.regexp_replace(c, r"""^["']|["']$""", "")
-    named = lambda start: F.filter("tags", lambda x: x.rlike(rf"(?i)^<{start}\s"))
     values = lambda start, name: F.filter(
-        F.transform(named(start), lambda x: F.regexp_extract(x, rf"(?i)^<{start}\s(?:[^>]*?\s)?{name}{attribute}", 1)), lambda x: x != ""
+        F.transform("tags", lambda x: F.regexp_extract(x, rf"(?i)^<{start}\s(?:[^>]*?\s)?{name}{attribute}", 1)), lambda x: x != ""
     )
     first = lambda found: F.coalesce(F.get(found, F.lit(0)), F.lit(""))
-    links = F.transform(values("a", "href"), lambda x: _link_target(decoded(bare(x))))
-    described = F.filter(named("meta"), lambda x: x.rlike(r"""(?i)[\s"'/]name\s*=\s*(?:"\s*description\s*"|'\s*description\s*'|description[\s/>])"""))
+    plain = F.transform(F.transform(values("a", "href"), bare), decoded)
+    links = F.transform(F.transform(plain, lambda x: F.regexp_replace(F.btrim(x), "#.*$", "")), _link_target)
+    metas = F.filter("tags", lambda x: x.rlike(r"(?i)^<meta\s"))
+    described = F.filter(metas, lambda x: x.rlike(r"""(?i)[\s"'/]name\s*=\s*(?:"\s*description\s*"|'\s*description\s*'|description[\s/>])"""))
     descriptions = F.transform(described, lambda x: clean(bare(F.regexp_extract(x, rf"""(?i)[\s"'/]content{attribute}""", 1))))
     return {
         "title": clean(title),

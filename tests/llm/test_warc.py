@@ -128,3 +128,31 @@ def test_headers_of_pages(spark):
     df = spark.createDataFrame([(1, "http://h.org", "<p>é")], "page_id long, url string, html string")
     block = warc.page_derivatives(df).filter("warc_type = 'metadata'").first().block
     assert "source-status-line: HTTP/1.1 200 OK\r\nsource-content-type: text/html; charset=utf-8\r\nsource-content-length: 5\r\n" in block
+
+
+def searches(spark, column):
+    """How often a column searches texts, as written in its plan: a lambda or a ``when`` computes each anew."""
+    df = spark.createDataFrame([("h", "f", "s", "p", "t", ["<a>"], "x")], "host string, folder string, scheme string, path string, title_element string, tags array<string>, text string")
+    plan = df.select(column.alias("c"))._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+    assert "more fields" not in plan
+    return len(re.findall(r"\b(?:regexp_\w+|rlike)\(", plan, re.I)), plan.count("instr(")
+
+
+def test_texts_are_searched_once(spark):
+    text = warc.F.col("text")
+    assert searches(spark, warc.decoded(text))[0] <= 8
+    assert searches(spark, warc.page_fields()["links"])[0] <= 12
+    assert all(searches(spark, step)[1] <= 1 for step in [warc.visible(text), *warc.plain_text(text)])
+
+
+def test_blanks_and_references(spark):
+    pages = [
+        " \n a \t\n\n b<p>  c &#9;&#32; d \x0b\x0c\r</p> \x85 e<style>x</style><script>y</script> <br> &#10;   ", "a<script>1</script><style>2</style>b", " ", "\n\t", "&#13;&#10;",
+        "&#x41;&#X42;&#67;&amp;amp;&amp&AMP;&;&#;&#x;&#12345678;&#1234567;&#xD800;&#x10FFFF;&thetasym;&thetasymb;&a b;&#38;lt;&#38&#59;lt;$1\\1&frac14;",
+    ]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").selectExpr("page_id", "'u' AS url", "html")
+    texts = {r.page_id: r.block for r in warc.page_derivatives(df).collect() if r.warc_type == "conversion"}
+    assert texts == {
+        0: "a b\nc d\n \x85 e", 1: "a b", 2: "", 3: "", 4: "",
+        5: "ABC&amp;&amp&AMP;&;&#;&#x;&#12345678;&#1234567;&#xD800;\U0010ffff&thetasym;&thetasymb;&a b;&lt;&#38;lt;$1\\1¼",
+    }
